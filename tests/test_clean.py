@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import model
+from model import event, frame, model_tuples, tuples
+from pyspark.sql import functions as F
+from tidemark.operators import clean, drop_nulls, keep_allowed, keep_first, validate, verdict
+from tidemark.schema import BRONZE_SCHEMA
+from tidemark.sources import IN_SET, NOT_NULL, UNIQUE, Rule, Suite, SuiteError, load_suite
+
+VIEW_ONLY = (Rule(NOT_NULL, "user_id"), Rule(UNIQUE, "event_id"), Rule(IN_SET, "event_type", ("view",)))
+
+
+def run(spark, rows, rules=VIEW_ONLY):
+    found = clean(frame(spark, rows), Suite("", tuple(rules)))
+    assert found.schema == BRONZE_SCHEMA
+    return tuples(found.collect())
+
+
+def test_duplicates_keep_the_earliest(spark):
+    early = event("1", "u", "view", "2024-01-01T00:00:00")
+    late = event("1", "u", "click", "2024-01-01T00:00:01")
+    assert run(spark, [late, early]) == model_tuples([early])
+
+
+def test_a_key_whose_kept_row_is_bad_disappears(spark):
+    early = event("1", "u", "click", "2024-01-01T00:00:00")
+    late = event("1", "u", "view", "2024-01-01T00:00:01")
+    assert run(spark, [early, late]) == []
+    set_first = [VIEW_ONLY[0], VIEW_ONLY[2], VIEW_ONLY[1]]
+    assert run(spark, [early, late], set_first) == model_tuples([late])
+
+
+def test_equal_times_are_decided_by_the_rest_of_the_row(spark):
+    rows = [event("1", u, "view", page=p) for u in ("b", "a") for p in ("/z", "/y", None)]
+    assert run(spark, rows) == model_tuples([event("1", "a", "view", page=None)])
+
+
+def test_a_row_without_time_comes_last(spark):
+    known = event("1", "u", "view")
+    assert run(spark, [event("1", "a", "view", None), known]) == model_tuples([known])
+
+
+def test_null_keys_share_one_row(spark):
+    rows = [event(None, "v", "view"), event(None, "u", "view")]
+    assert run(spark, rows) == model_tuples([event(None, "u", "view")])
+
+
+def test_null_user_and_null_type_are_dropped(spark):
+    assert run(spark, [event("2", None, "view"), event("3", "u", None)]) == []
+
+
+def test_empty_string_is_not_null(spark):
+    rows = [event("", "", "view")]
+    assert run(spark, rows) == model_tuples(rows)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_empty_suite_changes_nothing(spark):
+    rows = [event("1", None, "x"), event("1", None, "x")]
+    assert run(spark, rows, []) == model_tuples(rows)
+
+
+def test_empty_set_keeps_nothing(spark):
+    assert keep_allowed(frame(spark, [event("1", "u", "view")]), "event_type", []).count() == 0
+
+
+def test_values_compare_in_the_type_of_the_column(spark):
+    rows = frame(spark, [event(str(i), "u", "view", f"2024-01-0{i}T00:00:00") for i in (1, 2, 3)])
+    kept = keep_allowed(rows, "day", [1, "3", "soon"]).select("event_id")
+    assert {r[0] for r in kept.collect()} == {"1", "3"}
+    assert keep_allowed(rows, "event_id", [2, 4]).select("event_id").collect() == [("2",)]
+
+
+def test_rule_columns_resolve_like_spark_columns(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3)], "`a.b` int, Other int")
+    assert keep_first(df, "a.b", ["Other"]).collect() == [(1, 2)]
+    assert clean(df, Suite("", (Rule(UNIQUE, "A.B"), Rule(NOT_NULL, "other")))).collect() == [(1, 2)]
+    with pytest.raises(SuiteError, match="no column 'c'"):
+        clean(df, Suite("", (Rule(NOT_NULL, "c"),)))
+
+
+def test_unknown_rule_has_no_step(spark):
+    with pytest.raises(SuiteError, match="no cleaning step"):
+        clean(frame(spark, []), Suite("", (Rule("expect_nothing", "page"),)))
+
+
+def test_single_column_table_and_taken_name(spark):
+    assert sorted(keep_first(spark.createDataFrame([(1,), (1,), (2,)], "a int"), "a").collect()) == [
+        (1,),
+        (2,),
+    ]
+    df = spark.createDataFrame([(1, 5), (1, 4)], "a int, ROW_RANK int")
+    assert keep_first(df, "a").collect() == [(1, 4)]
+
+
+def hot_rows(seed, n=400):
+    """Rows whose ids repeat, with a third of all rows on one key, user and session."""
+    rng = random.Random(seed)
+
+    def pick(hot, *others):
+        return hot if rng.random() < 1 / 3 else rng.choice(others)
+
+    return [
+        event(
+            pick("hot", None, *map(str, range(60))),
+            pick("hot", None, *"abcdef"),
+            pick("view", "click", "error", "scroll", "purchase", "", None),
+            pick(
+                f"2024-01-0{rng.randint(1, 3)}T00:00:{rng.randint(0, 59):02d}.{rng.randint(0, 9)}",
+                None,
+                "2024-01-31T23:59:59.999999",
+                "2023-12-31T00:00:00",
+            ),
+            session_id=pick(None, *"pqrstuvw"),
+            page=pick("/home", None, "/blog", "/login"),
+        )
+        for _ in range(n)
+    ]
+
+
+ORDERS = [(0, 1, 2), (2, 1, 0), (1, 0, 2)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_skewed_input_equals_the_model(spark, seed):
+    rows, rules = hot_rows(seed), load_suite().rules
+    chosen = [rules[i] for i in ORDERS[seed]]
+    expected = model_tuples(model.clean(rows, chosen))
+    assert run(spark, rows, chosen) == expected
+
+
+def test_order_partitions_and_repeats_of_the_input_change_nothing(spark):
+    rows = hot_rows(7)
+    expected = run(spark, rows, load_suite().rules)
+    random.Random(1).shuffle(rows)
+    bronze = frame(spark, rows)
+    for variant in (bronze.repartition(13), bronze.coalesce(1), bronze.union(bronze)):
+        assert tuples(clean(variant).collect()) == expected
+
+
+def test_cleaning_twice_changes_nothing_and_passes_its_own_checks(spark):
+    silver = clean(frame(spark, hot_rows(8)))
+    assert tuples(clean(silver).collect()) == tuples(silver.collect())
+    assert verdict(validate(silver)).collect() == [(True,)]
+
+
+def test_plan_filters_in_the_scan_and_cuts_keys_before_the_shuffle(spark, tmp_path):
+    frame(spark, hot_rows(9)).write.parquet(str(tmp_path / "bronze"))
+    silver = clean(spark.read.parquet(str(tmp_path / "bronze")))
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(user_id)]" in plan
+    assert plan.count("Exchange") == 1
+    before, after = plan.split("Exchange")
+    assert "Final" in before and "Partial" in after and "WindowGroupLimit" in after
+    # The set rule must stay above the uniqueness rule.
+    assert "event_type" in before.split("WindowGroupLimit")[0]
+    pushed = drop_nulls(spark.read.parquet(str(tmp_path / "bronze")), "page").select(F.col("page"))
+    assert "PushedFilters: [IsNotNull(page)]" in pushed._jdf.queryExecution().toString()

@@ -66,19 +66,15 @@ IN_SET_RULE = Rule(IN_SET, "event_type", tuple(ALLOWED_EVENT_TYPES))
 
 def map_events(events: DataFrame) -> DataFrame:
     """``events`` rows as click events, batch or stream, one scan."""
-    number, day = F.col("event_id"), F.date_format("ts", "yyyyMMdd")
-    page = F.get_json_object("props", "$.k").cast("int") % 6
-    device = F.when(number % 3 == 0, "mobile").when(number % 3 == 1, "desktop")
-    copies = F.when(number % 10 == 0, 2).otherwise(1)
-    return events.select(
-        number.cast("string").alias("event_id"),
-        F.when(number % 13 != 0, F.col("user_id").cast("string")).alias("user_id"),
-        F.concat_ws("-", "user_id", day).alias("session_id"),
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CASE WHEN event_id % 13 <> 0 THEN CAST(user_id AS STRING) END AS user_id",
+        "concat_ws('-', user_id, date_format(ts, 'yyyyMMdd')) AS session_id",
         "event_type",
-        F.concat(F.lit("/p"), page).alias("page"),
-        device.otherwise("tablet").alias("device"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.explode(F.array_repeat(F.lit(1), copies)).alias("copy"),
+        "concat('/p', CAST(regexp_extract(props, '[0-9]+', 0) AS INT) % 6) AS page",
+        "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END AS device",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "explode(array_repeat(1, IF(event_id % 10 = 0, 2, 1))) AS copy",
     ).drop("copy")
 
 

@@ -142,6 +142,29 @@ def test_partitioned_write_makes_few_files(spark, store):
     assert len(list(Path(path).rglob("*.parquet"))) == 7
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark, store):
+    """A third of the rows share one day; the other days stay in few files."""
+    day = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 20 + 2).cast("int")
+    rows = spark.range(300_000).select(F.uuid().alias("event_id"), day.alias("day"))
+    # Many more partitions than days, as on a cluster, so that days rarely share one.
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "500",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        path = store.publish(rows.repartition(32, "event_id"), "t", ["day"])
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in Path(path).glob("day=*")}
+    assert len(files) == 21
+    assert files.pop("day=1") >= 4
+    assert max(files.values()) <= 3
+    assert store.read("t").count() == 300_000
+
+
 def test_session_catalog_refuses_a_replace(spark):
     store = CatalogStore(spark, "default", "parquet")
     with pytest.raises(AnalysisException):

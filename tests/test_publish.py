@@ -133,6 +133,35 @@ def test_the_slower_of_two_publishers_fails_whole(spark, store, root, monkeypatc
     ]
 
 
+def test_an_unclear_commit_keeps_the_data(spark, store, root, monkeypatch):
+    """If the answer to the commit is lost, the version may exist and must be readable."""
+    commit = store._commit
+
+    def answer_lost(*args):
+        commit(*args)
+        raise OSError("connection lost")
+
+    monkeypatch.setattr(store, "_commit", answer_lost)
+    with pytest.raises(OSError, match="lost"):
+        store.publish(spark.range(3), "t")
+    assert store.read("t").count() == 3
+
+
+def test_a_version_removed_by_another_publisher_is_no_error(spark, store, root, caplog):
+    for n in (1, 2):
+        store.publish(spark.range(n), "t")
+    listed = store._versions
+
+    def stale(name):
+        return [*listed(name), -1]
+
+    store._versions = stale
+    store.publish(spark.range(3), "t")
+    assert "not removed" in caplog.text
+    store._versions = listed
+    assert store.read("t").count() == 3
+
+
 def test_partitioned_write_makes_few_files(spark, store):
     rows = spark.range(20_000).select(
         F.col("id").cast("string").alias("event_id"), (F.col("id") % 7).cast("int").alias("day")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import re
 import uuid
 from collections.abc import Sequence
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions import named
 
+log = logging.getLogger(__name__)
+
 COMMIT_FILE = re.compile(r"(\d{10})\.json")
 
 
@@ -60,12 +63,20 @@ class VersionedStore:
         try:
             laid_out = df.hint("rebalance", *columns) if columns else df
             laid_out.write.partitionBy(*partition_by).parquet(target)
-            self._commit(name, version, {"data": folder, "schema": df.schema.jsonValue()})
         except Exception:
             self._delete(target)
             raise
+        try:
+            self._commit(name, version, {"data": folder, "schema": df.schema.jsonValue()})
+        except ConcurrentPublish:
+            self._delete(target)
+            raise
+        # After any other commit error the data stays: the commit may have come through.
         for old in sorted(self._versions(name))[: -self.keep]:
-            self._expire(name, old)
+            try:
+                self._expire(name, old)
+            except Py4JJavaError as error:
+                log.warning("%s: version %d not removed: %s", name, old, error.java_exception)
         return target
 
     def read(self, name: str) -> DataFrame:

@@ -20,6 +20,7 @@ from tidemark.operators import (
     clean,
     daily_active_users,
     drop_nulls,
+    earliest_days,
     engagement,
     keep_allowed,
     keep_first,
@@ -220,6 +221,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_page_views": views,
         "gold_sessions": sessions,
         "latest_days": lambda s, d: latest_days(dau(s, d)),
+        "earliest_days": lambda s, d: earliest_days(dau(s, d)),
         "top_pages": lambda s, d: top_pages(views(s, d)),
         "engagement": lambda s, d: engagement(sessions(s, d)),
         "engagement_sql": engagement_by_sql,
@@ -395,6 +397,8 @@ def oracle_sql() -> dict[str, str]:
         "gold_page_views": f"{VIEWS_SQL} SELECT * FROM views",
         "gold_sessions": all_sessions,
         "latest_days": latest,
+        "earliest_days": f'{DAU_SQL} SELECT * FROM dau ORDER BY "year" NULLS FIRST,'
+        ' "month" NULLS FIRST, "day" NULLS FIRST LIMIT 5',
         "top_pages": top,
         "engagement": engaged,
         "engagement_sql": engaged,

@@ -8,6 +8,7 @@ from model import event, frame, tuples
 from test_clean import hot_rows
 from tidemark.operators import (
     daily_active_users,
+    earliest_days,
     engagement,
     latest_days,
     page_views,
@@ -116,6 +117,12 @@ def test_latest_days_put_the_undated_day_last(spark):
     assert latest_days(dau).collect()[-1] == days[1]
 
 
+def test_earliest_days_start_with_the_undated_day(spark):
+    days = [(2024, 1, 2, 5), (None, None, None, 9), (2023, 12, 31, 1), (2024, 1, 10, 2)]
+    dau = spark.createDataFrame(days, "year int, month int, day int, daily_active_users bigint")
+    assert earliest_days(dau, 3).collect() == [days[1], days[2], days[0]]
+
+
 def test_top_pages_break_ties_by_name(spark):
     views = spark.createDataFrame([("/b", 2), ("/a", 2), ("/c", 9)], "page string, total_views long")
     assert top_pages(views, 2).collect() == [("/c", 9), ("/a", 2)]

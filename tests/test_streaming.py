@@ -3,10 +3,11 @@ from __future__ import annotations
 import pytest
 
 from model import at, event, frame, model_tuples, tuples
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import functions as F
 from test_clean import hot_rows
 from tidemark.functions import encode_events
-from tidemark.operators import clean, daily_active_users, session_metrics
+from tidemark.operators import clean, daily_active_users, gate, session_metrics, validate
 from tidemark.schema import BRONZE_SCHEMA
 from tidemark.sources import read_events, read_stream, read_table
 from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
@@ -71,6 +72,39 @@ def test_many_micro_batches_equal_the_batch(spark, place):
         assert tuples(metric(clean(found)).collect()) == tuples(metric(clean(batch)).collect())
 
 
+def test_a_failed_micro_batch_is_redone_without_duplicates(spark, place):
+    rows = hot_rows(13, 90)
+    rows[46]["page"] = "/poison"
+    for i in range(3):
+        part = encode_events(frame(spark, rows[i::3])).selectExpr("CAST(value AS STRING)")
+        part.coalesce(1).write.mode("append").text(str(place / "in"))
+
+    def start(events):
+        return write_bronze(
+            events, str(place / "checkpoint"), path=str(place / "bronze"), trigger=ONCE
+        )
+
+    events = bronze_events(stream(spark, place, maxFilesPerTrigger="1"))
+    # Dies in the middle of the second micro-batch, after some of its rows.
+    poisoned = F.col("page") == "/poison"
+    lost = F.when(poisoned, F.raise_error(F.lit("executor lost"))).otherwise(F.col("page"))
+    with pytest.raises(StreamingQueryException, match="executor lost"):
+        start(events.withColumn("page", lost)).awaitTermination()
+    start(events).awaitTermination()
+    found = read_events(spark, str(place / "bronze"))
+    assert tuples(found.collect()) == model_tuples(rows)
+
+
+def test_a_batch_sees_the_files_of_when_it_was_opened(spark, place):
+    lines(place, "1.txt", '{"event_id":"1","user_id":"u","event_type":"view"}')
+    opened = ingest(spark, place)
+    lines(place, "2.txt", '{"event_id":"1","user_id":"t","event_type":"view"}')
+    later = ingest(spark, place)
+    assert [r["user_id"] for r in clean(opened).collect()] == ["u"]
+    assert gate(validate(opened), "raise")[1]["element_count"] == 1
+    assert [r["user_id"] for r in clean(later).collect()] == ["t"]
+
+
 def test_binary_messages_from_parquet(spark, place):
     rows = hot_rows(12, 50)
     messages = encode_events(frame(spark, rows))

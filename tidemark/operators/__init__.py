@@ -9,6 +9,7 @@ from tidemark.operators.contracts import (
 )
 from tidemark.operators.gold import daily_active_users, page_views, session_metrics
 from tidemark.operators.report import (
+    earliest_days,
     engagement,
     latest_days,
     session_sample,
@@ -21,6 +22,7 @@ __all__ = [
     "clean",
     "daily_active_users",
     "drop_nulls",
+    "earliest_days",
     "engagement",
     "gate",
     "keep_allowed",

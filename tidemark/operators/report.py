@@ -11,6 +11,11 @@ def latest_days(dau: DataFrame, k: int = 5) -> DataFrame:
     return dau.orderBy(F.desc("year"), F.desc("month"), F.desc("day")).limit(k)
 
 
+def earliest_days(dau: DataFrame, k: int = 5) -> DataFrame:
+    """The first ``k`` days; a day without a date comes first."""
+    return dau.orderBy("year", "month", "day").limit(k)
+
+
 def top_pages(views: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most viewed pages, equal counts by page name."""
     return views.orderBy(F.desc("total_views"), F.asc("page")).limit(k)

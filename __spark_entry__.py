@@ -88,6 +88,38 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date_parts(click_events(spark, sf_dir))
 
 
+def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events where a third share one event id, another third has no session and a
+    fifth has no time (and so no day)."""
+    return bronze(spark, sf_dir).selectExpr(
+        "IF(event_id % 3 = 0, 'hot', event_id) AS event_id",
+        "user_id",
+        "IF(event_id % 3 = 1, NULL, session_id) AS session_id",
+        "event_type",
+        "page",
+        "device",
+        "IF(event_id % 5 = 0, NULL, timestamp) AS timestamp",
+        *[f"IF(event_id % 5 = 0, NULL, {part}) AS {part}" for part in PARTITION_COLUMNS],
+    )
+
+
+def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages, seven of eight spoilt in a way of their own."""
+    text = "CAST(value AS STRING)"
+    kind = f"CAST(regexp_extract({text}, '[0-9]+', 0) AS BIGINT) % 8"
+    return encode_events(click_events(spark, sf_dir)).selectExpr(
+        f"""CAST(CASE {kind}
+            WHEN 0 THEN left({text}, length({text}) - 5)
+            WHEN 1 THEN concat('[', {text}, ']')
+            WHEN 2 THEN regexp_replace({text}, '"timestamp":".*"', '"timestamp":"soon"')
+            WHEN 3 THEN 'null'
+            WHEN 4 THEN ''
+            WHEN 5 THEN NULL
+            WHEN 6 THEN replace({text}, '"event_type"', '"EVENT_TYPE"')
+            ELSE {text} END AS BINARY) AS value"""
+    )
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(bronze(spark, sf_dir))
 
@@ -186,6 +218,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "value", F.col("value").cast("string")
         ),
         "decode_events": lambda s, d: decode_events(encode_events(click_events(s, d))),
+        "decode_malformed": lambda s, d: decode_events(malformed_messages(s, d)),
         "date_parts": lambda s, d: bronze(s, d).select("event_id", *PARTITION_COLUMNS),
         # streaming
         "stream_bronze": ingest,
@@ -216,6 +249,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_unique_before_set": lambda s, d: clean(
             bronze(s, d), Suite("", (Rule(UNIQUE, "session_id"), IN_SET_RULE))
         ),
+        # the same on skewed input
+        "skewed_dq_report": lambda s, d: validate(skewed(s, d), report),
+        "skewed_silver": lambda s, d: clean(skewed(s, d), report),
+        "skewed_dau": lambda s, d: daily_active_users(skewed(s, d)),
+        "skewed_sessions": lambda s, d: session_metrics(skewed(s, d)),
+        "skewed_engagement": lambda s, d: engagement(session_metrics(skewed(s, d))),
         # metrics and reports
         "gold_dau": dau,
         "gold_page_views": views,
@@ -274,6 +313,19 @@ WITH mapped AS (
 )"""
 
 
+SKEWED_SQL = (
+    BRONZE_SQL.replace("bronze AS (", "plain AS (")
+    + """, bronze AS (
+    SELECT CASE WHEN n % 3 = 0 THEN 'hot' ELSE event_id END AS event_id, user_id,
+           CASE WHEN n % 3 <> 1 THEN session_id END AS session_id, event_type, page, device,
+           CASE WHEN n % 5 <> 0 THEN "timestamp" END AS "timestamp",
+           CASE WHEN n % 5 <> 0 THEN "year" END AS "year",
+           CASE WHEN n % 5 <> 0 THEN "month" END AS "month",
+           CASE WHEN n % 5 <> 0 THEN "day" END AS "day"
+    FROM (SELECT CAST(event_id AS BIGINT) AS n, * FROM plain))"""
+)
+
+
 def _first_per(key: str, source: str) -> str:
     order = [
         c
@@ -288,22 +340,10 @@ def _first_per(key: str, source: str) -> str:
 
 
 IN_SET_SQL = "event_type IN ('click', 'view', 'purchase', 'scroll')"
-SILVER_SQL = f"""{BRONZE_SQL}, named AS (SELECT * FROM bronze WHERE user_id IS NOT NULL),
+SILVER_STEPS = f""", named AS (SELECT * FROM bronze WHERE user_id IS NOT NULL),
 kept AS ({_first_per("event_id", "named")}),
 silver AS (SELECT * FROM kept WHERE {IN_SET_SQL})"""
-DAU_SQL = f"""{SILVER_SQL}, dau AS (
-    SELECT "year", "month", "day", count(DISTINCT user_id) AS daily_active_users
-    FROM silver GROUP BY "year", "month", "day")"""
-VIEWS_SQL = f"""{SILVER_SQL}, views AS (
-    SELECT page, count(*) AS total_views FROM silver WHERE event_type = 'view' GROUP BY page)"""
-SESSIONS_SQL = f"""{SILVER_SQL}, sessions AS (
-    SELECT session_id, events_in_session, session_start, session_end,
-           CAST(floor(epoch(session_end)) - floor(epoch(session_start)) AS BIGINT)
-               AS duration_seconds
-    FROM (SELECT session_id, count(*) AS events_in_session, min("timestamp") AS session_start,
-                 max("timestamp") AS session_end
-          FROM silver GROUP BY session_id))"""
-CHECKS_SQL = f"""{BRONZE_SQL}, checks AS (
+CHECK_STEPS = f""", checks AS (
     SELECT 1 AS position, '{NOT_NULL}' AS rule, 'user_id' AS "column",
            count(*) AS element_count,
            count(*) FILTER (WHERE user_id IS NULL) AS missing_count,
@@ -319,12 +359,41 @@ CHECKS_SQL = f"""{BRONZE_SQL}, checks AS (
            count(*) FILTER (WHERE event_type IS NULL),
            count(*) FILTER (WHERE NOT {IN_SET_SQL})
     FROM bronze)"""
-REPORT_SQL = f"""{CHECKS_SQL}
+REPORT_STEPS = f"""{CHECK_STEPS}
 SELECT *, unexpected_count = 0 AS success,
        CASE WHEN unexpected_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM checks"""
 
 
+def _dau_steps(source: str) -> str:
+    return f""", dau AS (
+    SELECT "year", "month", "day", count(DISTINCT user_id) AS daily_active_users
+    FROM {source} GROUP BY "year", "month", "day")"""
+
+
+def _view_steps(source: str) -> str:
+    return f""", views AS (
+    SELECT page, count(*) AS total_views FROM {source} WHERE event_type = 'view' GROUP BY page)"""
+
+
+def _session_steps(source: str) -> str:
+    return f""", sessions AS (
+    SELECT session_id, events_in_session, session_start, session_end,
+           CAST(floor(epoch(session_end)) - floor(epoch(session_start)) AS BIGINT)
+               AS duration_seconds
+    FROM (SELECT session_id, count(*) AS events_in_session, min("timestamp") AS session_start,
+                 max("timestamp") AS session_end
+          FROM {source} GROUP BY session_id))"""
+
+
+SILVER_SQL = BRONZE_SQL + SILVER_STEPS
+CHECKS_SQL = BRONZE_SQL + CHECK_STEPS
+REPORT_SQL = BRONZE_SQL + REPORT_STEPS
+DAU_SQL = SILVER_SQL + _dau_steps("silver")
+VIEWS_SQL = SILVER_SQL + _view_steps("silver")
+SESSIONS_SQL = SILVER_SQL + _session_steps("silver")
+
+
 def _single_rule(position: int) -> str:
     return REPORT_SQL.replace("SELECT *,", "SELECT 1 AS position, * EXCLUDE (position),") + (
         f" WHERE position = {position}"
@@ -339,7 +408,9 @@ def oracle_sql() -> dict[str, str]:
     all_sessions = f"{SESSIONS_SQL} SELECT * FROM sessions"
     latest = f'{DAU_SQL} SELECT * FROM dau ORDER BY "year" DESC, "month" DESC, "day" DESC LIMIT 5'
     top = f"{VIEWS_SQL} SELECT * FROM views ORDER BY total_views DESC, page LIMIT 5"
-    engaged = SESSIONS_SQL + ENGAGEMENT_SQL.format(avg="CAST(duration_seconds AS DOUBLE)")
+    engagement_sql = ENGAGEMENT_SQL.format(avg="CAST(duration_seconds AS DOUBLE)")
+    engaged = SESSIONS_SQL + engagement_sql
+    skewed_sessions = SKEWED_SQL + _session_steps("bronze")
     per_session = _first_per("session_id", "bronze")
     return {
         "encode_events": f"""{BRONZE_SQL}
@@ -351,6 +422,16 @@ def oracle_sql() -> dict[str, str]:
                    || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ') || '"}}' AS value
             FROM bronze""",
         "decode_events": f"{BRONZE_SQL} SELECT {columns} FROM bronze",
+        "decode_malformed": f"""{BRONZE_SQL}, spoilt AS (
+                SELECT *, CAST(event_id AS BIGINT) % 8 AS kind FROM bronze)
+            SELECT CASE WHEN kind IN (2, 6, 7) THEN event_id END AS event_id,
+                   CASE WHEN kind IN (2, 6, 7) THEN user_id END AS user_id,
+                   CASE WHEN kind IN (2, 6, 7) THEN session_id END AS session_id,
+                   CASE WHEN kind IN (2, 7) THEN event_type END AS event_type,
+                   CASE WHEN kind IN (2, 6, 7) THEN page END AS page,
+                   CASE WHEN kind IN (2, 6, 7) THEN device END AS device,
+                   CASE WHEN kind IN (6, 7) THEN "timestamp" END AS "timestamp"
+            FROM spoilt""",
         "date_parts": f'{BRONZE_SQL} SELECT event_id, "year", "month", "day" FROM bronze',
         "stream_bronze": all_bronze,
         "stream_bronze_table": all_bronze,
@@ -393,6 +474,11 @@ def oracle_sql() -> dict[str, str]:
             {_first_per("session_id", "allowed")}""",
         "silver_unique_before_set": f"""{BRONZE_SQL}, first_events AS ({per_session})
             SELECT * FROM first_events WHERE {IN_SET_SQL}""",
+        "skewed_dq_report": SKEWED_SQL + REPORT_STEPS,
+        "skewed_silver": f"{SKEWED_SQL}{SILVER_STEPS} SELECT * FROM silver",
+        "skewed_dau": f"{SKEWED_SQL}{_dau_steps('bronze')} SELECT * FROM dau",
+        "skewed_sessions": f"{skewed_sessions} SELECT * FROM sessions",
+        "skewed_engagement": skewed_sessions + engagement_sql,
         "gold_dau": all_dau,
         "gold_page_views": f"{VIEWS_SQL} SELECT * FROM views",
         "gold_sessions": all_sessions,

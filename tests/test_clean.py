@@ -11,7 +11,11 @@ from tidemark.operators import clean, drop_nulls, keep_allowed, keep_first, vali
 from tidemark.schema import BRONZE_SCHEMA
 from tidemark.sources import IN_SET, NOT_NULL, UNIQUE, Rule, Suite, SuiteError, load_suite
 
-VIEW_ONLY = (Rule(NOT_NULL, "user_id"), Rule(UNIQUE, "event_id"), Rule(IN_SET, "event_type", ("view",)))
+VIEW_ONLY = (
+    Rule(NOT_NULL, "user_id"),
+    Rule(UNIQUE, "event_id"),
+    Rule(IN_SET, "event_type", ("view",)),
+)
 
 
 def run(spark, rows, rules=VIEW_ONLY):
@@ -81,7 +85,8 @@ def test_values_compare_in_the_type_of_the_column(spark):
 def test_rule_columns_resolve_like_spark_columns(spark):
     df = spark.createDataFrame([(1, 2), (1, 3)], "`a.b` int, Other int")
     assert keep_first(df, "a.b", ["Other"]).collect() == [(1, 2)]
-    assert clean(df, Suite("", (Rule(UNIQUE, "A.B"), Rule(NOT_NULL, "other")))).collect() == [(1, 2)]
+    other_case = Suite("", (Rule(UNIQUE, "A.B"), Rule(NOT_NULL, "other")))
+    assert clean(df, other_case).collect() == [(1, 2)]
     with pytest.raises(SuiteError, match="no column 'c'"):
         clean(df, Suite("", (Rule(NOT_NULL, "c"),)))
 
@@ -92,10 +97,8 @@ def test_unknown_rule_has_no_step(spark):
 
 
 def test_single_column_table_and_taken_name(spark):
-    assert sorted(keep_first(spark.createDataFrame([(1,), (1,), (2,)], "a int"), "a").collect()) == [
-        (1,),
-        (2,),
-    ]
+    single = spark.createDataFrame([(1,), (1,), (2,)], "a int")
+    assert sorted(keep_first(single, "a").collect()) == [(1,), (2,)]
     df = spark.createDataFrame([(1, 5), (1, 4)], "a int, ROW_RANK int")
     assert keep_first(df, "a").collect() == [(1, 4)]
 

@@ -124,7 +124,8 @@ def test_earliest_days_start_with_the_undated_day(spark):
 
 
 def test_top_pages_break_ties_by_name(spark):
-    views = spark.createDataFrame([("/b", 2), ("/a", 2), ("/c", 9)], "page string, total_views long")
+    rows = [("/b", 2), ("/a", 2), ("/c", 9)]
+    views = spark.createDataFrame(rows, "page string, total_views long")
     assert top_pages(views, 2).collect() == [("/c", 9), ("/a", 2)]
 
 
@@ -133,6 +134,8 @@ def test_samples(spark):
     assert silver_sample(events).columns == ["user_id", "event_type", "page", "device", "timestamp"]
     assert silver_sample(events).count() == 10
     assert silver_sample(events, 0).count() == 0
+    known = set(map(tuple, events.select(silver_sample(events).columns).collect()))
+    assert set(map(tuple, silver_sample(events).collect())) <= known
     sample = session_sample(session_metrics(events))
     assert sample.columns == ["session_id", "events_in_session", "duration_seconds"]
     assert sample.count() == 5

@@ -41,6 +41,31 @@ def test_batch_publishes_all_tables(spark, store):
     check_tables(store, rows)
 
 
+@pytest.mark.parametrize(
+    "setting",
+    [
+        {"spark.sql.adaptive.enabled": "false"},
+        {"spark.sql.ansi.enabled": "false"},
+        {"spark.sql.caseSensitive": "true"},
+        {"spark.sql.shuffle.partitions": "1"},
+        {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"},
+        {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"},
+    ],
+    ids=lambda setting: next(iter(setting)),
+)
+def test_results_do_not_depend_on_session_settings(spark, store, setting):
+    rows = hot_rows(28)
+    before = {name: spark.conf.get(name) for name in setting}
+    for name, value in setting.items():
+        spark.conf.set(name, value)
+    try:
+        run_batch(frame(spark, rows), store)
+        check_tables(store, rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_rerun_replaces_instead_of_appending(spark, store):
     run_batch(frame(spark, hot_rows(22)), store)
     rows = hot_rows(23)
@@ -96,8 +121,8 @@ def test_views_for_sql(spark, store):
     total = "SELECT (SELECT sum(events_in_session) FROM sessions) = (SELECT count(*) FROM silver)"
     assert spark.sql(total).collect() == [(True,)]
     days = spark.sql("SELECT max(daily_active_users) FROM gold_dau").collect()
-    assert days == [(max(d[-1] for d in model.daily_active_users(
-        model.clean(hot_rows(26), load_suite().rules))),)]
+    expected = model.daily_active_users(model.clean(hot_rows(26), load_suite().rules))
+    assert days == [(max(day[-1] for day in expected),)]
 
 
 def test_gold_reads_only_what_is_given(spark, store):
@@ -139,7 +164,8 @@ def test_command_line_with_tables(spark, tmp_path):
     rows = [event("1", "u", "view"), event("2", "v", "scroll")]
     encode_events(frame(spark, rows)).write.parquet(str(tmp_path / "in"))
     source = ["--format", "parquet", "--input", str(tmp_path / "in"), "--schema", "value binary"]
-    main(["ingest", *source, "--bronze", "cli_bronze", "--checkpoint", str(tmp_path / "c"), "--once"])
+    checkpoint = ["--checkpoint", str(tmp_path / "c"), "--once"]
+    main(["ingest", *source, "--bronze", "cli_bronze", *checkpoint])
     main(["batch", "--bronze", "cli_bronze", "--store", str(tmp_path / "s"), "--on-fail", "raise"])
     check_tables(VersionedStore(spark, str(tmp_path / "s")), rows)
     spark.sql("DROP TABLE cli_bronze")

@@ -55,7 +55,8 @@ def test_rows_partitions_and_nulls_come_back(spark, store, root):
 
 
 def test_types_and_order_of_columns_come_back(spark, store):
-    df = spark.createDataFrame([("007", 1, "x"), (None, 2, "y")], "code string, `n.m` int, t string")
+    rows = [("007", 1, "x"), (None, 2, "y")]
+    df = spark.createDataFrame(rows, "code string, `n.m` int, t string")
     store.publish(df, "codes", ["code"])
     found = store.read("codes")
     assert found.schema == df.schema

@@ -113,7 +113,8 @@ class VersionedStore:
         path = self._path(self._commit_path(name, version))
         stream = self._fs(path).open(path)
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(text)
         finally:
             stream.close()
 

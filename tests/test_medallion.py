@@ -103,6 +103,23 @@ def test_metrics_do_not_start_if_silver_fails(spark, store, monkeypatch):
     assert asked == [SILVER]
 
 
+def test_a_failing_metric_raises_and_the_others_are_published(spark, store, monkeypatch):
+    rows = hot_rows(29)
+    run_batch(frame(spark, []), store)
+    publish = store.publish
+
+    def failing(df, name, partition_by=()):
+        if name == GOLD_PAGE_VIEWS:
+            raise OSError("disk gone")
+        return publish(df, name, partition_by)
+
+    monkeypatch.setattr(store, "publish", failing)
+    with pytest.raises(OSError, match="disk gone"):
+        run_batch(frame(spark, rows), store)
+    assert store.read(GOLD_PAGE_VIEWS).count() == 0
+    assert store.read(GOLD_DAU).count() and store.read(GOLD_SESSIONS).count()
+
+
 def test_own_suite(spark, store):
     rows = [event("1", "u", "view"), event("1", "u", "view")]
     result = run_batch(frame(spark, rows), store, {"expectations": []}, on_fail="raise")

@@ -42,7 +42,8 @@ CATALOG_PREFIX = "catalog:"
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
+    logging.basicConfig(format="%(levelname)s %(name)s: %(message)s")
+    logging.getLogger("tidemark").setLevel(logging.INFO)
     spark = SparkSession.builder.appName(f"tidemark-{args.command}").getOrCreate()
     if not spark.sparkContext.getConf().contains("spark.sql.session.timeZone"):
         # Calendar days must not depend on the host.

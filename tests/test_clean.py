@@ -62,6 +62,11 @@ def test_empty_string_is_not_null(spark):
     assert run(spark, rows) == model_tuples(rows)
 
 
+def test_nan_goes_like_null(spark):
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (None, 3)], "x double, n int")
+    assert drop_nulls(df, "x").collect() == df.dropna(subset=["x"]).collect() == [(1.0, 1)]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import named
 from tidemark.sources.suite import (
@@ -22,11 +23,14 @@ from tidemark.sources.suite import (
 
 
 def drop_nulls(df: DataFrame, column: str) -> DataFrame:
-    """Drop rows where the column is null. An empty string is not null.
+    """Drop rows where the column is null, or NaN as in ``dropna``. '' is not null.
 
     A plain ``IS NOT NULL`` reaches the Parquet scan; ``dropna`` does not.
     """
-    return df.filter(named(column).isNotNull())
+    present = named(column).isNotNull()
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        present = present & ~F.isnan(named(column))
+    return df.filter(present)
 
 
 def keep_first(df: DataFrame, key: str, order_by: Sequence[str] = ("timestamp",)) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from model import at, event, frame, model_tuples, tuples
 from pyspark.sql import functions as F
 from tidemark.functions import decode_events, encode_events, with_date_parts
+from tidemark.operators import session_metrics
 from tidemark.schema import EVENT_SCHEMA
 from tidemark.streaming import bronze_events
 
@@ -85,6 +86,22 @@ def test_round_trip_keeps_nulls_and_microseconds(spark):
     assert tuples(found.collect()) == model_tuples(rows)
 
 
+def test_round_trip_is_exact_where_a_clock_hour_repeats(spark):
+    rows = [event(t[11:13], "u", "view", t) for t in ("2024-11-03T05:30:00", "2024-11-03T06:30:00")]
+    source = frame(spark, rows).select(*EVENT_SCHEMA.fieldNames())
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = decode_events(encode_events(source))
+        epochs = found.select("event_id", F.unix_timestamp("timestamp")).collect()
+        length = session_metrics(found).first()["duration_seconds"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {tuple(r) for r in epochs} == {
+        (r["event_id"], int(r["timestamp"].timestamp())) for r in rows
+    }
+    assert length == 3600
+
+
 def test_message_key_is_the_user(spark):
     found = encode_events(frame(spark, [event("1", "u", "view"), event("2", None, "view")]))
     assert found.dtypes == [("key", "string"), ("value", "binary")]

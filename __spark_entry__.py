@@ -232,7 +232,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": lambda s, d: validate(bronze(s, d), report),
         "dq_verdict": lambda s, d: verdict(validate(bronze(s, d), report)),
         "dq_silver_verdict": lambda s, d: verdict(validate(silver(s, d), report)),
-        "dq_profile": lambda s, d: profile(bronze(s, d), report),
+        "dq_profile": lambda s, d: profile(validate(bronze(s, d), report)),
         "dq_unexpected_values": lambda s, d: unexpected_values(bronze(s, d), IN_SET_RULE),
         "dq_duplicate_keys": lambda s, d: unexpected_values(bronze(s, d), UNIQUE_RULE, None),
         # cleaning

@@ -72,7 +72,7 @@ def test_empty_table_passes_with_zeros(spark):
     report = validate(frame(spark, []))
     assert counts(report) == [(1, 0, 0, 0), (2, 0, 0, 0), (3, 0, 0, 0)]
     assert verdict(report).collect() == [(True,)]
-    percents = profile(frame(spark, [])).select("missing_percent", "unexpected_percent_total")
+    percents = profile(report).select("missing_percent", "unexpected_percent_total")
     assert set(map(tuple, percents.collect())) == {(None, None)}
 
 
@@ -106,7 +106,7 @@ def test_several_rules_of_a_kind(spark):
 
 
 def test_profile(spark):
-    found = {r["column"]: r.asDict() for r in profile(frame(spark, ROWS)).collect()}
+    found = {r["column"]: r.asDict() for r in profile(validate(frame(spark, ROWS))).collect()}
     types = found["event_type"]
     assert types["missing_percent"] == pytest.approx(100 / 6)
     assert types["unexpected_percent"] == pytest.approx(60)

@@ -39,8 +39,8 @@ def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
     return _counts(df, suite).withColumns({"success": success, "status": status_label(success)})
 
 
-def profile(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
-    """The counts of :func:`validate` with percentages (null for an empty table).
+def profile(report: DataFrame) -> DataFrame:
+    """A report's counts with percentages (null for an empty table); no further scan.
 
     ``unexpected_percent`` is of the values the rule looks at: the non-null ones,
     except that the not-null rule looks at all.
@@ -48,7 +48,7 @@ def profile(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
     elements, missing = F.col("element_count"), F.col("missing_count")
     unexpected = F.col("unexpected_count")
     looked_at = F.when(F.col("rule") == NOT_NULL, elements).otherwise(elements - missing)
-    return _counts(df, suite).select(
+    return report.select(
         "position",
         "rule",
         "column",

@@ -50,12 +50,13 @@ def test_batch_publishes_all_tables(spark, store):
         {"spark.sql.shuffle.partitions": "1"},
         {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"},
         {"spark.sql.optimizer.windowGroupLimitThreshold": "-1"},
+        {"mapreduce.fileoutputcommitter.algorithm.version": "2"},
     ],
     ids=lambda setting: next(iter(setting)),
 )
 def test_results_do_not_depend_on_session_settings(spark, store, setting):
     rows = hot_rows(28)
-    before = {name: spark.conf.get(name) for name in setting}
+    before = {name: spark.conf.get(name, None) for name in setting}
     for name, value in setting.items():
         spark.conf.set(name, value)
     try:
@@ -63,7 +64,7 @@ def test_results_do_not_depend_on_session_settings(spark, store, setting):
         check_tables(store, rows)
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_rerun_replaces_instead_of_appending(spark, store):

@@ -7,12 +7,12 @@ import pytest
 import model
 from model import event, frame, model_tuples, tuples
 from test_clean import hot_rows
-from tidemark.__main__ import main
+from tidemark.__main__ import _parser, _store, main
 from tidemark.functions import encode_events
 from tidemark.operators import ContractViolation
 from tidemark.plans import build_gold, register_views, run_batch
 from tidemark.schema import GOLD_DAU, GOLD_PAGE_VIEWS, GOLD_SESSIONS, GOLD_TABLES, SILVER
-from tidemark.sinks import MissingTable, VersionedStore
+from tidemark.sinks import CatalogStore, MissingTable, VersionedStore
 from tidemark.sources import SuiteError, load_suite
 
 
@@ -178,6 +178,15 @@ def test_command_line(spark, tmp_path, capfd):
         main([*strict, "--suite", str(loose)])
 
 
+def test_command_line_names_a_catalog(spark, tmp_path):
+    args = _parser().parse_args(["gold", "--store", "catalog:local.clickstream"])
+    store = _store(spark, args)
+    assert isinstance(store, CatalogStore)
+    assert (store.namespace, store.provider) == ("local.clickstream", "iceberg")
+    args = _parser().parse_args(["gold", "--store", str(tmp_path), "--keep", "3"])
+    assert (_store(spark, args).root, _store(spark, args).keep) == (str(tmp_path), 3)
+
+
 def test_command_line_with_tables(spark, tmp_path):
     rows = [event("1", "u", "view"), event("2", "v", "scroll")]
     encode_events(frame(spark, rows)).write.parquet(str(tmp_path / "in"))

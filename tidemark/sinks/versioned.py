@@ -18,6 +18,7 @@ from tidemark.functions import named
 log = logging.getLogger(__name__)
 
 COMMIT_FILE = re.compile(r"(\d{10})\.json")
+DATA_FOLDER = re.compile(r"(\d{10})-[0-9a-f]+")
 
 
 class MissingTable(LookupError):
@@ -38,8 +39,8 @@ class VersionedStore:
     a table may be replaced by a query that reads it.
 
     The newest ``keep`` versions stay, so a query that started on the one before
-    the newest can end; older ones are deleted after a commit. The root must be a
-    file system all nodes share.
+    the newest can end; older ones, and what dead drivers left, are deleted after a
+    commit. The root must be a file system all nodes share.
     """
 
     def __init__(self, spark: SparkSession, root: str, keep: int = 2):
@@ -72,11 +73,10 @@ class VersionedStore:
             self._delete(target)
             raise
         # After any other commit error the data stays: the commit may have come through.
-        for old in sorted(self._versions(name))[: -self.keep]:
-            try:
-                self._expire(name, old)
-            except Py4JJavaError as error:
-                log.warning("%s: version %d not removed: %s", name, old, error.java_exception)
+        try:
+            self._clean_up(name, version)
+        except Py4JJavaError as error:
+            log.warning("%s: old versions not removed: %s", name, error.java_exception)
         return target
 
     def read(self, name: str) -> DataFrame:
@@ -102,12 +102,15 @@ class VersionedStore:
         return f"{self.root}/{name}/commits/{version:010d}.json"
 
     def _versions(self, name: str) -> list[int]:
-        folder = self._path(f"{self.root}/{name}/commits")
+        names = self._list(f"{self.root}/{name}/commits")
+        return [int(found.group(1)) for n in names if (found := COMMIT_FILE.fullmatch(n))]
+
+    def _list(self, path: str) -> list[str]:
+        folder = self._path(path)
         fs = self._fs(folder)
         if not fs.exists(folder):
             return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        return [int(found.group(1)) for n in names if (found := COMMIT_FILE.fullmatch(n))]
+        return [status.getPath().getName() for status in fs.listStatus(folder)]
 
     def _load_commit(self, name: str, version: int) -> dict[str, Any]:
         path = self._path(self._commit_path(name, version))
@@ -141,10 +144,20 @@ class VersionedStore:
                 raise ConcurrentPublish(f"{name}: version {version} exists") from error
             raise
 
-    def _expire(self, name: str, version: int) -> None:
-        folder = self._load_commit(name, version)["data"]
-        self._delete(self._commit_path(name, version))
-        self._delete(f"{self.root}/{name}/{folder}")
+    def _clean_up(self, name: str, newest: int) -> None:
+        """Delete commits beyond ``keep`` and older folders no commit names.
+
+        Such a folder is an expired version, or was left by a driver that died. A
+        publisher still writing one couldn't commit it any more.
+        """
+        versions = sorted(self._versions(name))
+        for old in versions[: -self.keep]:
+            self._delete(self._commit_path(name, old))
+        named_folders = {self._load_commit(name, v)["data"] for v in versions[-self.keep :]}
+        for folder in self._list(f"{self.root}/{name}/data"):
+            found = DATA_FOLDER.fullmatch(folder)
+            if found and int(found.group(1)) < newest and f"data/{folder}" not in named_folders:
+                self._delete(f"{self.root}/{name}/data/{folder}")
 
     def _delete(self, path: str) -> None:
         target = self._path(path)

@@ -103,6 +103,11 @@ def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be null as text: a comparison through floats can't keep both."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages, seven of eight spoilt in a way of their own."""
     text = "CAST(value AS STRING)"
@@ -251,9 +256,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # the same on skewed input
         "skewed_dq_report": lambda s, d: validate(skewed(s, d), report),
-        "skewed_silver": lambda s, d: clean(skewed(s, d), report),
-        "skewed_dau": lambda s, d: daily_active_users(skewed(s, d)),
-        "skewed_sessions": lambda s, d: session_metrics(skewed(s, d)),
+        "skewed_silver": lambda s, d: as_text(clean(skewed(s, d), report), *PARTITION_COLUMNS),
+        "skewed_dau": lambda s, d: as_text(daily_active_users(skewed(s, d)), *PARTITION_COLUMNS),
+        "skewed_sessions": lambda s, d: as_text(
+            session_metrics(skewed(s, d)), "duration_seconds"
+        ),
         "skewed_engagement": lambda s, d: engagement(session_metrics(skewed(s, d))),
         # metrics and reports
         "gold_dau": dau,
@@ -410,6 +417,7 @@ def oracle_sql() -> dict[str, str]:
     top = f"{VIEWS_SQL} SELECT * FROM views ORDER BY total_views DESC, page LIMIT 5"
     engagement_sql = ENGAGEMENT_SQL.format(avg="CAST(duration_seconds AS DOUBLE)")
     engaged = SESSIONS_SQL + engagement_sql
+    day_text = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in PARTITION_COLUMNS)
     skewed_sessions = SKEWED_SQL + _session_steps("bronze")
     per_session = _first_per("session_id", "bronze")
     return {
@@ -475,9 +483,11 @@ def oracle_sql() -> dict[str, str]:
         "silver_unique_before_set": f"""{BRONZE_SQL}, first_events AS ({per_session})
             SELECT * FROM first_events WHERE {IN_SET_SQL}""",
         "skewed_dq_report": SKEWED_SQL + REPORT_STEPS,
-        "skewed_silver": f"{SKEWED_SQL}{SILVER_STEPS} SELECT * FROM silver",
-        "skewed_dau": f"{SKEWED_SQL}{_dau_steps('bronze')} SELECT * FROM dau",
-        "skewed_sessions": f"{skewed_sessions} SELECT * FROM sessions",
+        "skewed_silver": f"{SKEWED_SQL}{SILVER_STEPS} SELECT * REPLACE ({day_text}) FROM silver",
+        "skewed_dau": f"{SKEWED_SQL}{_dau_steps('bronze')} SELECT * REPLACE ({day_text}) FROM dau",
+        "skewed_sessions": f"""{skewed_sessions}
+            SELECT * REPLACE (CAST(duration_seconds AS VARCHAR) AS duration_seconds)
+            FROM sessions""",
         "skewed_engagement": skewed_sessions + engagement_sql,
         "gold_dau": all_dau,
         "gold_page_views": f"{VIEWS_SQL} SELECT * FROM views",

@@ -33,7 +33,9 @@ def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
     * unique: every member of a group of equal non-null values is unexpected, the
       first one too.
 
-    A rule succeeds when nothing is unexpected, an empty table therefore always.
+    A rule succeeds when nothing is unexpected, an empty table therefore always. The
+    input is read once for all row-wise rules and once per uniqueness rule, so pass a
+    stored table rather than a plan that is costly to repeat.
     """
     success = F.col("unexpected_count") == 0
     return _counts(df, suite).withColumns({"success": success, "status": status_label(success)})

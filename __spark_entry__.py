@@ -57,6 +57,14 @@ from tidemark.sources import (
 )
 from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
 
+try:
+    import corpus_pipeline
+    from tidemark.llm import queries as llm
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "tidemark.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 NOT_NULL_RULE = Rule(NOT_NULL, "user_id")
 UNIQUE_RULE = Rule(UNIQUE, "event_id")
 IN_SET_RULE = Rule(IN_SET, "event_type", tuple(ALLOWED_EVENT_TYPES))
@@ -280,7 +288,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_latest_days": lambda s, d: latest_days(batch_run(s, d).read(GOLD_DAU)),
         "batch_top_pages": lambda s, d: top_pages(batch_run(s, d).read(GOLD_PAGE_VIEWS)),
     }
-    return {name: _zoneless(query) for name, query in found.items()}
+    found = {name: _zoneless(query) for name, query in found.items()}
+    if llm is not None:
+        found |= {**llm.queries(), "pipeline": corpus_pipeline.run}
+    return found
 
 
 def _zoneless(
@@ -420,7 +431,7 @@ def oracle_sql() -> dict[str, str]:
     day_text = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in PARTITION_COLUMNS)
     skewed_sessions = SKEWED_SQL + _session_steps("bronze")
     per_session = _first_per("session_id", "bronze")
-    return {
+    twins = {
         "encode_events": f"""{BRONZE_SQL}
             SELECT user_id AS key,
                    '{{"event_id":"' || event_id
@@ -504,3 +515,8 @@ def oracle_sql() -> dict[str, str]:
         "batch_latest_days": latest,
         "batch_top_pages": top,
     }
+    if llm is not None:
+        twins |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            twins["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return twins

@@ -135,11 +135,11 @@ class Parsed:
 def _rows(batch: int, bucket: np.ndarray, keys: np.ndarray, tags: np.ndarray | None, flags: np.ndarray) -> pa.Table:
     """A row per bucket; ``bucket`` is sorted."""
     found, first = np.unique(bucket, return_index=True)
-    ends = np.append(first[1:], len(bucket))
+    ends = np.append(first, len(bucket))[1:]
     cut = [slice(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
     return pa.table(
         [
-            pa.array(found, pa.int64()),
+            pa.array(found.astype(np.int64), pa.int64()),
             pa.array([batch] * len(cut), pa.int64()),
             pa.array([keys[c].tobytes() for c in cut], pa.binary()),
             pa.array([tags[c].tobytes() if tags is not None else b"" for c in cut], pa.binary()),
@@ -298,8 +298,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     def second(key: tuple, table: pa.Table) -> pa.Table:
         p = parsed(_Told(table), 1)
         flags = np.stack([p.piece_twice, p.piece_hot], axis=1)
-        rows = _rows(key[0].as_py(), p.piece_bucket, p.piece_body, p.piece_first, flags)
-        return rows
+        return _rows(key[0].as_py(), p.piece_bucket, p.piece_body, p.piece_first, flags)
 
     def third(key: tuple, table: pa.Table) -> pa.Table:
         p = parsed(_Told(table), 2)

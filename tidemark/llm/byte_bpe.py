@@ -5,7 +5,8 @@ strings become a vocabulary of such characters and, for every way to put a token
 two others, a merge. Decoding looks tokens up in the reversed byte table and joins their bytes: a
 character split over several tokens is whole again only then.
 
-No shuffle; a task holds the tokens of ``GROUP`` bytes of text at a time, or those of one text.
+Matches of the pattern are encoded by themselves, each distinct one of a batch once. No shuffle; a
+task holds the tokens of ``GROUP`` bytes of text at a time, or those of one text.
 
 Defined cases: a null text encodes like an empty one, to no tokens; rows are encoded one by one,
 repeated ones alike; an empty table gives an empty result; columns of the output's names are
@@ -17,19 +18,26 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tidemark.llm.common import small_batches
 
 GROUP = 1 << 18
+#: Matches whose tokens a worker remembers; all are forgotten when there are more.
+REMEMBERED = 500_000
 OUTPUT = {
     "ids": T.ArrayType(T.IntegerType()),
     "starts": T.ArrayType(T.IntegerType()),
@@ -54,9 +62,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-def tokenizer_json(ranks: dict[bytes, int], pattern: str) -> str:
-    """The tokenizer of a rank table: each match of the pattern is encoded by itself, merging the
-    adjacent pair of the lowest rank first."""
+def tokenizer_json(ranks: dict[bytes, int]) -> str:
+    """The tokenizer of a rank table, which merges the adjacent pair of the lowest rank first. It
+    is given one match of the pattern at a time."""
     table = byte_characters()
     name = {token: "".join(table[b] for b in token) for token in ranks}
     merges = []
@@ -72,29 +80,49 @@ def tokenizer_json(ranks: dict[bytes, int], pattern: str) -> str:
         ignore_merges=True,
     )
     tokenizer = Tokenizer(model)
-    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
-        [
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ]
-    )
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return tokenizer.to_str()
 
 
 class Codec:
-    def __init__(self, spec: str):
-        self.tokenizer = Tokenizer.from_str(spec)
+    """Encodes matches of the pattern, each distinct one once while it is remembered."""
+
+    def __init__(self, spec: str, pattern: str, remembered: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
+        self.tokenizer, self.remembered = Tokenizer.from_str(spec), remembered
+        self.matches = regex.compile(pattern)
         back = {c: b for b, c in enumerate(byte_characters())}
         vocab = json.loads(spec)["model"]["vocab"]
         self.bytes_of = {i: bytes(back[c] for c in token) for token, i in vocab.items()}
+        self.ids_of: dict[str, bytes] = {}  # packed: 32 bits each
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        words = [self.matches.findall(t) for t in texts]
+        known = self.ids_of
+        new = [w for w in set(chain.from_iterable(words)) if w not in known]
+        if len(known) + len(new) > self.remembered:
+            known.clear()
+            new = list(set(chain.from_iterable(words)))
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        known.update((w, array("i", e.ids).tobytes()) for w, e in zip(new, encoded, strict=True))
+        return [np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32) for w in words]
+
+    def offsets(self, text: str) -> list[tuple[int, int]]:
+        """First and last character (exclusive) of every token; those of a split character share it."""
+        found = []
+        for match in self.matches.finditer(text):
+            begin = match.start()
+            encoded = self.tokenizer.encode(match[0], add_special_tokens=False)
+            found += [(begin + a, begin + b) for a, b in encoded.offsets]
+        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 @lru_cache(maxsize=4)
-def _codec(spec: str) -> Codec:
-    return Codec(spec)
+def _codec(spec: str, pattern: str) -> Codec:
+    return Codec(spec, pattern)
 
 
 def encode_and_decode(
@@ -110,30 +138,26 @@ def encode_and_decode(
 
     The driver reads the vocabulary file; tasks get it as a broadcast, which is as large as the
     vocabulary whatever the corpus."""
-    spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(vocabulary), pattern))
+    spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(vocabulary)))
     others = [c for c in docs.columns if c != text and c.lower() not in OUTPUT]
     rows = docs.select(*others, F.col(text).alias("text"))
     schema = T.StructType([rows.schema[c] for c in others])
     for name in outputs:
         schema.add(name, OUTPUT[name])
-    offsets = "starts" in outputs or "ends" in outputs
+    offsets = not {"starts", "ends"}.isdisjoint(outputs)
+    decodes = not {"decoded", "decoded_sha256"}.isdisjoint(outputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(spec.value)
-        encode = codec.tokenizer.encode if offsets else None
-        fast = codec.tokenizer.encode_batch_fast
+        codec = _codec(spec.value, pattern)
         for batch in small_batches(batches, "text", GROUP):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            if offsets:
-                found = [encode(t, add_special_tokens=False) for t in texts]
-            else:
-                found = fast(texts, add_special_tokens=False)
             columns: dict[str, list] = {name: [] for name in outputs}
-            for one in found:
-                ids = one.ids
-                decoded = codec.decode(ids) if {"decoded", "decoded_sha256"} & {*outputs} else b""
+            for one, packed in zip(texts, codec.encode(texts), strict=True):
+                ids = packed.tolist()
+                decoded = codec.decode(ids) if decodes else b""
+                places = codec.offsets(one) if offsets else []
                 for name, values in columns.items():
-                    values.append(_value(name, one, ids, decoded))
+                    values.append(_value(name, places, ids, decoded))
             own = [pa.array(columns[n], pa_type(n)) for n in outputs]
             yield pa.record_batch([*[batch.column(c) for c in others], *own], names=[*others, *outputs])
 
@@ -145,14 +169,14 @@ def pa_type(name: str) -> pa.DataType:
     return {"ids": ints, "starts": ints, "ends": ints, "decoded": pa.binary(), "n_tokens": pa.int64()}.get(name, pa.string())
 
 
-def _value(name: str, one, ids: list[int], decoded: bytes):
+def _value(name: str, places: list[tuple[int, int]], ids: list[int], decoded: bytes):
     match name:
         case "ids":
             return ids
         case "starts":
-            return [a for a, _ in one.offsets]
+            return [a for a, _ in places]
         case "ends":
-            return [b for _, b in one.offsets]
+            return [b for _, b in places]
         case "decoded":
             return decoded
         case "n_tokens":

@@ -1,19 +1,40 @@
 """A corpus from raw documents to token counts: each stage takes the documents its predecessor kept,
-written as Parquet and read again."""
+written as Parquet and read again.
+
+What a stage writes for itself in the shared folder is deleted when the next stage over the same
+folder of tables is called, as its result has been written by then; the rest when the session ends.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, decontaminate, quality_rules, simhash, suffix_dedup
-from tidemark.llm.common import staged
+from tidemark.llm.common import drop_folders, noted_folders, staged
 from tidemark.llm.queries import VOCABULARY
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: dict[str, list[str]] = {}
+
+
+def _stage(f: Stage) -> Stage:
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_folders(spark, _left.pop(sf_dir, []))
+        with noted_folders() as made:
+            result = f(spark, docs, sf_dir)
+        _left[sf_dir] = made
+        return result
+
+    return run_stage
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
     return quality_rules.keep_good(docs)
@@ -48,12 +69,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality),
-    ("simhash", near_duplicates),
-    ("suffix_dedup", repeats),
-    ("decontamination", contamination),
-    ("byte_bpe", tokens),
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", _stage(quality)),
+    ("simhash", _stage(near_duplicates)),
+    ("suffix_dedup", _stage(repeats)),
+    ("decontamination", _stage(contamination)),
+    ("byte_bpe", _stage(tokens)),
 ]
 
 #: Components over links, 64-bit hashes and tokens aren't for SQL: tests compare with brute force.
@@ -62,6 +83,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        with noted_folders() as made:
+            docs = staged(stage(spark, docs, sf_dir), name)
+        drop_folders(spark, before)
+        before = made
     return STAGES[-1][1](spark, docs, sf_dir)

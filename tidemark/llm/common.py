@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: staged tables, fresh names, bounded batches."""
+"""Helpers shared by the operators: staged tables and their folders, bounded batches."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,12 +30,35 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = _OWN.setdefault("root", tempfile.mkdtemp(prefix="tidemark-llm-"))
     path = f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    files, at = _place(spark, path)
+    files.deleteOnExit(at)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return path
 
 
+def _place(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+@contextmanager
+def noted_folders() -> Iterator[list[str]]:
+    """The folders that ``shared_folder`` names meanwhile."""
+    before = _made.set([])
+    try:
+        yield _made.get()
+    finally:
+        _made.reset(before)
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders whose tables nobody reads any more."""
+    for path in paths:
+        files, at = _place(spark, path)
+        files.delete(at, True)
+
+
 def staged(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, computed once, safe
     from lost executors."""
@@ -41,14 +67,6 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, lengthened until no column of ``df`` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]

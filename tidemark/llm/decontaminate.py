@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, small_batches, staged
+from tidemark.llm.common import small_batches, staged
 from tidemark.llm.pfp import Block, mixed
 
 SHINGLE = 5
@@ -118,25 +118,39 @@ class Index:
         return len(own & seen[w]), len(own)
 
 
+def _found(batch: pa.RecordBatch, index: Index) -> Iterator[tuple[int, int, int, int]]:
+    """Text, item, shared shingles and the item's shingles of each verified hit."""
+    texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+    by_text = defaultdict(list)
+    for t, i in index.hits(*_flat(texts)):
+        by_text[t].append(i)
+    for t, items in sorted(by_text.items()):
+        seen: dict[int, set[bytes]] = {}
+        for i in sorted(items):
+            n, of = index.shared(texts[t], i, seen)
+            if n >= index.threshold * of - 1e-9:
+                yield t, i, n, of
+
+
+def _blocks(items: DataFrame) -> Iterator[tuple[list[tuple], bool]]:
+    """Ids and texts of the items, a block at a time, and whether it is the only one."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    texts = items.filter("text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
+    for k in range(blocks):
+        block = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield [tuple(r) for r in block.collect()], blocks == 1
+
+
 def _matches(rows: DataFrame, items: list[tuple], threshold: float, width: int) -> DataFrame:
-    spark = rows.sparkSession
-    sent = spark.sparkContext.broadcast(items)
+    sent = rows.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = [i for i, _ in sent.value]
         index = Index([t.encode() for _, t in sent.value], threshold, width)
         for batch in small_batches(batches, "text", BATCH):
-            texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
-            out, by_text = [], defaultdict(list)
-            for t, i in index.hits(*_flat(texts)):
-                by_text[t].append(i)
             doc_ids = batch.column("doc_id")
-            for t, found in sorted(by_text.items()):
-                seen: dict[int, set[bytes]] = {}
-                for i in sorted(found):
-                    n, of = index.shared(texts[t], i, seen)
-                    if n >= threshold * of - 1e-9:
-                        out.append((doc_ids[t].as_py(), ids[i], n, of))
+            out = [(doc_ids[t].as_py(), ids[i], n, of) for t, i, n, of in _found(batch, index)]
             columns = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.record_batch(
                 [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_shared", "n_item"]
@@ -157,21 +171,29 @@ def contained_items(
     """``doc_id``, ``item_id``, ``n_shared``, ``n_item`` (distinct shingles) and ``containment`` for
     each pair with at least the given containment."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    texts = items.filter("text is not null").select(F.col("item_id").cast("long"), "text")
     found = []
-    for k in range(blocks):
-        block = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        own = _matches(rows, [tuple(r) for r in block.collect()], threshold, width)
-        found.append(own if blocks == 1 else staged(own, "matches"))
+    for block, only in _blocks(items):
+        own = _matches(rows, block, threshold, width)
+        found.append(own if only else staged(own, "matches"))
     return reduce(DataFrame.union, found)
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, text: str = "text") -> DataFrame:
-    """The documents that contain no item, with all columns."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    at = fresh(docs, "at")
-    whole = staged(docs.select(row, F.col(text).alias("text"), F.monotonically_increasing_id().alias(at)), "numbered")
-    found = contained_items(whole, items, threshold, width, at).select(F.col("doc_id").alias(at)).distinct()
-    return whole.join(found, at, "left_anti").select("row.*")
+def keep_clean(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, text: str = "text"
+) -> DataFrame:
+    """The documents that contain no item, with all columns; rows are judged where they are."""
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col(text).alias("text"))
+    for block, only in _blocks(items):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            index = Index([t.encode() for _, t in sent.value], threshold, width)
+            for batch in small_batches(batches, "text", BATCH):
+                clean = np.ones(batch.num_rows, bool)
+                clean[[t for t, *_ in _found(batch, index)]] = False
+                yield batch.filter(pa.array(clean))
+
+        rows = rows.mapInArrow(run, rows.schema)
+        rows = rows if only else staged(rows, "clean")
+    return rows.select("row.*")

@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import releasing, small_batches
 
 GROUP = 1 << 18
-#: Matches whose tokens a worker remembers; all are forgotten when there are more.
-REMEMBERED = 500_000
+#: Matches whose tokens a worker remembers; all are forgotten when there are
+#: more, and at the end of a task.
+REMEMBERED = 300_000
 OUTPUT = {
     "ids": T.ArrayType(T.IntegerType()),
     "starts": T.ArrayType(T.IntegerType()),
@@ -160,8 +161,9 @@ def encode_and_decode(
                     values.append(_value(name, places, ids, decoded))
             own = [pa.array(columns[n], pa_type(n)) for n in outputs]
             yield pa.record_batch([*[batch.column(c) for c in others], *own], names=[*others, *outputs])
+        codec.ids_of.clear()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def pa_type(name: str) -> pa.DataType:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import releasing, small_batches
 from tidemark.llm.language import remainder
 
 TRAIN_ROWS = 1_200
@@ -124,4 +124,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(releasing(run), "doc_id long, held_out boolean, score double, predicted int")

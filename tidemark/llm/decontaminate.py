@@ -19,21 +19,22 @@ empty table on either side gives an empty result.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, staged
+from tidemark.llm.common import releasing, small_batches, staged
 from tidemark.llm.pfp import Block, mixed
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BLOCK_BYTES = 16 << 20
-BATCH = 1 << 22
+BATCH = 1 << 20
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -156,7 +157,7 @@ def _matches(rows: DataFrame, items: list[tuple], threshold: float, width: int)
                 [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_shared", "n_item"]
             )
 
-    found = rows.mapInArrow(run, "doc_id long, item_id long, n_shared long, n_item long")
+    found = rows.mapInArrow(releasing(run), "doc_id long, item_id long, n_shared long, n_item long")
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
@@ -186,14 +187,17 @@ def keep_clean(
     rows = docs.select(whole, F.col(text).alias("text"))
     for block, only in _blocks(items):
         sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index([t.encode() for _, t in sent.value], threshold, width)
-            for batch in small_batches(batches, "text", BATCH):
-                clean = np.ones(batch.num_rows, bool)
-                clean[[t for t, *_ in _found(batch, index)]] = False
-                yield batch.filter(pa.array(clean))
-
-        rows = rows.mapInArrow(run, rows.schema)
+        rows = rows.mapInArrow(releasing(_cleaner(sent, threshold, width)), rows.schema)
         rows = rows if only else staged(rows, "clean")
     return rows.select("row.*")
+
+
+def _cleaner(sent: Broadcast, threshold: float, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index([t.encode() for _, t in sent.value], threshold, width)
+        for batch in small_batches(batches, "text", BATCH):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[t for t, *_ in _found(batch, index)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run

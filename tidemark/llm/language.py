@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import releasing, small_batches
 
 PROFILE = 300
 TRAIN_ROWS = 2_000
@@ -106,7 +106,7 @@ def learn_profiles(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> dict[str, l
                     [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)], names=["lang", "key", "n"]
                 )
 
-    grams = chosen.select("lang", "text").mapInArrow(run, "lang string, key long, n long")
+    grams = chosen.select("lang", "text").mapInArrow(releasing(run), "lang string, key long, n long")
     total = grams.groupBy("lang", "key").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     top = total.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= PROFILE)
@@ -132,4 +132,4 @@ def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, train_rows: int
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(releasing(run), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import power_of_two, small_batches, staged
+from tidemark.llm.common import power_of_two, releasing, small_batches, staged
 from tidemark.llm.pfp import EVERY, Block
 
 BLOCK = 1 << 20
@@ -238,7 +238,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 names=["batch", "size", "packed"],
             )
 
-    return docs.mapInArrow(run, "batch long, size long, packed binary")
+    return docs.mapInArrow(releasing(run), "batch long, size long, packed binary")
 
 
 class _Told:
@@ -324,13 +324,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         rows = body
         for answer in answers:
             rows = rows.union(answer)
-        return rows.groupBy("batch").applyInArrow(f, schema)
+        return rows.groupBy("batch").applyInArrow(releasing(f), schema)
 
     def answered(keys: DataFrame, f: Callable[[tuple, pa.Table], pa.Table]) -> None:
-        found = keys.groupBy("bucket").applyInArrow(f, FLAGS)
+        found = keys.groupBy("bucket").applyInArrow(releasing(f), FLAGS)
         answers.append(staged(found, f"answers{len(answers)}"))
 
-    answered(blocks.select("batch", "packed").mapInArrow(first, KEYS), _repeated(1))
+    answered(blocks.select("batch", "packed").mapInArrow(releasing(first), KEYS), _repeated(1))
     answered(with_answers(second, KEYS), _repeated_pieces)
     answered(with_answers(third, KEYS), _repeated(3))
     return with_answers(last, schema)

@@ -2,7 +2,8 @@
 written as Parquet and read again.
 
 What a stage writes for itself in the shared folder is deleted when the next stage over the same
-folder of tables is called, as its result has been written by then; the rest when the session ends.
+folder of tables is called with documents that don't read from it, as its result has been written
+by then; the rest when the session ends.
 """
 
 from __future__ import annotations
@@ -23,10 +24,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _left: dict[str, list[str]] = {}
 
 
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
 def _stage(f: Stage) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_folders(spark, _left.pop(sf_dir, []))
+        left = _left.pop(sf_dir, [])
+        read = docs.inputFiles() if left else []
+        if not any(folder in file for folder in map(_name, left) for file in read):
+            drop_folders(spark, left)
         with noted_folders() as made:
             result = f(spark, docs, sf_dir)
         _left[sf_dir] = made

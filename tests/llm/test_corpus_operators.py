@@ -1,0 +1,308 @@
+"""The operators that compare rows with each other, against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import common, components, pfp, queries, sharding, simhash, suffix_dedup, warc
+
+SF = "/root/testdata/sf0.001"
+
+
+# ---------------------------------------------------------------- components
+
+
+def roots_of(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
+def test_components(spark, shape):
+    rng = random.Random(2)
+    links = {
+        "chain": [(i, i + 1) for i in range(300)],
+        "star": [(0, i) for i in range(1, 300)] + [(-5, -6), (7, 7)],
+        "random": [(rng.randrange(200), rng.randrange(200)) for _ in range(120)],
+        "none": [],
+    }[shape]
+    found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    want = roots_of(nodes, links)
+    assert {r["node"] for r in found} == nodes
+    groups = lambda pairs: sorted(sorted(n for n, r in pairs if r == k) for k in {r for _, r in pairs})
+    assert groups([(r["node"], r["root"]) for r in found]) == groups(list(want.items()))
+
+
+# ------------------------------------------------------------------- simhash
+
+
+def plain_fingerprint(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", lower) if w]
+    if not words:
+        return 0
+    cut = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in cut]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_texts():
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    texts = [None, "", " \n", "a", "A", "a b c d", "É é ß", "x " * 5000]
+    for _ in range(12):
+        own = rng.choices(words, k=rng.randint(150, 400))
+        for _ in range(rng.randint(1, 8)):
+            texts.append(" ".join(own))
+            own[rng.randrange(len(own))] = rng.choice(words)
+    return texts + texts[-4:]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    texts = near_texts()
+    rows = [(100 - i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"fp": F.lit("x"), "row": F.lit(1)})
+    marks = {i: plain_fingerprint(t) for i, t in rows}
+    links = [(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= 4]
+    root = roots_of(marks, links)
+    found = simhash.near_duplicates(docs).collect()
+    assert sorted(map(tuple, found)) == sorted((i, f"{marks[i]:016x}", root[i]) for i in marks)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root.values()))
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    rows = [(1, "p q r s t"), (1, "p q r s t"), (1, "other words in this text"), (None, "lone text without id"), (None, "lone text without id"), (2, "p q r s t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((tuple(r) for r in simhash.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([rows[0], rows[2], rows[3]], key=repr)
+
+
+def test_all_links_within_the_radius_are_found(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "VARIANTS_PER_TASK", 20_000)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for k in [0, 1, 2, 3, 4, 5, 6] * 20]
+    marks = sorted({int(rng.choice(base)) ^ f for f in flips})
+    links = [(a, b) for a in marks for b in marks if a < b and (a ^ b).bit_count() <= 4]
+    signed = spark.createDataFrame([(int(np.uint64(m).astype(np.int64)),) for m in marks], "fp long")
+    found = components.components(simhash.near_links(signed)).collect()
+    got = [(r["node"] % 2**64, r["root"] % 2**64) for r in found]
+    groups = lambda pairs: sorted(sorted(n for n, r in pairs if r == k) for k in {r for _, r in pairs})
+    want = [(n, r) for n, r in roots_of(marks, links).items()]
+    assert groups(got) == [g for g in groups(want) if len(g) > 1]
+
+
+# -------------------------------------------------------------- suffix dedup
+
+
+def repeat_texts(length):
+    rng = random.Random(6)
+    letters = "abcdef éß\n"
+    word = lambda n: "".join(rng.choices(letters, k=n))
+    shared = [word(length + rng.randint(-5, 300)) for _ in range(8)]
+    texts = [None, "", "short", word(length), "a" * (length + 7), "ab" * 900, "x" * (length - 1)]
+    for _ in range(60):
+        parts = [word(rng.randint(0, 400))]
+        for _ in range(rng.randint(0, 3)):
+            piece = rng.choice(shared)
+            begin = rng.randint(0, len(piece) // 2)
+            parts += [piece[begin : rng.randint(begin, len(piece))] if rng.random() < 0.5 else piece, word(rng.randint(0, 80))]
+        texts.append("".join(parts))
+    return texts + texts[10:13] + [word(150_000)]
+
+
+def kept_by_force(texts, length):
+    bodies = [(t or "").encode() for t in texts]
+    count = Counter(b[i : i + length] for b in bodies for i in range(len(b) - length + 1))
+    for b in bodies:
+        gone = np.zeros(len(b) + 1, bool)
+        for i in range(len(b) - length + 1):
+            if count[b[i : i + length]] > 1:
+                gone[i : i + length] = True
+        edges = int(np.count_nonzero(gone[:-1] & ~np.append(False, gone[:-1])[:-1]))
+        yield len(b), int(gone.sum()), edges, bytes(np.frombuffer(b, np.uint8)[~gone[:-1]])
+
+
+@pytest.mark.parametrize(("length", "hot"), [(200, 4096), (60, 2)])
+def test_removed_repeats_equal_brute_force(spark, monkeypatch, length, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_BLOCKS", hot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 20_000)
+    monkeypatch.setattr(suffix_dedup, "KEYS_PER_BUCKET", 500)
+    texts = repeat_texts(length)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    named = docs.withColumns({"kept": F.lit("mine"), "batch": F.lit(7), "body": F.lit("b")})
+    want = dict(enumerate(kept_by_force(texts, length)))
+    rows = suffix_dedup.remove_repeats(named, length).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows} == want
+    assert all(sum(b - a for a, b in r["spans"]) == r["n_removed"] and r["body"] == "b" for r in rows)
+    cleaned = suffix_dedup.remove_repeats(named, length, as_text=True)
+    assert cleaned.columns == named.columns
+    own = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert own == {i: None if t is None else want[i][3].decode("utf-8", "ignore") for i, t in enumerate(texts)}
+
+
+def test_empty_corpus_has_no_repeats(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert suffix_dedup.remove_repeats(docs).count() == 0
+
+
+def test_phrases_start_and_end_with_triggers():
+    data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
+    block = pfp.Block(data, np.array([0, 2000, 2000, 5000]), 200)
+    start, end = block.phrases()
+    ends = set(block.trigger_ends.tolist())
+    assert len(start) > 50
+    assert all(int(s) + pfp.TRIGGER in ends and int(e) in ends for s, e in zip(start, end, strict=True))
+
+
+# ---------------------------------------------------------------------- WARC
+
+
+def test_archives_round_trip(spark, tmp_path):
+    rows = [(1, "http://a/ é\r\nX: y", "same"), (2, None, "same"), (2, None, "same"), (3, "u", ""), (4, "u", None)]
+    rows += [(5, "u", "WARC/1.1\r\n\r\n" * 50), (None, "u", "same"), (6, "u", "é" * 400_000), (None, "n", "no id")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1))
+    manifest = warc.write_archives(pages, str(tmp_path / "mono"))
+    index = warc.normalise(manifest, str(tmp_path / "norm"))
+    found = warc.read_records(index).collect()
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in found), key=repr)
+    want = [(1, 4, "revisit", 2), (2, 4, "response", None), (2, 4, "response", None), (3, 0, "revisit", 4)]
+    want += [(4, 0, "response", None), (5, 600, "response", None), (None, 4, "revisit", 2), (6, 800_000, "response", None)]
+    assert got == sorted([*want, (None, 5, "response", None)], key=repr)
+    assert all(r["payload"] is None or warc.digest_of(bytes(r["payload"])) == r["payload_digest"] for r in found)
+    assert sum(1 for r in found if r["payload"] is not None) == 6
+    import gzip
+    import json
+
+    for path in (tmp_path / "norm").glob("*.gz"):
+        data, lines = path.read_bytes(), (path.parent / f"{path.name}.idx").read_text().splitlines()
+        parts = [json.loads(x) for x in lines]
+        assert all(gzip.decompress(data[p["offset"] : p["offset"] + p["length"]]).startswith(b"WARC/1.1") for p in parts)
+        assert sum(p["length"] for p in parts) == len(data)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_a_cut_archive_raises():
+    one = warc.record(1, "u", b"payload", None, False)
+    assert list(warc.records(iter([one[:9], one[9:] + one, b""]))) == [one, one]
+    with pytest.raises(ValueError, match="within a record"):
+        list(warc.records(iter([one[:-3]])))
+
+
+# ------------------------------------------------------------------ sharding
+
+
+def test_shards_are_exact_and_gapless(spark):
+    docs = spark.range(1003).selectExpr("id % 400 AS doc_id", "'x' AS shard", "1 AS slot").repartition(7)
+    rows = sharding.shuffle_into_shards(docs, 8, seed=3).collect()
+    slots = {k: sorted(r["slot"] for r in rows if r["shard"] == k) for k in range(8)}
+    assert all(slots[k] == list(range(n)) for k, n in enumerate(sharding.exact_sizes(1003, 8)))
+    assert Counter(r["doc_id"] for r in rows) == Counter(i % 400 for i in range(1003))
+    assert sharding.shuffle_into_shards(docs.limit(0), 8).count() == 0
+    assert sorted(r["shard"] for r in sharding.shuffle_into_shards(docs.limit(3), 8).collect()) == [0, 1, 2]
+
+
+def test_matrix_has_its_margins_and_distribution():
+    parts, shards = [50, 0, 7, 143], sharding.exact_sizes(200, 3)
+    seen = []
+    for seed in range(400):
+        matrix = sharding.communication_matrix(parts, shards, seed)
+        assert [sum(row) for row in matrix] == parts
+        assert [sum(column) for column in zip(*matrix, strict=True)] == shards
+        seen.append(matrix[0][0])
+    mean, n, good = 50 * shards[0] / 200, 200, shards[0]
+    spread = 50 * good / n * (1 - good / n) * (n - 50) / (n - 1)
+    assert abs(np.mean(seen) - mean) < 4 * (spread / 400) ** 0.5
+    assert 0.7 < np.var(seen) / spread < 1.4
+
+
+def test_large_populations_are_drawn_alike(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(sharding, "NUMPY_MOST", 0)
+    own = [sharding.draw(rng, 300, 700, 90) for _ in range(3000)]
+    assert abs(np.mean(own) - 27) < 0.3 and 0.85 < np.var(own) / (90 * 0.3 * 0.7 * 910 / 999) < 1.15
+    assert sharding.draw(rng, 0, 10, 5) == 0 and sharding.draw(rng, 10, 0, 5) == 5
+    assert abs(sharding.draw(rng, 10**11, 7 * 10**11, 64_000) - 8000) < 600
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+def test_pipeline_equals_its_stages_by_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    from tidemark.llm import decontaminate, quality_rules
+
+    judged = quality_rules.apply_policy(quality_rules.ledger(docs)).filter("kept")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = {r["doc_id"]: rows[r["doc_id"]] for r in judged.collect()}
+    marks = {i: plain_fingerprint(t) for i, t in rows.items()}
+    links = [(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= 4]
+    root = roots_of(marks, links)
+    ids = [i for i in sorted(rows) if root[i] == i]
+    kept = [k[3].decode("utf-8", "ignore") for k in kept_by_force([rows[i] for i in ids], 200)]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    shingled = [decontaminate.shingles(t.encode(), 5) for _, t in items]
+    leaked = lambda t: any(s and len(s & decontaminate.shingles(t.encode(), 5)) >= 0.8 * len(s) for s in shingled)
+    want = {i: hashlib.sha256(t.encode()).hexdigest() for i, t in zip(ids, kept, strict=True) if not leaked(t)}
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"]: r["decoded_sha256"] for r in got} == want
+    assert len(got) == len(want) > 100
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert docs.count() == 0
+
+
+def test_scratch_folders_go(spark, tmp_path):
+    with common.noted_folders() as made:
+        df = common.staged(spark.range(3))
+    assert df.count() == 3 and len(made) == 1
+    common.drop_folders(spark, made)
+    import os
+
+    assert not os.path.exists(made[0].removeprefix("file:"))
+
+
+def test_queries_have_their_columns(spark):
+    want = {
+        "op1_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+        "op2_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+        "op3_byte_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+        "op4_simhash": {"doc_id", "fingerprint", "component_id"},
+        "op5_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
+        "op7_language": {"doc_id", "held_out", "lang_pred", "score"},
+        "op8_compression_quality": {"doc_id", "held_out", "score", "predicted"},
+        "op9_html_text": {"page_id", "url", "text", "n_chars"},
+        "op10_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    }
+    n = {"pages": spark.read.parquet(f"{SF}/pages.parquet").count(), "documents": spark.read.parquet(f"{SF}/documents.parquet").count()}
+    for name, columns in want.items():
+        df = queries.queries()[name](spark, SF)
+        assert columns <= set(df.columns), name
+        assert df.count() == n["pages" if "page_id" in columns else "documents"], name

@@ -11,7 +11,7 @@ right before them. A page that never surges keeps its heaviest run of paragraphs
 One scan, a page at a time, no shuffle; a page's cost is linear in its length.
 
 Defined cases: null and empty pages have an empty text; tags that are never closed end with the page, except
-that dropped content ends where an article begins; repeated pages give repeated rows; an empty
+that content dropped before the first article ends where that begins; repeated pages give repeated rows; an empty
 table gives an empty result.
 """
 
@@ -91,7 +91,7 @@ class Line:
 def lines(html: str) -> list[tuple[str, int, str, bool]]:
     """Text, length outside links, tag and whether in an article, of each line with text."""
     out: list[Line] = [Line("", False)]
-    drop, depth, regions, links = "", 0, [], 0
+    drop, depth, regions, links, seen = "", 0, [], 0, False
 
     def begin(tag: str) -> None:
         if out[-1].parts:
@@ -112,7 +112,7 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
             continue
         tag, closing, raw = tag.lower(), token[2] or token[5], token[4] or token[7] or ""
         if drop:
-            if tag in REGIONS and not closing and drop != tag and not is_dropped(tag, raw, True):
+            if tag in REGIONS and not closing and not seen and not is_dropped(tag, raw, True):
                 drop = ""
             else:
                 if tag == drop and not raw.endswith("/"):
@@ -136,6 +136,7 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
                 regions.remove(tag)
             elif not closing:
                 regions.append(tag)
+                seen = True
         if tag in BLOCKS:
             links = 0
             begin("" if closing else tag)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +47,19 @@ from tidemark.schema import (
 )
 from tidemark.sinks import VersionedStore
 from tidemark.sources import (
+    BETWEEN,
+    COLUMN_EXISTS,
     IN_SET,
+    LENGTHS,
+    MATCHES,
+    NOT_IN_SET,
     NOT_NULL,
+    NULL,
+    ROW_COUNT,
     UNIQUE,
     Rule,
     Suite,
+    load_suite,
     read_events,
     read_stream,
     read_table,
@@ -68,6 +77,22 @@ except ImportError as missing:
 NOT_NULL_RULE = Rule(NOT_NULL, "user_id")
 UNIQUE_RULE = Rule(UNIQUE, "event_id")
 IN_SET_RULE = Rule(IN_SET, "event_type", tuple(ALLOWED_EVENT_TYPES))
+SUITE_FILE = Path(__file__).resolve().parent / "conf" / "clickstream_suite.json"
+# Listed fractions that the columns can't hold must match nothing.
+NUMERIC_SUITE = Suite(
+    "numeric",
+    (Rule(IN_SET, "whole", (1.5, 2, "3", 4.0, 0.4)), Rule(IN_SET, "amount", (0.5, 1, 1.04, "1.5"))),
+)
+CHECK_ONLY = {
+    "not_in_set": Rule(NOT_IN_SET, "device", ("tablet", "tv")),
+    "between": Rule(BETWEEN, "timestamp", min_value="2024-01-05", max_value="2024-01-20"),
+    "regex": Rule(MATCHES, "page", regex="[0-3]$"),
+    "null": Rule(NULL, "user_id"),
+    "lengths": Rule(LENGTHS, "event_id", min_value=2, max_value=4),
+    "row_count": Rule(ROW_COUNT, min_value=1, max_value=100),
+    "column_exists": Rule(COLUMN_EXISTS, "Session_ID"),
+    "mostly": Rule(NOT_NULL, "user_id", mostly=0.9),
+}
 
 
 # ------------------------------------------------------------------ inputs
@@ -133,6 +158,15 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole and a decimal column, with nulls."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id",
+        "CAST(IF(event_id % 7 = 0, NULL, user_id % 10) AS INT) AS whole",
+        "CAST(event_id % 5 AS DECIMAL(5, 0)) / 2 AS half",
+    ).selectExpr("event_id", "whole", "CAST(half AS DECIMAL(6, 1)) AS amount")
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(bronze(spark, sf_dir))
 
@@ -144,7 +178,11 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
         shared = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    # The result reads from it lazily, so it goes with the session and not before.
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,12 +225,37 @@ def publish_silver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(SILVER)
 
 
-def published_gold(spark: SparkSession, sf_dir: str) -> VersionedStore:
+def published_silver(spark: SparkSession, sf_dir: str) -> VersionedStore:
     store = VersionedStore(spark, scratch(spark))
-    build_gold(silver(spark, sf_dir), store)
+    store.publish(silver(spark, sf_dir), SILVER, PARTITION_COLUMNS)
+    return store
+
+
+def published_sessions(spark: SparkSession, sf_dir: str) -> VersionedStore:
+    store = published_silver(spark, sf_dir)
+    build_gold(store.read(SILVER), store, [GOLD_SESSIONS])
     return store
 
 
+def sampled_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = published_silver(spark, sf_dir).read(SILVER)
+    return found_in(silver_sample(table), table)
+
+
+def sampled_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = published_sessions(spark, sf_dir).read(GOLD_SESSIONS)
+    return found_in(session_sample(table), table)
+
+
+def found_in(sample: DataFrame, table: DataFrame) -> DataFrame:
+    """How many rows a sample has, and how many of them the table has: the same for any sample."""
+    names = sample.columns
+    there = table.select(*names).distinct().select(*[F.col(c).alias(f"own_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"own_{c}")) for c in names]
+    rows = sample.join(there.withColumn("found", F.lit(1)), same, "left")
+    return rows.agg(F.count(F.lit(1)).alias("n_sampled"), F.count("found").alias("n_found"))
+
+
 def batch_run(spark: SparkSession, sf_dir: str) -> VersionedStore:
     store = VersionedStore(spark, scratch(spark))
     run_batch(bronze(spark, sf_dir), store)
@@ -201,7 +264,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> VersionedStore:
 
 def engagement_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The engagement report as SQL over the view of the published sessions."""
-    register_views(published_gold(spark, sf_dir), [GOLD_SESSIONS])
+    register_views(published_sessions(spark, sf_dir), [GOLD_SESSIONS])
     return spark.sql(ENGAGEMENT_SQL.format(avg="duration_seconds"))
 
 
@@ -244,16 +307,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_in_set": lambda s, d: validate(bronze(s, d), Suite("", (IN_SET_RULE,))),
         "dq_report": lambda s, d: validate(bronze(s, d), report),
         "dq_verdict": lambda s, d: verdict(validate(bronze(s, d), report)),
-        "dq_silver_verdict": lambda s, d: verdict(validate(silver(s, d), report)),
+        "dq_silver_verdict": lambda s, d: verdict(
+            validate(published_silver(s, d).read(SILVER), report)
+        ),
         "dq_profile": lambda s, d: profile(validate(bronze(s, d), report)),
         "dq_unexpected_values": lambda s, d: unexpected_values(bronze(s, d), IN_SET_RULE),
-        "dq_duplicate_keys": lambda s, d: unexpected_values(bronze(s, d), UNIQUE_RULE, None),
+        "dq_duplicate_keys": lambda s, d: unexpected_values(bronze(s, d), UNIQUE_RULE),
+        "dq_top_duplicate_keys": lambda s, d: unexpected_values(bronze(s, d), UNIQUE_RULE, 20),
+        "dq_in_set_numeric": lambda s, d: validate(numeric(s, d), NUMERIC_SUITE),
+        "dq_suite_file": lambda s, d: validate(bronze(s, d), load_suite(SUITE_FILE, s)),
+        **{
+            f"dq_{name}": lambda s, d, rule=rule: validate(bronze(s, d), Suite("", (rule,)))
+            for name, rule in CHECK_ONLY.items()
+        },
         # cleaning
         "clean_not_null": lambda s, d: drop_nulls(bronze(s, d), "user_id"),
         "clean_unique": lambda s, d: keep_first(bronze(s, d), "event_id"),
         "clean_in_set": lambda s, d: keep_allowed(
             bronze(s, d), "event_type", ALLOWED_EVENT_TYPES
         ),
+        "clean_in_set_numeric": lambda s, d: keep_allowed(
+            keep_allowed(numeric(s, d), "whole", NUMERIC_SUITE.rules[0].value_set),
+            "amount",
+            NUMERIC_SUITE.rules[1].value_set,
+        ),
         "clean_first_event_per_session": lambda s, d: keep_first(bronze(s, d), "session_id"),
         "silver": silver,
         "silver_set_before_unique": lambda s, d: clean(
@@ -279,11 +356,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_pages": lambda s, d: top_pages(views(s, d)),
         "engagement": lambda s, d: engagement(sessions(s, d)),
         "engagement_sql": engagement_by_sql,
-        "silver_sample": lambda s, d: silver_sample(silver(s, d)),
-        "session_sample": lambda s, d: session_sample(sessions(s, d)),
+        "silver_sample": sampled_silver,
+        "session_sample": sampled_sessions,
         # publishing
         "publish_twice": publish_silver_twice,
-        "publish_gold_sessions": lambda s, d: published_gold(s, d).read(GOLD_SESSIONS),
+        "publish_gold_sessions": lambda s, d: published_sessions(s, d).read(GOLD_SESSIONS),
         "batch_silver": lambda s, d: batch_run(s, d).read(SILVER),
         "batch_latest_days": lambda s, d: latest_days(batch_run(s, d).read(GOLD_DAU)),
         "batch_top_pages": lambda s, d: top_pages(batch_run(s, d).read(GOLD_PAGE_VIEWS)),
@@ -418,6 +495,45 @@ def _single_rule(position: int) -> str:
     )
 
 
+NUMERIC_SQL = """WITH numeric AS (
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(user_id % 10 AS INTEGER) END AS whole,
+           CAST((event_id % 5) / 2.0 AS DECIMAL(6, 1)) AS amount FROM events)"""
+
+
+def _rule_row(
+    position: int, kind: str, column: str, missing: str, bad: str, mostly: float = 1, source: str = "bronze"
+) -> str:
+    """The report row of one rule; ``bad`` holds of the values that break it."""
+    n = f"count(*) FILTER (WHERE {bad})" if "count(" not in bad else f"CAST({bad} AS BIGINT)"
+    looked_at = "count(*)" if kind in (NOT_NULL, NULL) else f"(count(*) - {missing})"
+    ok = f"({looked_at} - {n}) / {looked_at} >= {mostly}" if mostly < 1 else f"{n} = 0"
+    return f"""SELECT {position} AS position, '{kind}' AS rule, CAST({column} AS VARCHAR) AS "column",
+        count(*) AS element_count, CAST({missing} AS BIGINT) AS missing_count,
+        {n} AS unexpected_count, {ok} AS success,
+        CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status FROM {source}"""
+
+
+def _nulls(column: str) -> str:
+    return f"count(*) FILTER (WHERE {column} IS NULL)"
+
+
+CHECK_ONLY_SQL = {
+    "not_in_set": (NOT_IN_SET, "'device'", _nulls("device"), "device IN ('tablet', 'tv')"),
+    "between": (
+        BETWEEN,
+        "'timestamp'",
+        _nulls('"timestamp"'),
+        """"timestamp" < '2024-01-05' OR "timestamp" > '2024-01-20'""",
+    ),
+    "regex": (MATCHES, "'page'", _nulls("page"), "NOT regexp_matches(page, '[0-3]$')"),
+    "null": (NULL, "'user_id'", _nulls("user_id"), "user_id IS NOT NULL"),
+    "lengths": (LENGTHS, "'event_id'", _nulls("event_id"), "length(event_id) NOT BETWEEN 2 AND 4"),
+    "row_count": (ROW_COUNT, "NULL", "0", "CASE WHEN count(*) BETWEEN 1 AND 100 THEN 0 ELSE 1 END"),
+    "column_exists": (COLUMN_EXISTS, "'Session_ID'", "0", "false"),
+    "mostly": (NOT_NULL, "'user_id'", _nulls("user_id"), "user_id IS NULL", 0.9),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     columns = 'event_id, user_id, session_id, event_type, page, device, "timestamp"'
     all_bronze = f"{BRONZE_SQL} SELECT * FROM bronze"
@@ -479,7 +595,29 @@ def oracle_sql() -> dict[str, str]:
             FROM wide""",
         "dq_unexpected_values": f"""{BRONZE_SQL}
             SELECT event_type AS value, count(*) AS count FROM bronze WHERE NOT {IN_SET_SQL}
-            GROUP BY event_type ORDER BY count DESC, value LIMIT 20""",
+            GROUP BY event_type""",
+        "dq_top_duplicate_keys": f"""{BRONZE_SQL}
+            SELECT event_id AS value, count(*) AS count FROM bronze WHERE event_id IS NOT NULL
+            GROUP BY event_id HAVING count(*) > 1 ORDER BY count DESC, value LIMIT 20""",
+        "dq_in_set_numeric": f"{NUMERIC_SQL} " + " UNION ALL ".join(
+            _rule_row(i, IN_SET, f"'{c}'", f"count(*) FILTER (WHERE {c} IS NULL)", f"{c} NOT IN ({v})", source="numeric")
+            for i, c, v in ((1, "whole", "2, 3, 4"), (2, "amount", "0.5, 1, 1.5"))
+        ),
+        "clean_in_set_numeric": f"{NUMERIC_SQL} SELECT event_id, whole, amount FROM numeric"
+        " WHERE whole IN (2, 3, 4) AND amount IN (0.5, 1, 1.5)",
+        **{f"dq_{name}": f"{BRONZE_SQL} {_rule_row(1, *parts)}" for name, parts in CHECK_ONLY_SQL.items()},
+        "dq_suite_file": f"""{CHECKS_SQL}, parts AS (
+                {_rule_row(1, COLUMN_EXISTS, "'event_id'", "0", "false")}
+                UNION ALL SELECT position + 1, rule, "column", element_count, missing_count,
+                    unexpected_count, unexpected_count = 0,
+                    CASE WHEN unexpected_count = 0 THEN 'PASS' ELSE 'FAIL' END FROM checks
+                UNION ALL {_rule_row(5, MATCHES, "'page'", "count(*) FILTER (WHERE page IS NULL)",
+                                     "NOT regexp_matches(page, '^/p[0-9]+$')", 0.99)})
+            SELECT * FROM parts""",
+        "silver_sample": f"{SILVER_SQL} SELECT least(10, count(*)) AS n_sampled,"
+        " least(10, count(*)) AS n_found FROM silver",
+        "session_sample": f"{SESSIONS_SQL} SELECT least(5, count(*)) AS n_sampled,"
+        " least(5, count(*)) AS n_found FROM sessions",
         "dq_duplicate_keys": f"""{BRONZE_SQL}
             SELECT event_id AS value, count(*) AS count FROM bronze WHERE event_id IS NOT NULL
             GROUP BY event_id HAVING count(*) > 1""",

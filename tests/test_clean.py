@@ -9,7 +9,17 @@ from model import event, frame, model_tuples, tuples
 from pyspark.sql import functions as F
 from tidemark.operators import clean, drop_nulls, keep_allowed, keep_first, validate, verdict
 from tidemark.schema import BRONZE_SCHEMA
-from tidemark.sources import IN_SET, NOT_NULL, UNIQUE, Rule, Suite, SuiteError, load_suite
+from tidemark.sources import (
+    COLUMN_EXISTS,
+    IN_SET,
+    NOT_NULL,
+    ROW_COUNT,
+    UNIQUE,
+    Rule,
+    Suite,
+    SuiteError,
+    load_suite,
+)
 
 VIEW_ONLY = (
     Rule(NOT_NULL, "user_id"),
@@ -171,3 +181,65 @@ def test_plan_filters_in_the_scan_and_cuts_keys_before_the_shuffle(spark, tmp_pa
     assert "event_type" in before.split("WindowGroupLimit")[0]
     pushed = drop_nulls(spark.read.parquet(str(tmp_path / "bronze")), "page").select(F.col("page"))
     assert "PushedFilters: [IsNotNull(page)]" in pushed._jdf.queryExecution().toString()
+
+
+def test_order_columns_must_exist_and_may_differ_in_case(spark):
+    df = spark.createDataFrame([("k", 2, "a"), ("k", 1, "b")], "key string, ts int, v string")
+    assert keep_first(df, "key", ["ts"]).first()["v"] == "b"
+    assert keep_first(df, "key", ["TS"]).first()["v"] == "b"
+    with pytest.raises(SuiteError, match="tss"):
+        keep_first(df, "key", ["tss"])
+
+
+def test_rows_with_maps_have_an_order(spark):
+    df = spark.sql("SELECT 1 AS k, map('a', id) AS m, array(map(id, 1)) AS n FROM range(3)")
+    assert keep_first(df, "k").collect() == keep_first(df.repartition(3), "k").collect()
+
+
+LISTED = [1, 1.5, 0.4, "1", "2.0", "x", True, False, 7, 40000, -3, "2024-01-01", "2024-01-01 12:30:00"]
+
+
+@pytest.mark.parametrize(
+    ("kind", "values", "want"),
+    [
+        ("int", [0, 1, 2, 7, -3, None], {1, 2, 7, -3}),
+        ("tinyint", [0, 1, 2, 64], {1, 2}),
+        ("decimal(5,0)", [0, 1, 2, 7], {1, 2, 7}),
+        ("decimal(5,1)", [0.4, 0.5, 1, 1.5, 2], {0.4, 1, 1.5, 2}),
+        ("date", ["2024-01-01", "2024-01-02"], {"2024-01-01"}),
+        ("boolean", [True, None], {True}),
+        ("string", ["1", "x", "1.5", "y", "true"], {"1", "x", "1.5", "true"}),
+    ],
+)
+def test_listed_values_match_exactly(spark, kind, values, want):
+    rows = [(None if v is None else str(v),) for v in values]
+    df = spark.createDataFrame(rows, "v string").selectExpr(f"CAST(v AS {kind}) AS v")
+    got = {str(r["v"]) for r in keep_allowed(df, "v", LISTED).selectExpr("CAST(v AS STRING) AS v").collect()}
+    asked = spark.createDataFrame([(str(v),) for v in want], "v string").selectExpr(
+        f"CAST(CAST(v AS {kind}) AS STRING) AS v"
+    )
+    assert got == {r["v"] for r in asked.collect()}
+    bad = validate(df, Suite("", (Rule(IN_SET, "v", tuple(LISTED)),))).first()["unexpected_count"]
+    assert bad == sum(v is not None for v in values) - len(want)
+
+
+def test_rules_without_a_step_are_skipped(spark, caplog):
+    rows = [event("1", "u", "view")]
+    rule = Rule(ROW_COUNT, min_value=5)
+    with caplog.at_level("INFO"):
+        assert run(spark, rows, [rule]) == model_tuples(rows)
+    assert "only checked" in caplog.text
+    assert not validate(frame(spark, rows), Suite("", (rule,))).first()["success"]
+    missing = Suite("", (Rule(COLUMN_EXISTS, "nope"), Rule(COLUMN_EXISTS, "PAGE")))
+    found = validate(frame(spark, rows), missing).orderBy("position").collect()
+    assert [r["success"] for r in found] == [False, True]
+
+
+def test_mostly_tolerates_a_share(spark):
+    df = spark.createDataFrame([(i if i else None,) for i in range(10)], "v int")
+    for mostly, ok in ((0.9, True), (0.91, False), (0, True)):
+        assert validate(df, Suite("", (Rule(NOT_NULL, "v", mostly=mostly),))).first()["success"] is ok
+    empty = validate(df.limit(0), Suite("", (Rule(NOT_NULL, "v", mostly=0.5),))).first()
+    assert empty["success"]
+    two = Suite("", (Rule(UNIQUE, "v"), Rule(UNIQUE, "v", mostly=0.5)))
+    assert validate(df, two).count() == 2

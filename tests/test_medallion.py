@@ -192,7 +192,49 @@ def test_command_line_with_tables(spark, tmp_path):
     encode_events(frame(spark, rows)).write.parquet(str(tmp_path / "in"))
     source = ["--format", "parquet", "--input", str(tmp_path / "in"), "--schema", "value binary"]
     checkpoint = ["--checkpoint", str(tmp_path / "c"), "--once"]
-    main(["ingest", *source, "--bronze", "cli_bronze", *checkpoint])
-    main(["batch", "--bronze", "cli_bronze", "--store", str(tmp_path / "s"), "--on-fail", "raise"])
+    # The session catalog has no Iceberg, the default of a table.
+    provider = ["--provider", "parquet", "--spread", "2", "--write-option", "compression=gzip"]
+    main(["ingest", *source, "--bronze", "cli_bronze", *checkpoint, *provider])
+    main(["batch", "--preview", "--bronze", "cli_bronze", "--store", str(tmp_path / "s"), "--on-fail", "raise"])
     check_tables(VersionedStore(spark, str(tmp_path / "s")), rows)
     spark.sql("DROP TABLE cli_bronze")
+
+
+def test_command_line_shows_as_many_rows_as_asked_for(spark, tmp_path, capfd):
+    rows = [
+        event(str(i), f"u{i}", "view", f"2024-01-{i:02d}T00:00:00", page=f"/p{i}")
+        for i in range(1, 31)
+    ]
+    rows += [event("1", "u1", "view")] * 2
+    path, store = str(tmp_path / "b"), str(tmp_path / "s")
+    frame(spark, rows).write.parquet(path)
+    main(["batch", "--bronze", path, "--store", store])
+    capfd.readouterr()
+    main(["report", "--store", store, "--top", "30"])
+    out = capfd.readouterr().out
+    assert all(f"/p{i} " in out or f"/p{i}|" in out for i in range(1, 31)) and "only showing" not in out
+    rule = {"expectation_type": "expect_column_values_to_not_be_null"}
+    rules = [rule | {"kwargs": {"column": "page"}} for _ in range(24)]
+    rules.append({"expectation_type": "expect_column_values_to_be_unique", "kwargs": {"column": "event_id"}})
+    (tmp_path / "suite.json").write_text(json.dumps({"expectations": rules}))
+    main(["validate", "--bronze", path, "--suite", str(tmp_path / "suite.json")])
+    out = capfd.readouterr().out
+    assert out.count("expect_column_values") == 25 and "only showing" not in out
+    assert "|1    |3    |" in out
+
+
+@pytest.mark.parametrize("wrong", [["--option", "x"], ["--once", "--every", "1 minute"]])
+def test_wrong_arguments_are_named(wrong, capfd):
+    with pytest.raises(SystemExit):
+        _parser().parse_args(["ingest", "--bronze", "t", "--checkpoint", "c", *wrong])
+    assert "usage" in capfd.readouterr().err
+
+
+def test_repeated_cleaning_is_gone(spark):
+    import __spark_entry__ as driver
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for name in ("engagement_sql", "publish_gold_sessions", "dq_silver_verdict", "silver_sample"):
+        assert "Window" not in plan(driver.queries()[name](spark, "/root/testdata/sf0.001")), name
+    keys = driver.queries()["dq_duplicate_keys"](spark, "/root/testdata/sf0.001")
+    assert "rangepartitioning" not in plan(keys) and "Sort" not in plan(keys)

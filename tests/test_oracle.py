@@ -28,9 +28,6 @@ def test_query_equals_its_sql_twin(spark, name):
     sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     df = QUERIES[name](spark, sf_dir)
     rows = [tuple(row) for row in df.collect()]
-    if name not in SQL:
-        assert name.endswith("_sample") and rows
-        return
     db = duckdb.connect()
     for table in TABLES:
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")

@@ -55,8 +55,8 @@ def test_rows_partitions_and_nulls_come_back(spark, store, root):
 
 
 def test_types_and_order_of_columns_come_back(spark, store):
-    rows = [("007", 1, "x"), (None, 2, "y")]
-    df = spark.createDataFrame(rows, "code string, `n.m` int, t string")
+    rows = [(7, 1, "x"), (None, 2, "y")]
+    df = spark.createDataFrame(rows, "code long, `n.m` int, t string")
     store.publish(df, "codes", ["code"])
     found = store.read("codes")
     assert found.schema == df.schema
@@ -240,3 +240,39 @@ def test_catalog_replace_asks_for_provider_and_partitions(spark, monkeypatch):
     assert calls[0] == ("writeTo", ["lake.clicks.silver"])
     assert calls[1] == ("using", ["iceberg"])
     assert len(calls[2][1]) == 3
+
+
+def test_string_partitions_are_refused(spark, store):
+    df = spark.createDataFrame([("", 1)], "code string, n int")
+    with pytest.raises(ValueError, match="strings"):
+        store.publish(df, "codes", ["code"])
+
+
+def test_layout_without_adaptive_execution(spark, store):
+    rows = hot_rows(5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        path = store.publish(frame(spark, rows).repartition(8), SILVER, PARTITION_COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tuples(store.read(SILVER).collect()) == model_tuples(rows)
+    days = {p.parent for p in Path(path).rglob("*.parquet")}
+    assert all(len(list(day.glob("*.parquet"))) <= 8 for day in days)
+
+
+def test_catalog_writes_take_options_and_a_layout(spark, monkeypatch):
+    seen = {}
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *a: seen.setdefault(name, []).append(a) or self
+
+    def write_to(df, table):
+        seen["plan"] = df._jdf.queryExecution().analyzed().toString()
+        return Writer()
+
+    rows = frame(spark, [event("1", "u", "view")])
+    monkeypatch.setattr(type(rows), "writeTo", write_to)
+    CatalogStore(spark, "c.ns").publish(rows, "t", PARTITION_COLUMNS, {"fanout-enabled": "true"})
+    assert seen["option"] == [("fanout-enabled", "true")]
+    assert "Rebalance" in seen["plan"] or "REBALANCE" in seen["plan"].upper()

@@ -5,7 +5,17 @@ import json
 import pytest
 
 from tidemark.schema import ALLOWED_EVENT_TYPES
-from tidemark.sources import IN_SET, NOT_NULL, UNIQUE, Rule, SuiteError, load_suite
+from tidemark.sources import (
+    BETWEEN,
+    IN_SET,
+    MATCHES,
+    NOT_NULL,
+    ROW_COUNT,
+    UNIQUE,
+    Rule,
+    SuiteError,
+    load_suite,
+)
 
 
 def suite_of(*expectations):
@@ -46,7 +56,11 @@ def test_file_dict_and_uri_agree(spark, tmp_path):
         suite_of({"expectation_type": NOT_NULL}),
         suite_of(rule(NOT_NULL)),
         suite_of(rule(NOT_NULL, column=3)),
-        suite_of(rule(NOT_NULL, column="a", mostly=0.9)),
+        suite_of(rule(NOT_NULL, column="a", mostly=2)),
+        suite_of(rule(NOT_NULL, column="a", severity="high")),
+        suite_of(rule(BETWEEN, column="a")),
+        suite_of(rule(ROW_COUNT, column="a", min_value=1)),
+        suite_of(rule(MATCHES, column="a", regex=1)),
         suite_of(rule(IN_SET, column="a")),
         suite_of(rule(IN_SET, column="a", value_set="view")),
         suite_of(rule(IN_SET, column="a", value_set=[["view"]])),

@@ -16,10 +16,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import (
+    earliest_days,
     engagement,
     gate,
     latest_days,
     profile,
+    session_sample,
+    silver_sample,
     top_pages,
     unexpected_values,
     validate,
@@ -29,15 +32,17 @@ from tidemark.schema import GOLD_DAU, GOLD_PAGE_VIEWS, GOLD_SESSIONS, SILVER
 from tidemark.sinks import CatalogStore, VersionedStore
 from tidemark.sources import (
     CLICKSTREAM_SUITE,
-    IN_SET,
     load_suite,
     read_events,
     read_stream,
     read_table,
 )
+from tidemark.sources.suite import OF_TABLE
 from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
 
 CATALOG_PREFIX = "catalog:"
+# The option of a source that bounds a micro-batch.
+MOST_PER_BATCH = {"kafka": "maxOffsetsPerTrigger"}
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -52,12 +57,16 @@ def main(argv: Sequence[str] | None = None) -> None:
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    options = dict(option.split("=", 1) for option in args.option)
+    options = dict(args.option)
+    if args.format in MOST_PER_BATCH and args.most_per_batch:
+        options.setdefault(MOST_PER_BATCH[args.format], str(args.most_per_batch))
     messages = read_stream(spark, args.format, options, args.input, args.schema)
-    target: dict[str, Any] = {"path": args.bronze, "fmt": args.provider}
+    provider = args.provider or ("parquet" if _is_path(args.bronze) else "iceberg")
+    target: dict[str, Any] = {"path": args.bronze, "fmt": provider}
     if not _is_path(args.bronze):
-        create_bronze_table(spark, args.bronze, args.provider)
-        target = {"table": args.bronze, "fmt": args.provider}
+        create_bronze_table(spark, args.bronze, provider)
+        target = {"table": args.bronze, "fmt": provider}
+    target |= {"options": dict(args.write_option), "spread": args.spread}
     trigger = {"processingTime": args.every} if args.every else None
     if args.once:
         trigger = {"availableNow": True}
@@ -70,35 +79,64 @@ def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     report = validate(bronze, suite)
     # A row per rule: held here so that nothing below checks the table again.
     report = spark.createDataFrame(report.collect(), report.schema)
-    profile(report).orderBy("position").show(truncate=False)
-    for rule in suite.rules:
-        if rule.kind == IN_SET:
-            unexpected_values(bronze, rule).show(truncate=False)
+    profile(report).orderBy("position").show(max(1, len(suite.rules)), truncate=False)
+    failed = {row["position"] for row in report.collect() if row["unexpected_count"]}
+    for position, rule in enumerate(suite.rules, 1):
+        if position in failed and rule.kind not in OF_TABLE:
+            unexpected_values(bronze, rule, args.values).show(args.values, truncate=False)
     gate(report, args.on_fail)
 
 
 def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     suite = load_suite(args.suite, spark)
-    build_silver(_bronze(spark, args), _store(spark, args), suite, args.on_fail)
+    store = _store(spark, args)
+    build_silver(_bronze(spark, args), store, suite, args.on_fail)
+    _preview(args, silver_sample(store.read(SILVER)))
 
 
 def _gold(spark: SparkSession, args: argparse.Namespace) -> None:
     store = _store(spark, args)
     build_gold(store.read(SILVER), store)
+    _preview_gold(args, store)
+
+
+def _preview(args: argparse.Namespace, *samples: DataFrame) -> None:
+    if args.preview:
+        for sample in samples:
+            sample.show(truncate=False)
+
+
+def _preview_gold(args: argparse.Namespace, store: VersionedStore | CatalogStore) -> None:
+    _preview(
+        args,
+        earliest_days(store.read(GOLD_DAU)),
+        top_pages(store.read(GOLD_PAGE_VIEWS)),
+        session_sample(store.read(GOLD_SESSIONS)),
+    )
 
 
 def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
     suite = load_suite(args.suite, spark)
-    run_batch(_bronze(spark, args), _store(spark, args), suite, args.on_fail)
+    store = _store(spark, args)
+    run_batch(_bronze(spark, args), store, suite, args.on_fail)
+    _preview(args, silver_sample(store.read(SILVER)))
+    _preview_gold(args, store)
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     store = _store(spark, args)
-    latest_days(store.read(GOLD_DAU), args.top).show(truncate=False)
-    top_pages(store.read(GOLD_PAGE_VIEWS), args.top).show(truncate=False)
+    latest_days(store.read(GOLD_DAU), args.top).show(args.top, truncate=False)
+    top_pages(store.read(GOLD_PAGE_VIEWS), args.top).show(args.top, truncate=False)
     engagement(store.read(GOLD_SESSIONS)).show(truncate=False)
 
 
+def _pair(text: str) -> tuple[str, str]:
+    key, equals, value = text.partition("=")
+    if not key or not equals:
+        raise argparse.ArgumentTypeError(f"{text!r} isn't KEY=VALUE")
+    return key, value
+
+
 def _is_path(name: str) -> bool:
     return "/" in name
 
@@ -131,13 +169,23 @@ def _parser() -> argparse.ArgumentParser:
 
     ingest = commands.add_parser("ingest", parents=[bronze], help="stream messages to raw events")
     ingest.add_argument("--format", default="kafka")
-    ingest.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    pairs = {"action": "append", "type": _pair, "default": [], "metavar": "KEY=VALUE"}
+    ingest.add_argument("--option", help="of the source", **pairs)
+    ingest.add_argument("--write-option", help="of the raw table's writer", **pairs)
+    ingest.add_argument(
+        "--most-per-batch",
+        type=int,
+        default=50_000_000,
+        help="Kafka offsets a micro-batch takes at most, 0 for all there are",
+    )
+    ingest.add_argument("--spread", type=int, help="tasks a day's rows go to, for a backfill")
     ingest.add_argument("--input", help="path, for file formats")
     ingest.add_argument("--schema", help="DDL schema, for file formats")
-    ingest.add_argument("--provider", default="parquet", help="format of the raw table")
+    ingest.add_argument("--provider", help="format of the raw table: iceberg, parquet for a path")
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--every", help="trigger interval, as '1 minute'; default: at once")
-    ingest.add_argument("--once", action="store_true", help="read what there is and stop")
+    when = ingest.add_mutually_exclusive_group()
+    when.add_argument("--every", help="trigger interval, as '1 minute'; default: at once")
+    when.add_argument("--once", action="store_true", help="read what there is and stop")
     ingest.set_defaults(run=_ingest)
 
     for name, run, parents, text in (
@@ -149,6 +197,11 @@ def _parser() -> argparse.ArgumentParser:
     ):
         commands.add_parser(name, parents=parents, help=text).set_defaults(run=run)
     commands.choices["report"].add_argument("--top", type=int, default=5)
+    commands.choices["validate"].add_argument(
+        "--values", type=int, default=20, help="bad values shown per rule, most frequent first"
+    )
+    for name in ("silver", "gold", "batch"):
+        commands.choices[name].add_argument("--preview", action="store_true", help="show some rows")
     return parser
 
 

@@ -12,13 +12,26 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import named, percent, status_label
 from tidemark.operators.clean import is_allowed
-from tidemark.sources.suite import CLICKSTREAM_SUITE, NOT_NULL, UNIQUE, Rule, load_suite
+from tidemark.sources.suite import (
+    BETWEEN,
+    CLICKSTREAM_SUITE,
+    COLUMN_EXISTS,
+    LENGTHS,
+    MATCHES,
+    NOT_IN_SET,
+    NOT_NULL,
+    NULL,
+    OF_ALL_ROWS,
+    OF_TABLE,
+    ROW_COUNT,
+    UNIQUE,
+    Rule,
+    SuiteError,
+    load_suite,
+)
 
 log = logging.getLogger(__name__)
 
-# Up to this many bad values are shown by default.
-SAMPLE_VALUES = 20
-
 
 class ContractViolation(RuntimeError):
     """A rule failed and the gate was told to stop."""
@@ -33,23 +46,29 @@ def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
     * unique: every member of a group of equal non-null values is unexpected, the
       first one too.
 
-    A rule succeeds when nothing is unexpected, an empty table therefore always. The
-    input is read once for all row-wise rules and once per uniqueness rule, so pass a
-    stored table rather than a plan that is costly to repeat.
+    * not in set, between, regex, length: a non-null value that breaks it is unexpected; a
+      regex may match anywhere in the value, both ends of a range belong to it.
+    * null: a value is unexpected.
+    * row count, column exists: one unexpected "value" where the table breaks it.
+
+    A rule succeeds when the share of values that meet it is at least its ``mostly``, which
+    is all of them unless the suite says otherwise; with nothing to look at it succeeds. The
+    share is of the non-null values, for both null rules of all. The input is read
+    once for all row-wise rules and once per column with uniqueness rules, so pass a stored
+    table rather than a plan that is costly to repeat.
     """
-    success = F.col("unexpected_count") == 0
-    return _counts(df, suite).withColumns({"success": success, "status": status_label(success)})
+    return _counts(df, suite).withColumn("status", status_label(F.col("success")))
 
 
 def profile(report: DataFrame) -> DataFrame:
     """A report's counts with percentages (null for an empty table); no further scan.
 
     ``unexpected_percent`` is of the values the rule looks at: the non-null ones,
-    except that the not-null rule looks at all.
+    except that the null rules look at all.
     """
     elements, missing = F.col("element_count"), F.col("missing_count")
     unexpected = F.col("unexpected_count")
-    looked_at = F.when(F.col("rule") == NOT_NULL, elements).otherwise(elements - missing)
+    looked_at = F.when(F.col("rule").isin(*OF_ALL_ROWS), elements).otherwise(elements - missing)
     return report.select(
         "position",
         "rule",
@@ -63,23 +82,23 @@ def profile(report: DataFrame) -> DataFrame:
     )
 
 
-def unexpected_values(
-    df: DataFrame, rule: Rule, limit: int | None = SAMPLE_VALUES
-) -> DataFrame:
-    """The values that break a rule with their counts, most frequent first.
+def unexpected_values(df: DataFrame, rule: Rule, limit: int | None = None) -> DataFrame:
+    """The values that break a rule with their counts, as text whatever the column's type.
 
-    ``limit=None`` gives them all. Values come as text, whatever the column's type.
+    All of them in no order, or with a ``limit`` the most frequent ones, sorted.
     """
+    if rule.kind in OF_TABLE:
+        raise SuiteError(f"{rule.kind} has no values")
     rule = rule.bind(df)
     value = named(rule.column)
     rows = df if rule.kind == UNIQUE else df.filter(_is_unexpected(df, rule))
     counted = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("count"))
     if rule.kind == UNIQUE:
         counted = counted.filter(F.col("value").isNotNull() & (F.col("count") > 1))
-    ordered = counted.select(F.col("value").cast("string"), "count").orderBy(
-        F.desc("count"), F.asc("value")
-    )
-    return ordered if limit is None else ordered.limit(limit)
+    found = counted.select(F.col("value").cast("string"), "count")
+    if limit is None:
+        return found
+    return found.orderBy(F.desc("count"), F.asc("value")).limit(limit)
 
 
 def verdict(report: DataFrame) -> DataFrame:
@@ -111,9 +130,29 @@ def _is_unexpected(df: DataFrame, rule: Rule) -> Column:
     value = named(rule.column)
     if rule.kind == NOT_NULL:
         return value.isNull()
-    # A comparison with an unreadable listed value is null, which means "no match".
-    allowed = F.coalesce(is_allowed(df, rule.column, rule.value_set), F.lit(False))
-    return value.isNotNull() & ~allowed
+    if rule.kind == NULL:
+        return value.isNotNull()
+    return value.isNotNull() & ~F.coalesce(_meets(df, rule, value), F.lit(False))
+
+
+def _meets(df: DataFrame, rule: Rule, value: Column) -> Column:
+    if rule.kind == BETWEEN:
+        return _between(value, rule)
+    if rule.kind == LENGTHS:
+        return _between(F.length(value), rule)
+    if rule.kind == MATCHES:
+        return value.rlike(rule.regex)
+    allowed = is_allowed(df, rule.column, rule.value_set)
+    return ~F.coalesce(allowed, F.lit(False)) if rule.kind == NOT_IN_SET else allowed
+
+
+def _between(value: Column, rule: Rule) -> Column:
+    ends = F.lit(True)
+    if rule.min_value is not None:
+        ends = ends & (value >= F.lit(rule.min_value))
+    if rule.max_value is not None:
+        ends = ends & (value <= F.lit(rule.max_value))
+    return ends
 
 
 def _counts(df: DataFrame, suite: Any) -> DataFrame:
@@ -126,14 +165,18 @@ def _counts(df: DataFrame, suite: Any) -> DataFrame:
     """
     placed = list(enumerate(load_suite(suite).bind(df).rules, 1))
     row_wise = [(i, rule) for i, rule in placed if rule.kind != UNIQUE]
-    parts = [_unique_counts(df, i, rule) for i, rule in placed if rule.kind == UNIQUE]
+    by_column: dict[str, list[tuple[int, Rule]]] = {}
+    for i, rule in placed:
+        if rule.kind == UNIQUE:
+            by_column.setdefault(rule.column, []).append((i, rule))
+    parts = [_unique_counts(df, column, rules) for column, rules in by_column.items()]
     if row_wise:
         parts.insert(0, _row_wise_counts(df, row_wise))
     if not parts:
         return df.sparkSession.createDataFrame(
             [],
             "position int, rule string, column string, element_count bigint,"
-            " missing_count bigint, unexpected_count bigint",
+            " missing_count bigint, unexpected_count bigint, success boolean",
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -141,6 +184,11 @@ def _counts(df: DataFrame, suite: Any) -> DataFrame:
 def _row_wise_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]]) -> DataFrame:
     totals = {"elements": F.count(F.lit(1))}
     for i, rule in placed:
+        if rule.kind in OF_TABLE:
+            broken = ~_table_meets(df, rule, totals["elements"])
+            totals[f"missing_{i}"] = F.lit(0).cast("long")
+            totals[f"unexpected_{i}"] = F.when(broken, F.lit(1)).otherwise(F.lit(0)).cast("long")
+            continue
         totals[f"missing_{i}"] = F.count_if(named(rule.column).isNull())
         totals[f"unexpected_{i}"] = F.count_if(_is_unexpected(df, rule))
     row = df.agg(*[total.alias(name) for name, total in totals.items()])
@@ -153,16 +201,31 @@ def _row_wise_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]]) -> DataF
     )
 
 
-def _unique_counts(df: DataFrame, position: int, rule: Rule) -> DataFrame:
+def _table_meets(df: DataFrame, rule: Rule, rows: Column) -> Column:
+    if rule.kind == ROW_COUNT:
+        return _between(rows, rule)
+    assert rule.kind == COLUMN_EXISTS
+    return F.lit(rule.column.lower() in {c.lower() for c in df.columns})
+
+
+def _unique_counts(df: DataFrame, column: str, placed: Sequence[tuple[int, Rule]]) -> DataFrame:
     key, n = F.col("key"), F.col("n")
-    per_key = df.groupBy(named(rule.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(named(column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     row = per_key.agg(
         F.sum(n).alias("elements"),
         F.sum(F.when(key.isNull(), n)).alias("missing"),
         F.sum(F.when(key.isNotNull() & (n > 1), n)).alias("unexpected"),
     ).na.fill(0)
     counts = (F.col("elements"), F.col("missing"), F.col("unexpected"))
-    return _report_rows(row, [(position, rule, *counts)])
+    return _report_rows(row, [(i, rule, *counts) for i, rule in placed])
+
+
+def _succeeds(rule: Rule, elements: Column, missing: Column, unexpected: Column) -> Column:
+    if rule.mostly == 1:
+        return unexpected == 0
+    looked_at = elements if rule.kind in OF_ALL_ROWS else elements - missing
+    share = (looked_at - unexpected) / looked_at
+    return F.when(looked_at == 0, F.lit(True)).otherwise(share >= F.lit(rule.mostly))
 
 
 def _report_rows(
@@ -173,10 +236,11 @@ def _report_rows(
         F.struct(
             F.lit(position).alias("position"),
             F.lit(rule.kind).alias("rule"),
-            F.lit(rule.column).alias("column"),
+            F.lit(rule.column).cast("string").alias("column"),
             elements.alias("element_count"),
             missing.alias("missing_count"),
             unexpected.alias("unexpected_count"),
+            _succeeds(rule, elements, missing, unexpected).alias("success"),
         )
         for position, rule, elements, missing, unexpected in lines
     ]

@@ -66,14 +66,18 @@ def gold_frames(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(silver: DataFrame, store: Store) -> dict[str, str]:
-    """Replace the metric tables; each reads only the columns it needs.
+def build_gold(
+    silver: DataFrame, store: Store, names: Sequence[str] = tuple(GOLD_TABLES)
+) -> dict[str, str]:
+    """Replace the metric tables, or those named; each reads only the columns it needs.
+
+    Give a stored table: a plan that still cleans would clean once per metric table.
 
     They don't depend on each other, so their jobs are submitted together and one
     fills the slots the last tasks of another leave idle. Each table is replaced whole,
     but not all three at once. No order is stored: the report queries sort anyway.
     """
-    frames = gold_frames(silver)
+    frames = {name: df for name, df in gold_frames(silver).items() if name in names}
     publish = inheritable_thread_target(silver.sparkSession)(store.publish)
     with ThreadPoolExecutor(len(frames)) as pool:
         running = {name: pool.submit(publish, df, name) for name, df in frames.items()}

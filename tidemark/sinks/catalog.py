@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import named
+from tidemark.sinks.layout import laid_out
 
 
 class CatalogStore:
@@ -22,10 +23,22 @@ class CatalogStore:
         self.namespace = namespace
         self.provider = provider
 
-    def publish(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
-        """Replace the table with ``df`` and return its full name."""
+    def publish(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
+    ) -> str:
+        """Replace the table with ``df`` and return its full name.
+
+        Rows are laid out by the partition columns first, as in the versioned store;
+        ``options`` go to the writer.
+        """
         table = f"{self.namespace}.{name}"
-        writer = df.writeTo(table).using(self.provider)
+        writer = laid_out(df, partition_by).writeTo(table).using(self.provider)
+        for key, value in (options or {}).items():
+            writer = writer.option(key, value)
         if partition_by:
             writer = writer.partitionedBy(*[named(c) for c in partition_by])
         writer.createOrReplace()

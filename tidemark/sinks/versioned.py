@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.functions import named
+from tidemark.sinks.layout import laid_out
 
 log = logging.getLogger(__name__)
 
+COMMITTER = "mapreduce.fileoutputcommitter.algorithm.version"
 COMMIT_FILE = re.compile(r"(\d{10})\.json")
 DATA_FOLDER = re.compile(r"(\d{10})-[0-9a-f]+")
 
@@ -53,17 +55,19 @@ class VersionedStore:
     def publish(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
         """Replace the table with ``df`` and return the new version's folder.
 
-        A partitioned table is first rebalanced by its partition columns. Without it
-        every task of a wide plan would write a file into every folder; adaptive
-        execution splits a hot folder over several tasks and joins small ones.
+        A partitioned table is first laid out by its partition columns, see
+        :func:`~tidemark.sinks.layout.laid_out`. They may not be strings. Tasks move their own
+        files into place, which is safe here: a folder without a commit file is never read.
         """
         version = max(self._versions(name), default=0) + 1
         folder = f"data/{version:010d}-{uuid.uuid4().hex}"
         target = f"{self.root}/{name}/{folder}"
-        columns = [named(c) for c in partition_by]
+        texts = [c for c in partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+        if texts:
+            raise ValueError(f"partition columns {texts} are strings: '' would be read as null")
         try:
-            laid_out = df.hint("rebalance", *columns) if columns else df
-            laid_out.write.partitionBy(*partition_by).parquet(target)
+            writer = laid_out(df, partition_by).write.partitionBy(*partition_by)
+            writer.option(COMMITTER, 2).parquet(target)
         except Exception:
             self._delete(target)
             raise

@@ -1,8 +1,15 @@
 from tidemark.sources.stream import read_stream
 from tidemark.sources.suite import (
+    BETWEEN,
     CLICKSTREAM_SUITE,
+    COLUMN_EXISTS,
     IN_SET,
+    LENGTHS,
+    MATCHES,
+    NOT_IN_SET,
     NOT_NULL,
+    NULL,
+    ROW_COUNT,
     UNIQUE,
     Rule,
     Suite,
@@ -12,9 +19,16 @@ from tidemark.sources.suite import (
 from tidemark.sources.tables import read_events, read_table
 
 __all__ = [
+    "BETWEEN",
     "CLICKSTREAM_SUITE",
+    "COLUMN_EXISTS",
     "IN_SET",
+    "LENGTHS",
+    "MATCHES",
+    "NOT_IN_SET",
     "NOT_NULL",
+    "NULL",
+    "ROW_COUNT",
     "UNIQUE",
     "Rule",
     "Suite",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import Path
 from typing import Any
 
@@ -17,12 +17,33 @@ NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
 IN_SET = "expect_column_values_to_be_in_set"
 
-# Arguments each rule needs; any other argument is refused.
-RULE_ARGUMENTS = {
-    NOT_NULL: {"column"},
-    UNIQUE: {"column"},
-    IN_SET: {"column", "value_set"},
+# The names of rules that are checked but have no cleaning step.
+NOT_IN_SET = "expect_column_values_to_not_be_in_set"
+BETWEEN = "expect_column_values_to_be_between"
+MATCHES = "expect_column_values_to_match_regex"
+NULL = "expect_column_values_to_be_null"
+LENGTHS = "expect_column_value_lengths_to_be_between"
+ROW_COUNT = "expect_table_row_count_to_be_between"
+COLUMN_EXISTS = "expect_column_to_exist"
+
+# Arguments each rule needs, and those it may have; any other argument is refused.
+RANGE = {"min_value", "max_value"}
+RULE_ARGUMENTS: dict[str, tuple[set[str], set[str]]] = {
+    NOT_NULL: ({"column"}, {"mostly"}),
+    UNIQUE: ({"column"}, {"mostly"}),
+    IN_SET: ({"column", "value_set"}, {"mostly"}),
+    NOT_IN_SET: ({"column", "value_set"}, {"mostly"}),
+    BETWEEN: ({"column"}, {"mostly", *RANGE}),
+    MATCHES: ({"column", "regex"}, {"mostly"}),
+    NULL: ({"column"}, {"mostly"}),
+    LENGTHS: ({"column"}, {"mostly", *RANGE}),
+    ROW_COUNT: (set(), RANGE),
+    COLUMN_EXISTS: ({"column"}, set()),
 }
+# Rules whose share of bad values is of all rows, not of the non-null ones.
+OF_ALL_ROWS = (NOT_NULL, NULL)
+# Rules about a table, not about each value.
+OF_TABLE = (ROW_COUNT, COLUMN_EXISTS)
 
 # The default suite for click events. The order matters to cleaning.
 CLICKSTREAM_SUITE = {
@@ -44,18 +65,31 @@ class SuiteError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
+    """One expectation. ``mostly`` is the share of values that must meet it."""
+
     kind: str
-    column: str
+    column: str | None = None
     value_set: tuple[Any, ...] = ()
+    mostly: float = 1.0
+    min_value: Any = None
+    max_value: Any = None
+    regex: str | None = None
 
     def bind(self, df: DataFrame) -> Rule:
         """The same rule with the column spelled as in ``df``."""
-        if self.column in df.columns:
+        if self.kind in OF_TABLE:
             return self
-        found = [c for c in df.columns if c.lower() == self.column.lower()]
-        if len(found) != 1:
-            raise SuiteError(f"{self.kind}: no column {self.column!r} in {df.columns}")
-        return Rule(self.kind, found[0], self.value_set)
+        return replace(self, column=column_of(df, self.column, self.kind))
+
+
+def column_of(df: DataFrame, name: str, of: str) -> str:
+    """The column of ``df`` that a caller means, whatever the case of its letters."""
+    if name in df.columns:
+        return name
+    found = [c for c in df.columns if c.lower() == str(name).lower()]
+    if len(found) != 1:
+        raise SuiteError(f"{of}: no column {name!r} in {df.columns}")
+    return found[0]
 
 
 @dataclass(frozen=True)
@@ -71,7 +105,7 @@ def load_suite(
     source: str | Path | Mapping[str, Any] | Suite = CLICKSTREAM_SUITE,
     spark: SparkSession | None = None,
 ) -> Suite:
-    """Read a suite from a dict, a local JSON file, or (given ``spark``) any URI.
+    """Read a suite from a dict, a local JSON file, or (given ``spark``) any path Spark reads.
 
     Rule names and arguments are checked here, so a typo fails before any job runs.
     """
@@ -79,7 +113,7 @@ def load_suite(
         return source
     if isinstance(source, Mapping):
         return _parse(source)
-    if "://" in str(source) and spark is not None:
+    if spark is not None and not Path(source).is_file():
         text = spark.read.text(str(source), wholetext=True).first()[0]
     else:
         text = Path(source).read_text(encoding="utf-8")
@@ -100,15 +134,34 @@ def _parse_rule(position: int, entry: Any) -> Rule:
     if kind not in RULE_ARGUMENTS:
         raise SuiteError(f"rule {position}: unknown rule {kind!r}")
     kwargs = entry.get("kwargs")
-    if not isinstance(kwargs, Mapping) or set(kwargs) != RULE_ARGUMENTS[kind]:
-        needed = sorted(RULE_ARGUMENTS[kind])
-        raise SuiteError(f"rule {position}: {kind} takes {needed}, got {kwargs!r}")
-    if not isinstance(kwargs["column"], str):
-        raise SuiteError(f"rule {position}: column must be a string")
+    needed, optional = RULE_ARGUMENTS[kind]
+    if not isinstance(kwargs, Mapping) or not needed <= set(kwargs) <= needed | optional:
+        takes = sorted(needed) + [f"[{name}]" for name in sorted(optional)]
+        raise SuiteError(f"rule {position}: {kind} takes {takes}, got {kwargs!r}")
+    for name in needed & {"column", "regex"}:
+        if not isinstance(kwargs[name], str):
+            raise SuiteError(f"rule {position}: {name} must be a string")
     values = kwargs.get("value_set", [])
-    if not isinstance(values, (list, tuple)) or not all(
-        v is None or isinstance(v, (str, int, float, bool)) for v in values
-    ):
+    if not isinstance(values, (list, tuple)) or not all(map(_is_plain, values)):
         raise SuiteError(f"rule {position}: value_set must be a list of plain values")
-    # Nulls never count as a value of the set, so one listed there changes nothing.
-    return Rule(kind, kwargs["column"], tuple(v for v in values if v is not None))
+    mostly = kwargs.get("mostly", 1.0)
+    if isinstance(mostly, bool) or not isinstance(mostly, (int, float)) or not 0 <= mostly <= 1:
+        raise SuiteError(f"rule {position}: mostly must be a number from 0 to 1")
+    if not all(map(_is_plain, (kwargs.get(name) for name in RANGE))):
+        raise SuiteError(f"rule {position}: min_value and max_value must be plain values")
+    if optional >= RANGE and all(kwargs.get(name) is None for name in RANGE):
+        raise SuiteError(f"rule {position}: give min_value, max_value or both")
+    return Rule(
+        kind,
+        kwargs.get("column"),
+        # Nulls never count as a value of the set, so one listed there changes nothing.
+        tuple(v for v in values if v is not None),
+        float(mostly),
+        kwargs.get("min_value"),
+        kwargs.get("max_value"),
+        kwargs.get("regex"),
+    )
+
+
+def _is_plain(value: Any) -> bool:
+    return value is None or isinstance(value, (str, int, float, bool))

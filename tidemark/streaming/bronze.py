@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import decode_events, named, with_date_parts
@@ -45,19 +46,27 @@ def write_bronze(
     fmt: str = "parquet",
     trigger: Mapping[str, Any] | None = None,
     query_name: str | None = None,
+    options: Mapping[str, str] | None = None,
+    spread: int | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table or to a folder; the caller waits for it.
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; without it
     micro-batches follow each other as soon as possible. Rows are written by the tasks
-    that read them, without a shuffle. A restart on the same checkpoint goes on where
+    that read them, without a shuffle, which makes a file per task and day. For a backfill of
+    many days, ``spread`` shuffles each micro-batch so that a day's rows go to that many tasks.
+    ``options`` go to the writer. A restart on the same checkpoint goes on where
     the last committed micro-batch ended, and a batch that is redone replaces its files.
     """
     if (table is None) == (path is None):
         raise ValueError("give either table or path")
+    rows = events.select(*[named(c) for c in BRONZE_SCHEMA.fieldNames()])
+    if spread is not None:
+        salt = F.pmod(F.xxhash64("event_id", "session_id", "timestamp"), F.lit(spread))
+        rows = rows.repartition(*[named(c) for c in PARTITION_COLUMNS], salt)
     writer = (
-        events.select(*[named(c) for c in BRONZE_SCHEMA.fieldNames()])
-        .writeStream.format(fmt)
+        rows.writeStream.format(fmt)
+        .options(**(options or {}))
         .outputMode("append")
         .partitionBy(*PARTITION_COLUMNS)
         .option("checkpointLocation", checkpoint)

@@ -214,7 +214,10 @@ def ingest_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         table=table,
         trigger={"availableNow": True},
     ).awaitTermination()
-    return read_table(spark, table)
+    rows = read_table(spark, table)
+    # The files stay until the session ends; the plan has found them, so the name can go.
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 def publish_silver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,3 +208,13 @@ def test_missing_inputs_raise_with_their_name(spark, place):
         read_table(spark, "no_such_table")
     with pytest.raises(AnalysisException, match="no_such_folder"):
         read_events(spark, str(place / "no_such_folder"))
+
+
+def test_queries_leave_no_table_behind(spark):
+    import __spark_entry__ as driver
+
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = driver.queries()["stream_bronze_table"](spark, "/root/testdata/sf0.001")
+    assert rows.count() == 1100
+    left = {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+    assert left <= before

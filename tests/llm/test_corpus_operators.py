@@ -99,8 +99,9 @@ def test_one_row_of_each_group_stays_whatever_the_ids(spark):
     assert kept == sorted([rows[0], rows[2], rows[3]], key=repr)
 
 
-def test_all_links_within_the_radius_are_found(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "VARIANTS_PER_TASK", 20_000)
+@pytest.mark.parametrize("per_task", [10**9, 20_000, 30])
+def test_all_links_within_the_radius_are_found(spark, monkeypatch, per_task):
+    monkeypatch.setattr(simhash, "VARIANTS_PER_TASK", per_task)
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     flips = [sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for k in [0, 1, 2, 3, 4, 5, 6] * 20]

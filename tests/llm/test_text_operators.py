@@ -251,3 +251,25 @@ def test_pages_keep_their_articles(spark):
     empty = spark.createDataFrame([(1, None, None), (1, None, None)], "page_id long, url string, html string")
     assert [tuple(r) for r in html_text.extract(empty).collect()] == [(1, None, "", 0)] * 2
     assert html_text.extract(empty.limit(0)).count() == 0
+
+
+LONG = "some words of a long paragraph that goes on and on without any link in it at all"
+LINKS = "".join(f"<li><a href=x>link number {i}</a></li>" for i in range(6))
+
+
+def test_windows_of_lines_decide_with_and_without_articles():
+    body = f"<h1>Title</h1><p>{LONG}</p><p>ab</p><p>{LONG}</p>"
+    text = f"Title\n{LONG}\nab\n{LONG}"
+    menu = "<ul><li>Home</li></ul>" + f"<ul>{LINKS}</ul>"
+    tail = f"<ul>{LINKS}</ul><div>tel</div><div>fax</div><div>imprint</div>"
+    assert html_text.main_text(f"<body>{menu}<div class=content>{body}</div>{tail}") == text
+    for region in ("article", "main"):
+        assert html_text.main_text(f"<body>{menu}<{region}>{body}</{region}>{tail}") == text
+    teaser = "<article><h3><a href=x>Read on</a></h3><p>A teaser.</p></article>"
+    assert html_text.main_text(f"<body>{menu}<div class=content>{body}{body}</div><ul>{LINKS}</ul>{teaser}") == f"{text}\n{text}"
+    assert html_text.main_text(f"<main>{body}<ul>{LINKS}</ul><p>{LONG}</p><p>{LONG}</p></main>") == f"{text}\n{LONG}\n{LONG}"
+    both = html_text.main_text(f"<article>{body}</article><div>x</div><div>y</div><ul>{LINKS}</ul><div><p>{LONG}</p></div>")
+    assert both.endswith(LONG) and both.count(LONG) == 3
+    short = "<article><p>a b</p><p>c d</p><p>e f</p><p>g h</p><p><a href=x>source</a></p><p>i j</p></article>"
+    assert html_text.main_text(short) == "a b\nc d\ne f\ng h\nsource\ni j"
+    assert html_text.main_text("<article>Short text without paragraphs.</article>") == "Short text without paragraphs."

@@ -2,11 +2,13 @@
 
 Markup is stripped first: comments, scripts, styles, forms and elements that are menus, headers,
 footers, sidebars, notices, adverts or reader comments by their tag, role or class go with their content;
-every block element begins a new line. The weight of a line is its length outside links, raised for lines
-in an ``article`` or ``main`` element; where a page has such an element, lines outside weigh nothing.
-Weights are summed over windows of ``WINDOW`` lines. Text begins where the sum surges to ``SURGE`` and
-ends where it dives below ``DIVE``; lines with a weight between such points are kept, and headings
-right before them. A page that never surges keeps its heaviest run of paragraphs.
+every block element begins a new line. The weight of a line is its length outside links. In an ``article`` or
+``main`` element it is raised by up to ``RAISED``, times the share of the page's text outside links that lies
+in such elements and the share of the line that lies outside links; lines outside weigh what they hold.
+Weights are summed over windows of ``WINDOW`` lines. Text begins where the sum surges to ``SURGE``, in an
+article with the lines before that are no dive, and ends where it dives below ``DIVE``; lines with a weight
+between such points are kept, in an article also a lone line of links between two such, and headings right
+before them. A page that never surges keeps its paragraphs, headings and lines in an article.
 
 One scan, a page at a time, no shuffle; a page's cost is linear in its length.
 
@@ -30,8 +32,8 @@ from tidemark.llm.common import small_batches
 WINDOW = 3
 SURGE = 80
 DIVE = 25
-#: What text each tag of an article adds at least.
-RAISED = 100
+#: The most that a line in an article or main is raised by: less than a surge, more than a dive.
+RAISED = 30
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -150,24 +152,28 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
 
 def main_lines(found: list[tuple[str, int, str, bool]]) -> list[str]:
     """The lines between surge and dive points."""
-    confined = any(region for *_, region in found)
-    weights = [(size + RAISED if region else 0) if confined else size for _, size, _, region in found]
+    total = sum(size for _, size, _, _ in found)
+    raised = RAISED * sum(size for _, size, _, region in found if region) / max(1, total)
+    weights = [size + (raised * size / len(text) if region else 0) for text, size, _, region in found]
     half = WINDOW // 2
     sums = [sum(weights[max(0, i - half) : i + half + 1]) for i in range(len(found))]
     runs, begin = [], None
-    for i, total in enumerate(sums):
-        if begin is None and total >= SURGE:
+    for i, surging in enumerate(sums):
+        if begin is None and surging >= SURGE:
             begin = i
-        elif begin is not None and total < DIVE:
+            while begin and found[begin - 1][3] and sums[begin - 1] >= DIVE and (not runs or begin > runs[-1][1]):
+                begin -= 1
+        elif begin is not None and surging < DIVE:
             runs.append((begin, i))
             begin = None
     if begin is not None:
         runs.append((begin, len(found)))
     kept = {i for a, b in runs for i in range(a, b) if weights[i]}
+    kept |= {i for a, b in runs for i in range(a + 1, b - 1) if found[i][3] and weights[i - 1] and weights[i + 1]}
     if not kept:
-        kept = {i for i, line in enumerate(found) if weights[i] and (line[2] == "p" or line[2] in HEADINGS)}
+        kept = {i for i, line in enumerate(found) if weights[i] and (line[2] == "p" or line[2] in HEADINGS or line[3])}
     for i in range(len(found) - 2, -1, -1):
-        if found[i][2] in HEADINGS and weights[i] and i + 1 in kept:
+        if found[i][2] in HEADINGS and (weights[i] or found[i][3]) and i + 1 in kept:
             kept.add(i)
     return [found[i][0] for i in sorted(kept)]
 

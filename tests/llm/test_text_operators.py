@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import public_tokenizers
@@ -273,3 +274,26 @@ def test_windows_of_lines_decide_with_and_without_articles():
     short = "<article><p>a b</p><p>c d</p><p>e f</p><p>g h</p><p><a href=x>source</a></p><p>i j</p></article>"
     assert html_text.main_text(short) == "a b\nc d\ne f\ng h\nsource\ni j"
     assert html_text.main_text("<article>Short text without paragraphs.</article>") == "Short text without paragraphs."
+
+
+def test_dropped_elements_end_where_html_ends_them():
+    ends = {
+        "<article><p>One.<p class=ad>Buy<p>Two.</article>": "One.\nTwo.",
+        "<article><p>One.<p class=ad>Buy<h2>Head</h2><p>Two.</article>": "One.\nHead\nTwo.",
+        "<article><ul><li>One<li class=ad>Buy<div>this</div><li>Two</ul><p>Three.</article>": "One\nTwo\nThree.",
+        "<article><ul><li>One<li class=ad>Buy<ul><li>a<li>b</ul><li>Two</ul></article>": "One\nTwo",
+        "<article><dl><dt>One<dd class=ad>Buy<dt>Two<dd>Three</dl></article>": "One\nTwo\nThree",
+        "<article><table><tr><td>One<td class=ad>Buy<td>Two<tr class=ad><td>x<td>y<tr><td>Three</table></article>": "One\nTwo\nThree",
+        "<article><div><p>One.</p><div class=ad>Buy<div>this</div><p>Two.</article><p>Three.</p>": "One.\nThree.",
+        "<article><section><aside>side<p>x</section><p>Two.</article>": "Two.",
+        "<article><p>One <span class=ad>Buy <span>this</span> now</span> two</article>": "One\ntwo",
+        "<article><p>One <span class=ad>Buy</p><p>Two.</article>": "One\nTwo.",
+        "<head><title>t</title><meta charset=x><body><p>One.": "One.",
+        "<article><p>One <button><p>x</p></button> two</article>": "One\ntwo",
+    }
+    for page, want in ends.items():
+        assert html_text.main_text(page) == want, page
+    start = time.perf_counter()
+    for part in ("<div class=ad>", "<p class=ad>", "<span class=ad><div>", "<li><b></i>", "<table><td></div>", "<section></li>"):
+        html_text.main_text(part * 30_000)
+    assert time.perf_counter() - start < 30

@@ -1,7 +1,8 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped first: comments, scripts, styles, forms and elements that are menus, headers,
-footers, sidebars, notices, adverts or reader comments by their tag, role or class go with their content;
+footers, sidebars, notices, adverts or reader comments by their tag, role or class go with their content. Elements
+end where HTML lets an end tag be left out, or with an element around them;
 every block element begins a new line. The weight of a line is its length outside links. In an ``article`` or
 ``main`` element it is raised by up to ``RAISED``, times the share of the page's text outside links that lies
 in such elements and the share of the line that lies outside links; lines outside weigh what they hold.
@@ -12,7 +13,7 @@ before them. A page that never surges keeps its paragraphs, headings and lines i
 
 One scan, a page at a time, no shuffle; a page's cost is linear in its length.
 
-Defined cases: null and empty pages have an empty text; tags that are never closed end with the page, except
+Defined cases: null and empty pages have an empty text; other tags that are never closed end with the page, except
 that content dropped before the first article ends where that begins; repeated pages give repeated rows; an empty
 table gives an empty result.
 """
@@ -20,6 +21,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -61,6 +63,13 @@ DROPPED_NAMES = set(
     " notice notification pagination popup promo promotion related replies share sharing sidebar signup"
     " skip social sponsor sponsored subscribe toolbar widget".split()
 )
+TABLE = set("table caption tbody tfoot thead tr td th".split())
+#: Starts that do not end a paragraph, starts that end an open one of the names, and what may stand in a head.
+NOT_AFTER_P = TABLE - {"table"} | {"body", "legend"}
+SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
+ROWS = dict.fromkeys(("td", "th"), {"td", "th"}) | {"tr": {"td", "th", "tr", "caption"}}
+ROWS |= dict.fromkeys(("tbody", "tfoot", "thead"), TABLE - {"table"})
+IN_HEAD = set("html head base basefont bgsound link meta".split())
 SPLIT_NAMES = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -90,55 +99,120 @@ class Line:
         self.parts, self.linked, self.tag, self.region = [], 0, tag, region
 
 
+class Open:
+    """The elements that are open. Where HTML lets an end tag be left out, the start that implies it
+    closes the element; an end tag closes what was begun within its element."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.solid, self.walls, self.cells = [], [], []
+
+    def push(self, tag: str) -> None:
+        n = len(self.tags)
+        self.tags.append(tag)
+        self.at["h" if tag in HEADINGS else tag].append(n)
+        if tag in BLOCKS or tag in DROPPED:
+            self.solid.append(n)
+            if tag not in ("address", "div", "p"):
+                self.walls.append(n)
+        if tag in TABLE:
+            self.cells.append(n)
+
+    def cut(self, n: int) -> None:
+        """Close all but the first n."""
+        while len(self.tags) > n:
+            tag = self.tags.pop()
+            self.at["h" if tag in HEADINGS else tag].pop()
+        for places in (self.solid, self.walls, self.cells):
+            while places and places[-1] >= n:
+                places.pop()
+
+    def imply(self, tag: str) -> None:
+        """Close what the start of an element ends."""
+        at = self.at
+        if "head" in at and at["head"] and tag not in IN_HEAD:
+            self.cut(at["head"][-1])
+        if tag in BLOCKS and tag not in NOT_AFTER_P and at["p"] and not (at["button"] and at["button"][-1] > at["p"][-1]):
+            self.cut(at["p"][-1])
+        if tag in SIBLINGS and self.walls and self.tags[self.walls[-1]] in SIBLINGS[tag]:
+            self.cut(self.walls[-1])
+        while tag in ROWS and self.cells and self.tags[self.cells[-1]] in ROWS[tag]:
+            self.cut(self.cells[-1])
+        if tag in HEADINGS and self.tags and self.tags[-1] in HEADINGS:
+            self.cut(len(self.tags) - 1)
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of the name; an inline one only up to the block around."""
+        places = self.at["h" if tag in HEADINGS else tag]
+        if places and (tag in BLOCKS or tag in DROPPED or not self.solid or places[-1] >= self.solid[-1]):
+            self.cut(places[-1])
+
+
 def lines(html: str) -> list[tuple[str, int, str, bool]]:
     """Text, length outside links, tag and whether in an article, of each line with text."""
     out: list[Line] = [Line("", False)]
-    drop, depth, regions, links, seen = "", 0, [], 0, False
+    stack, drop, links, seen = Open(), None, 0, False
+    regions: list[int] = []
 
     def begin(tag: str) -> None:
         if out[-1].parts:
             out.append(Line(tag, bool(regions)))
-        else:
-            out[-1].tag, out[-1].region = tag, bool(regions)
+        out[-1].tag, out[-1].region = tag, bool(regions)
+
+    def settle() -> None:
+        """Forget what is closed."""
+        nonlocal drop
+        n, ended = len(stack.tags), False
+        if drop is not None and drop >= n:
+            drop, ended = None, True
+        while regions and regions[-1] >= n:
+            regions.pop()
+            ended = True
+        if ended:
+            begin(out[-1].tag)
 
     for token in TOKEN.finditer(html):
         whole = token[0]
         tag = token[3] or token[6]
         if tag is None:
             if whole[0] != "<" or len(whole) == 1:
-                if not drop:
+                if drop is not None and stack.tags[drop] == "head" and whole.strip():
+                    stack.cut(drop)
+                    settle()
+                if drop is None:
                     text = unescape(whole)
                     out[-1].parts.append(text)
                     if links:
                         out[-1].linked += len(text.strip())
             continue
         tag, closing, raw = tag.lower(), token[2] or token[5], token[4] or token[7] or ""
-        if drop:
-            if tag in REGIONS and not closing and not seen and not is_dropped(tag, raw, True):
-                drop = ""
-            else:
-                if tag == drop and not raw.endswith("/"):
-                    depth += -1 if closing else 1
-                    if depth == 0:
-                        drop = ""
-                        begin(tag)
+        if closing:
+            stack.close(tag)
+        else:
+            stack.imply(tag)
+        settle()
+        if not closing and tag not in VOID:
+            kind = "out" if is_dropped(tag, raw, bool(regions)) else ""
+            if tag in REGIONS and kind != "out" and not seen:
+                drop = None
+            if drop is None and kind and raw.endswith("/"):
                 continue
-        if not closing and tag not in VOID and is_dropped(tag, raw, bool(regions)):
-            if not raw.endswith("/"):
-                drop, depth = tag, 1
+            if drop is None and kind == "out":
+                drop = len(stack.tags)
                 if tag in BLOCKS:
                     begin("")
+            if drop is None and tag in REGIONS:
+                regions.append(len(stack.tags))
+                seen = True
+            if kind or tag in BLOCKS or tag in DROPPED or tag == "html" or stack.at.get(tag):
+                stack.push(tag)
+        if drop is not None:
             continue
         if tag == "a":
             links = 0 if closing else 1
         if tag == "br":
             out[-1].parts.append(" ")
-        if tag in REGIONS:
-            if closing and tag in regions:
-                regions.remove(tag)
-            elif not closing:
-                regions.append(tag)
-                seen = True
         if tag in BLOCKS:
             links = 0
             begin("" if closing else tag)

@@ -297,3 +297,24 @@ def test_dropped_elements_end_where_html_ends_them():
     for part in ("<div class=ad>", "<p class=ad>", "<span class=ad><div>", "<li><b></i>", "<table><td></div>", "<section></li>"):
         html_text.main_text(part * 30_000)
     assert time.perf_counter() - start < 30
+
+
+def test_names_drop_no_articles_wrappers_or_main_texts():
+    body = f"<p>{LONG}</p>" * 6
+    text = "\n".join([LONG] * 6)
+    for tag, names in {
+        "article": ("post comments-open", "post category-social", "ad", "widget"),
+        "main": ("has-sidebar", "sidebar", "with-comments"),
+        "div": ("layout no-sidebar", "has-sidebar", "tag-promo", "category-ad", "layout sidebar", "content widget"),
+    }.items():
+        for name in names:
+            assert html_text.main_text(f"<{tag} class='{name}'>{body}</{tag}>") == text, name
+            assert html_text.main_text(f"<{tag} id='{name.split()[-1]}'>{body}</{tag}>") == text, name
+    assert html_text.main_text(f"<form action=x id=page>{body}</form>") == text
+    holder = "<div class='social'><p>Before.</p><article><p>In it.</p></article></div>"
+    assert html_text.main_text(holder) == "Before.\nIn it."
+    assert html_text.main_text(f"<main><div class=widget><article>{body}</article></div></main>") == text
+    for name in ("ad", "comments", "sidebar", "site-footer", "siteFooter", "AD", "share_buttons", "box ad"):
+        assert html_text.main_text(f"<article>{body}</article><div class='{name}'><p>{LONG}</p></div>") == text, name
+    reader = f"<div id=comments><div><article>{body}</article></div>{body * 2}</div>"
+    assert html_text.main_text(f"<article>{body}</article>{reader}") == text

@@ -1,8 +1,10 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped first: comments, scripts, styles, forms and elements that are menus, headers,
-footers, sidebars, notices, adverts or reader comments by their tag, role or class go with their content. Elements
-end where HTML lets an end tag be left out, or with an element around them;
+Markup is stripped first: comments, scripts, styles and elements that are menus, headers, footers or
+sidebars by their tag, role or state go with their content. Forms, and elements that a whole class name or the
+id calls menus, notices, adverts or reader comments, go too, unless they hold the page's first article or main,
+or ``LARGE`` and more than half of its text outside links: then that is judged by the weights below. Articles and
+mains never go by a name. Elements end where HTML lets an end tag be left out, or with an element around them;
 every block element begins a new line. The weight of a line is its length outside links. In an ``article`` or
 ``main`` element it is raised by up to ``RAISED``, times the share of the page's text outside links that lies
 in such elements and the share of the line that lies outside links; lines outside weigh what they hold.
@@ -36,6 +38,8 @@ SURGE = 80
 DIVE = 25
 #: The most that a line in an article or main is raised by: less than a surge, more than a dive.
 RAISED = 30
+#: Length outside links from which an element that is doubtful by its name may be the main text.
+LARGE = 400
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -61,7 +65,11 @@ DROPPED_NAMES = set(
     "ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments"
     " consent cookie cookies copyright disqus footer login masthead menu modal nav navbar navigation newsletter"
     " notice notification pagination popup promo promotion related replies share sharing sidebar signup"
-    " skip social sponsor sponsored subscribe toolbar widget".split()
+    " skip social sponsor sponsored subscribe toolbar widget"
+    " ad-banner ad-box ad-container ad-slot ad-unit comment-form comment-list comments-area comments-list"
+    " comments-section cookie-banner cookie-notice footer-links main-menu main-nav nav-bar nav-links nav-menu"
+    " newsletter-signup page-footer post-navigation related-articles related-posts share-buttons share-links"
+    " side-bar site-footer site-nav site-navigation skip-link social-links social-share widget-area".split()
 )
 TABLE = set("table caption tbody tfoot thead tr td th".split())
 #: Starts that do not end a paragraph, starts that end an open one of the names, and what may stand in a head.
@@ -70,33 +78,39 @@ SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
 ROWS = dict.fromkeys(("td", "th"), {"td", "th"}) | {"tr": {"td", "th", "tr", "caption"}}
 ROWS |= dict.fromkeys(("tbody", "tfoot", "thead"), TABLE - {"table"})
 IN_HEAD = set("html head base basefont bgsound link meta".split())
-SPLIT_NAMES = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+SPLIT_NAMES = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 def attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
 
 
-def is_dropped(tag: str, raw: str, in_region: bool) -> bool:
-    """Whether an element is no part of the main text, by its tag, role, class or id."""
-    if tag in DROPPED or (tag == "header" and not in_region):
-        return True
-    if not raw or tag in ("html", "body"):
-        return False
+def judged(tag: str, raw: str, in_region: bool) -> str:
+    """``out`` for an element that is no part of the main text by its tag, role or state, ``named`` for one that
+    is doubtful by a whole class name or its id, else nothing. An article or main is never judged by its name."""
+    if (tag in DROPPED and tag != "form") or (tag == "header" and not in_region):
+        return "out"
+    if tag in ("html", "body"):
+        return ""
+    doubtful = "named" if tag == "form" else ""
+    if not raw:
+        return doubtful
     found = attributes(raw)
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+        return "out"
     if re.search(r"display\s*:\s*none", found.get("style", "")) or found.get("role", "").lower() in DROPPED_ROLES:
-        return True
-    names = SPLIT_NAMES.split(found.get("class", "") + " " + found.get("id", ""))
-    return not DROPPED_NAMES.isdisjoint(n.lower() for n in names)
+        return "out"
+    if tag in REGIONS:
+        return ""
+    names = (found.get("class", "") + " " + found.get("id", "")).split()
+    return doubtful if DROPPED_NAMES.isdisjoint(SPLIT_NAMES.sub("-", n).strip("-").lower() for n in names) else "named"
 
 
 class Line:
-    __slots__ = ("parts", "linked", "tag", "region")
+    __slots__ = ("parts", "linked", "tag", "region", "named")
 
     def __init__(self, tag: str, region: bool):
-        self.parts, self.linked, self.tag, self.region = [], 0, tag, region
+        self.parts, self.linked, self.tag, self.region, self.named = [], 0, tag, region, -1
 
 
 class Open:
@@ -152,13 +166,17 @@ class Open:
 def lines(html: str) -> list[tuple[str, int, str, bool]]:
     """Text, length outside links, tag and whether in an article, of each line with text."""
     out: list[Line] = [Line("", False)]
-    stack, drop, links, seen = Open(), None, 0, False
+    stack, drop, links, seen = Open(), None, 0, set()
     regions: list[int] = []
+    named: list[int] = []
+    #: Of each element that is doubtful by its name: the one around it, and whether it holds the first article or main.
+    around, holds = [], []
+    inside: list[int] = []
 
     def begin(tag: str) -> None:
         if out[-1].parts:
             out.append(Line(tag, bool(regions)))
-        out[-1].tag, out[-1].region = tag, bool(regions)
+        out[-1].tag, out[-1].region, out[-1].named = tag, bool(regions), inside[-1] if inside else -1
 
     def settle() -> None:
         """Forget what is closed."""
@@ -166,6 +184,10 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
         n, ended = len(stack.tags), False
         if drop is not None and drop >= n:
             drop, ended = None, True
+        while named and named[-1] >= n:
+            named.pop()
+            inside.pop()
+            ended = True
         while regions and regions[-1] >= n:
             regions.pop()
             ended = True
@@ -193,7 +215,7 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
             stack.imply(tag)
         settle()
         if not closing and tag not in VOID:
-            kind = "out" if is_dropped(tag, raw, bool(regions)) else ""
+            kind = judged(tag, raw, bool(regions))
             if tag in REGIONS and kind != "out" and not seen:
                 drop = None
             if drop is None and kind and raw.endswith("/"):
@@ -202,9 +224,18 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
                 drop = len(stack.tags)
                 if tag in BLOCKS:
                     begin("")
+            elif drop is None and kind:
+                around.append(inside[-1] if inside else -1)
+                holds.append(False)
+                named.append(len(stack.tags))
+                inside.append(len(holds) - 1)
+                begin(out[-1].tag)
             if drop is None and tag in REGIONS:
                 regions.append(len(stack.tags))
-                seen = True
+                if tag not in seen:
+                    seen.add(tag)
+                    for k in inside:
+                        holds[k] = True
             if kind or tag in BLOCKS or tag in DROPPED or tag == "html" or stack.at.get(tag):
                 stack.push(tag)
         if drop is not None:
@@ -220,8 +251,31 @@ def lines(html: str) -> list[tuple[str, int, str, bool]]:
     for line in out:
         text = " ".join("".join(line.parts).split())
         if text:
-            found.append((text, max(0, len(text) - line.linked), line.tag, line.region))
-    return found
+            found.append((text, max(0, len(text) - line.linked), line.tag, line.region, line.named))
+    keep = kept_names(found, around, holds)
+    return [line[:4] for line in found if line[4] < 0 or keep[line[4]]]
+
+
+def kept_names(found: list[tuple[str, int, str, bool, int]], around: list[int], holds: list[bool]) -> list[bool]:
+    """Which of the elements doubtful by their name stay: those that hold the first article or main, and
+    those with most of the page's text, unless an article or main outside has a quarter as much."""
+    own, within = [0] * len(holds), [0] * len(holds)
+    total = regional = 0
+    for _, size, _, region, k in found:
+        total += size
+        regional += size * region
+        if k >= 0:
+            own[k] += size
+            within[k] += size * region
+    for k in range(len(holds) - 1, -1, -1):
+        if around[k] >= 0:
+            own[around[k]] += own[k]
+            within[around[k]] += within[k]
+    keep = []
+    for k, size in enumerate(own):
+        large = size >= LARGE and 2 * size > total and size > 4 * (regional - within[k])
+        keep.append((holds[k] or large) and (around[k] < 0 or keep[around[k]]))
+    return keep
 
 
 def main_lines(found: list[tuple[str, int, str, bool]]) -> list[str]:

@@ -318,3 +318,14 @@ def test_names_drop_no_articles_wrappers_or_main_texts():
         assert html_text.main_text(f"<article>{body}</article><div class='{name}'><p>{LONG}</p></div>") == text, name
     reader = f"<div id=comments><div><article>{body}</article></div>{body * 2}</div>"
     assert html_text.main_text(f"<article>{body}</article>{reader}") == text
+
+
+def test_repeated_ids_do_not_add_rows_to_learn_from(spark):
+    labels = spark.createDataFrame([(7, 1)] * 3000 + [(i, 0) for i in range(100, 140)] + [(8, 1), (9, 1), (9, 0)], "doc_id long, quality int")
+    texts = [(7, "the same text")] * 3000 + [(8, f"text number {i}") for i in range(3000)] + [(9, "two labels")]
+    docs = spark.createDataFrame(texts + [(i, f"bad {i}") for i in range(100, 140)], "doc_id long, text string").repartition(6)
+    found = compression.chosen(docs, labels, 100)
+    good = [r for r in found if r[2] == 1]
+    assert sorted(r for r in found if r[2] == 0) == sorted([(i, f"bad {i}".encode(), 0) for i in range(100, 140)] + [(9, b"two labels", 0)])
+    assert len(set(good)) == len(good) and 50 < len(good) < 160
+    assert len(compression.chosen(docs.filter("doc_id <> 8"), labels, 100)) == 43

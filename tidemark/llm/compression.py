@@ -5,11 +5,13 @@ gains by the one over the other, as a share of the sizes, is near to the log-odd
 scale and offset, which a logistic calibration on other labelled texts gives.
 
 Learning takes about ``TRAIN_ROWS`` labelled rows per class of texts of at most ``TRAIN_BYTES``,
-chosen by a hash of the id at a rate that follows from the labels' count: this much reaches the
-driver. Half build the dictionaries, half calibrate. Scoring is one scan over whole texts without a shuffle.
+chosen by a hash of the id at a rate that follows from the count of labelled ids, then, where ids have several
+texts, by a hash of id, text and label at a rate that follows from the count of those: this much reaches the
+driver, equal rows once. Half build the dictionaries, half calibrate. Learning scans the documents twice,
+scoring is one scan over whole texts without a shuffle.
 
 Defined cases: null and empty texts score like the calibration's offset, no gain either way; rows
-with several labels are learned from with each; labels without text or id are skipped; with one class
+with several labels are learned from with each, equal rows once; labels without text or id are skipped; with one class
 only, every text gets that class's share; with no labels 0.5; an empty table gives an empty result.
 """
 
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import releasing, small_batches
@@ -93,16 +95,26 @@ def learn(rows: list[tuple[int, bytes, int]]) -> tuple[bytes, bytes, float, floa
     return good, bad, *calibrate(gains, labels)
 
 
+def _share(counted: DataFrame, kind: str, train_rows: int) -> Column:
+    """For each class the share of the rows of ``counted`` that are about ``train_rows``."""
+    rate = F.lit(0.0)
+    for r in counted.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect():
+        rate = F.when(F.col(kind) == r[kind], F.lit(min(1.0, train_rows / r["n"]))).otherwise(rate)
+    return rate
+
+
 def chosen(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> list[tuple[int, bytes, int]]:
-    """About ``train_rows`` labelled texts of each class."""
+    """About ``train_rows`` labelled texts of each class at most, whatever the rows of an id."""
     labels = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "quality")
-    counts = {r["quality"]: r["n"] for r in labels.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = F.lit(0.0)
-    for kind, n in counts.items():
-        rate = F.when(F.col("quality") == kind, F.lit(min(1.0, train_rows / n))).otherwise(rate)
-    few = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30))
+    below = lambda key, rate: F.pmod(key, F.lit(1 << 30)) < rate * (1 << 30)
+    rate = _share(labels.distinct(), "quality", train_rows)
+    few = labels.filter(below(F.xxhash64("doc_id"), rate)).distinct()
     texts = docs.filter(F.octet_length("text") <= TRAIN_BYTES).select(F.col("doc_id").cast("long"), "text")
-    found = texts.join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality").collect()
+    own = F.xxhash64("doc_id", "text", "quality").alias("own")
+    rows = texts.join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality", own)
+    # Numbers first: an id with many texts is thinned out before any text travels.
+    rate = _share(rows.select("quality", "own").distinct(), "quality", train_rows)
+    found = rows.filter(below(F.col("own"), rate)).select("doc_id", "text", "quality").distinct().collect()
     return [(r["doc_id"], r["text"].encode(), r["quality"]) for r in found]
 
 

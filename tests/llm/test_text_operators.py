@@ -329,3 +329,18 @@ def test_repeated_ids_do_not_add_rows_to_learn_from(spark):
     assert sorted(r for r in found if r[2] == 0) == sorted([(i, f"bad {i}".encode(), 0) for i in range(100, 140)] + [(9, b"two labels", 0)])
     assert len(set(good)) == len(good) and 50 < len(good) < 160
     assert len(compression.chosen(docs.filter("doc_id <> 8"), labels, 100)) == 43
+
+
+def test_repeated_items_travel_once_and_match_each_time(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 3_000)
+    monkeypatch.setattr(decontaminate, "ROWS", 100, raising=False)
+    hot = "a question of the benchmark that is in it many times"
+    items = [(1, hot)] * 700 + [(None, hot)] * 5 + [(2, hot)] + [(i, f"item {i} of the others with words {i * 7} and {i}") for i in range(3, 150)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(1, f"before {hot} after"), (None, hot), (3, "nothing")], "doc_id long, text string")
+    blocks = [block for block, _ in decontaminate._blocks(benchmark)]
+    assert sum(len(b) for b in blocks) == 150
+    assert len(blocks) > 1 and max(sum(len(t) for _, t, *_ in b) for b in blocks) < 2 * decontaminate.BLOCK_BYTES
+    got = sorted((tuple(r) for r in decontaminate.contained_items(docs, benchmark).select("doc_id", "item_id").collect()), key=repr)
+    assert got == sorted([(d, i) for d in (1, None) for i, t in items if t == hot], key=repr)
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, benchmark).collect()] == [3]

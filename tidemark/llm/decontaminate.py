@@ -6,8 +6,9 @@ signature are those of the smallest hashes. Items are partitioned by size, and t
 of a partition says how many hashes its signatures have. A document, however long, is probed with
 all its shingles, so a hit can't be missed; hits are verified by exact containment of shingles.
 
-Documents are scanned once per block of items and never shuffled. A block has at most
-``BLOCK_BYTES`` of item text: only this much is sent to tasks at a time, more items take more scans.
+Documents are scanned once per block of items and never shuffled. Equal items are counted first and travel
+once; their pairs are repeated where they are found. A block has about ``BLOCK_BYTES`` of item text at most: only
+this much is sent to tasks at a time, more items take more scans.
 
 Words are runs of characters other than the six ASCII white space ones, A-Z lower-cased.
 
@@ -35,6 +36,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BLOCK_BYTES = 16 << 20
 BATCH = 1 << 20
+#: Pairs of repeated items that are passed on at once.
+ROWS = 1 << 16
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -134,28 +137,40 @@ def _found(batch: pa.RecordBatch, index: Index) -> Iterator[tuple[int, int, int,
 
 
 def _blocks(items: DataFrame) -> Iterator[tuple[list[tuple], bool]]:
-    """Ids and texts of the items, a block at a time, and whether it is the only one."""
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    """Ids, texts and numbers of equal rows of the items, a block of distinct rows at a time, and whether
+    it is the only one."""
     texts = items.filter("text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
+    texts = texts.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    if blocks > 1:
+        texts = staged(texts, "items")
     for k in range(blocks):
         block = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         yield [tuple(r) for r in block.collect()], blocks == 1
 
 
+def _repeated(rows: list[tuple], counts: list[int]) -> Iterator[pa.RecordBatch]:
+    """The rows, each as often as its count says, ``ROWS`` at a time."""
+    columns = [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 4]
+    ends = np.cumsum(counts, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    for begin in range(0, max(1, total), ROWS):
+        at = pa.array(np.searchsorted(ends, np.arange(begin, min(begin + ROWS, total)), "right"))
+        yield pa.record_batch([c.take(at) for c in columns], names=["doc_id", "item_id", "n_shared", "n_item"])
+
+
 def _matches(rows: DataFrame, items: list[tuple], threshold: float, width: int) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = [i for i, _ in sent.value]
-        index = Index([t.encode() for _, t in sent.value], threshold, width)
+        ids, counts = [i for i, *_ in sent.value], [n for *_, n in sent.value]
+        index = Index([t.encode() for _, t, _ in sent.value], threshold, width)
         for batch in small_batches(batches, "text", BATCH):
             doc_ids = batch.column("doc_id")
-            out = [(doc_ids[t].as_py(), ids[i], n, of) for t, i, n, of in _found(batch, index)]
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.record_batch(
-                [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_shared", "n_item"]
-            )
+            hits = [*_found(batch, index)]
+            out = [(doc_ids[t].as_py(), ids[i], n, of) for t, i, n, of in hits]
+            yield from _repeated(out, [counts[i] for _, i, *_ in hits])
 
     found = rows.mapInArrow(releasing(run), "doc_id long, item_id long, n_shared long, n_item long")
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
@@ -194,7 +209,7 @@ def keep_clean(
 
 def _cleaner(sent: Broadcast, threshold: float, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index([t.encode() for _, t in sent.value], threshold, width)
+        index = Index([t.encode() for _, t, _ in sent.value], threshold, width)
         for batch in small_batches(batches, "text", BATCH):
             clean = np.ones(batch.num_rows, bool)
             clean[[t for t, *_ in _found(batch, index)]] = False

@@ -205,6 +205,29 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_a_payload_of_many_pages_is_split(spark):
+    rng = random.Random(3)
+    rows = [(i, "u", "hot page " * 300 if i % 3 == 0 else f"{rng.random()} page {i // 2 * 2}" * 20) for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = warc.with_revisits(pages)
+        found = joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["refers_to"] == 5997 for r in found) == 1999
+
+
 def test_a_cut_archive_raises():
     one = warc.record(1, "u", b"payload", None, False)
     assert list(warc.records(iter([one[:9], one[9:] + one, b""]))) == [one, one]

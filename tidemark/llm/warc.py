@@ -11,7 +11,8 @@ new files, and those of the lost one are never read. Files go through ``pyarrow.
 folder may be on any file system that the executors share and pyarrow knows.
 
 Of records with equal payloads, that with the largest page id is a response, others
-revisit it. Groups are found by SHA-1, aggregated to one row in each task first.
+revisit it. Groups are found by SHA-1, aggregated to one row in each task first, and written; where they are too
+many to broadcast, adaptive execution splits a payload of many pages over tasks.
 
 Defined cases: a null payload is empty, equal to other empty ones; rows that share the largest id of
 a group are all responses; a row without id revisits a row with one, and groups without any id are
@@ -131,6 +132,8 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         .agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1 AND largest IS NOT NULL")
     )
+    # Written first, so that the join below reads exchanges only and a payload of many pages can be split.
+    groups = staged(groups, "groups")
     revisit = F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest"))
     return rows.join(groups, "digest", "left").select(
         "page_id", "url", "payload", F.when(revisit, F.col("largest")).alias("refers_to"), revisit.alias("revisit")

@@ -115,6 +115,24 @@ def test_all_links_within_the_radius_are_found(spark, monkeypatch, per_task):
     assert groups(got) == [g for g in groups(want) if len(g) > 1]
 
 
+@pytest.mark.parametrize("radius", [1, 3, 5])
+def test_odd_radii_miss_no_link(spark, radius):
+    # Two centres a radius apart, with numbers between them in order that are too far from all but one centre.
+    a = sum(1 << b for b in range(38, 52))
+    c = a | sum(1 << (61 - k) for k in range(radius))
+    rng = np.random.default_rng(radius)
+    around = lambda centre, bits: [centre ^ sum(1 << int(b) for b in rng.choice(bits, radius, replace=False)) for _ in range(12)]
+    marks = {a, c, *around(a, range(8, 36)), *around(c, range(38, 52))}
+    marks |= {int(rng.integers(0, 2**62)) for _ in range(5)}
+    links = [(x, y) for x in marks for y in marks if x < y and (x ^ y).bit_count() <= radius]
+    root = roots_of(marks, links)
+    signed = spark.createDataFrame([(int(np.uint64(m).astype(np.int64)),) for m in sorted(marks)], "fp long")
+    pairs = simhash.near_links(signed, radius).collect()
+    assert all((r["a"] ^ r["b"]) % 2**64 for r in pairs)
+    got = roots_of(marks, [(r["a"] % 2**64, r["b"] % 2**64) for r in pairs])
+    assert got == root
+
+
 # -------------------------------------------------------------- suffix dedup
 
 

@@ -14,6 +14,8 @@ from tidemark.llm import (
     decontaminate,
     html_text,
     language,
+    line_dedup,
+    merkle,
     quality_rules,
     sharding,
     simhash,
@@ -92,6 +94,25 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.drop_repeated_lines(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, checked against rows of which half have lost their line ends."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    now = [F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")) if c == "text" else F.col(c) for c in fields]
+    found = merkle.manifest(docs, fields, "source", "doc_id", {"now": merkle.leaf_digest(now)})
+    folded = merkle.fold(F.col("now"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": quality,
@@ -104,6 +125,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_compression_quality": quality_scores,
         "op9_html_text": page_texts,
         "op10_sharding": shards,
+        "op11_line_dedup": repeated_lines,
+        "op12_merkle_manifest": proofs,
         "quality_ablations": quality_ablations,
     }
 
@@ -161,6 +184,81 @@ FROM (SELECT doc_id, item_id, count(*) AS n_shared FROM doc_shingles JOIN item_s
       GROUP BY doc_id, item_id) JOIN sizes USING (item_id)
 WHERE 10 * n_shared >= 8 * n_item"""
 
+LINES_SQL = r"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT doc_id, i, parts[i] AS line,
+           translate(regexp_replace(parts[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM split)
+), repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS dropped
+    FROM lines LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+# crc32 modulo 2 by its definition: a bit of the decimal id at a time, lowest first.
+MERKLE_SQL = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, source, text,
+           concat(coalesce(length(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+                  coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                  coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                  coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+           list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                   lambda d: list_transform(range(0, 8), lambda k: (ascii(d) >> k) % 2))),
+               lambda crc, b: xor(crc >> 1, if(xor(crc, b) % 2 = 1, 3988292384, 0))) % 2 AS odd
+    FROM documents
+), leaves AS (
+    SELECT doc_id, coalesce('=' || source, '-') AS tree, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(if(odd = 1, octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), ''),
+                                      octet_length(encode(text)) || ':' || text), '-')) AS now
+    FROM fields
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, pos, leaf AS h, n FROM ranked
+    UNION ALL
+    SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+    FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3
+), subroots AS (
+    SELECT tree, h AS subroot, level AS height, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, pos // 3
+), steps AS (
+    SELECT r.tree, r.pos, n.level, n.pos AS sibling, n.h, n.pos < r.pos // CAST(3 ** n.level AS BIGINT) AS before
+    FROM ranked r JOIN nodes n ON n.tree = r.tree AND n.n > 1 AND n.pos // 3 = r.pos // CAST(3 ** (n.level + 1) AS BIGINT)
+         AND n.pos <> r.pos // CAST(3 ** n.level AS BIGINT)
+    UNION ALL
+    SELECT r.tree, r.pos, s.height + t.level, t.pos, t.h, t.pos < s.pos // CAST(3 ** t.level AS BIGINT)
+    FROM ranked r JOIN subroots s USING (tree) JOIN tops t ON t.n > 1 AND t.pos // 3 = s.pos // CAST(3 ** (t.level + 1) AS BIGINT)
+         AND t.pos <> s.pos // CAST(3 ** t.level AS BIGINT)
+), proofs AS (SELECT tree, pos, sha256(string_agg(h, '' ORDER BY level, sibling)) AS proof_sha256 FROM steps GROUP BY tree, pos),
+sides AS (
+    SELECT tree, pos, level, coalesce(string_agg(h, '' ORDER BY sibling) FILTER (WHERE before), '') AS l,
+           coalesce(string_agg(h, '' ORDER BY sibling) FILTER (WHERE NOT before), '') AS r
+    FROM steps GROUP BY tree, pos, level
+), heights AS (SELECT tree, height + (SELECT max(level) FROM tops) AS height FROM subroots),
+folds AS (
+    SELECT tree, pos, 0 AS level, now AS h FROM ranked
+    UNION ALL
+    SELECT f.tree, f.pos, f.level + 1, sha256(coalesce(s.l, '') || f.h || coalesce(s.r, ''))
+    FROM folds f JOIN heights g ON g.tree = f.tree AND f.level < g.height
+         LEFT JOIN sides s ON s.tree = f.tree AND s.pos = f.pos AND s.level = f.level
+)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM ranked JOIN subroots USING (tree) JOIN heights USING (tree) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
+     JOIN folds f ON f.tree = ranked.tree AND f.pos = ranked.pos AND f.level = heights.height
+     LEFT JOIN proofs p ON p.tree = ranked.tree AND p.pos = ranked.pos"""
+
 ARCHIVE_SQL = r"""
 WITH bits AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
@@ -188,5 +286,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": f"{LEDGER_SQL} SELECT *, {base} FROM ledger",
         "op2_warc": ARCHIVE_SQL,
         "op6_decontamination": CONTAINMENT_SQL,
+        "op11_line_dedup": LINES_SQL,
+        "op12_merkle_manifest": MERKLE_SQL,
         "quality_ablations": f"{LEDGER_SQL} {ablations}",
     }

@@ -20,6 +20,7 @@ from tidemark.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    token_alignment,
     warc,
 )
 
@@ -113,6 +114,12 @@ def proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabularies = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(docs, *vocabularies, groups=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": quality,
@@ -127,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": shards,
         "op11_line_dedup": repeated_lines,
         "op12_merkle_manifest": proofs,
+        "op13_token_alignment": alignment,
         "quality_ablations": quality_ablations,
     }
 

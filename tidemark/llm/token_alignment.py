@@ -32,6 +32,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -52,7 +53,7 @@ RADIXES = 64
 #: Links of a run over all radixes, and records of a frame.
 RUN, FRAME = 1 << 21, 1 << 16
 #: Bytes of text that are encoded at once, and of pieces that a worker remembers.
-GROUP, REMEMBERED = 1 << 20, 24 << 20
+GROUP, REMEMBERED = 1 << 20, 128 << 20
 #: Bytes of runs that a task merges at once, and of runs per radix and salt.
 MERGED, SALTED = 32 << 20, 128 << 20
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -103,28 +104,38 @@ class Aligner:
         a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)]
         b = self.b.encode(new, num_threads=1)
         wanted = [(" " + p).encode() for p in new]
-        good = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == w and b"".join(map(self.bytes_b.__getitem__, y)) == w
-            for x, y, w in zip(a, b, wanted, strict=True)
-        ]
-        none: list[int] = []
-        a, b = ([x if g else none for x, g in zip(ids, good, strict=True)] for ids in (a, b))
-        counts, groups, links = self.aligned(a, b, [len(w) if g else 0 for w, g in zip(wanted, good, strict=True)])
+        sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
+        good = self.given_back(a, b, wanted, sizes)
+        if not good.all():
+            none: list[int] = []
+            a, b = ([x if g else none for x, g in zip(ids, good, strict=True)] for ids in (a, b))
+        counts, groups, links = self.aligned(a, b, np.where(good, sizes, 0))
         n = len(self.known)
         while n + len(new) > len(self.counts):
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         self.counts[n : n + len(new)] = counts
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
-        self.good += good
+        self.good += good.tolist()
         self.groups += groups
         self.links += links
-        self.held += sum(300 + 4 * len(w) + len(g) + len(x) for w, g, x in zip(wanted, groups, links, strict=True))
-
-    def aligned(self, a: list[list[int]], b: list[list[int]], sizes: list[int]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+        self.held += 300 * len(new) + 4 * int(sizes.sum()) + sum(map(len, groups)) + sum(map(len, links))
+
+    def given_back(self, a: list[list[int]], b: list[list[int]], wanted: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Whether the tokens of both sides are the piece, byte for byte."""
+        good, every = np.ones(len(wanted), bool), b"".join(wanted)
+        for ids, table in ((a, self.bytes_a), (b, self.bytes_b)):
+            tokens = [b"".join(map(table.__getitem__, x)) for x in ids]
+            if b"".join(tokens) != every or (np.fromiter(map(len, tokens), np.int64, len(tokens)) != sizes).any():
+                good &= np.fromiter((x == y for x, y in zip(tokens, wanted, strict=True)), bool, len(tokens))
+        return good
+
+    def aligned(self, a: list[list[int]], b: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
         """Counts, groups and links of pieces, given the ids and the bytes of each."""
-        ids = [np.fromiter((i for x in side for i in x), np.int64, sum(map(len, side))) for side in (a, b)]
+        n = [np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b)]
+        ids = [np.fromiter(chain.from_iterable(side), np.int64, int(k.sum())) for side, k in zip((a, b), n, strict=True)]
         ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids, strict=True)]
-        bounds = np.union1d(*ends)
+        bounds = np.sort(np.concatenate(ends), kind="stable")
+        bounds = bounds[np.diff(bounds, prepend=-1) > 0]
         at = [np.searchsorted(e, bounds) for e in ends]
         piece_ends = np.cumsum(sizes)
         piece = np.searchsorted(piece_ends, bounds)
@@ -132,17 +143,16 @@ class Aligner:
         common = bounds[both]
         counts = np.stack(
             [
-                np.array([len(x) for x in a], np.int64),
-                np.array([len(x) for x in b], np.int64),
+                *n,
                 np.bincount(piece[both], minlength=len(a)),
                 np.bincount(piece, minlength=len(a)),
             ],
             axis=1,
         )
         pairs = (ids[1][at[1]].astype(np.uint64) << np.uint64(self.shift_b)) | ids[0][at[0]].astype(np.uint64)
-        pairs <<= np.uint64(self.row_bits)
-        cuts = np.concatenate([[0], np.cumsum(counts[:, 3])])
-        links = [pairs[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        text = (pairs << np.uint64(self.row_bits)).tobytes()
+        cuts = (8 * np.concatenate([[0], np.cumsum(counts[:, 3])])).tolist()
+        links = [text[i:j] for i, j in pairwise(cuts)]
         return counts, self._written(ids, ends, common, counts), links
 
     def _written(self, ids: list[np.ndarray], ends: list[np.ndarray], common: np.ndarray, counts: np.ndarray) -> list[bytes]:

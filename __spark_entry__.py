@@ -7,12 +7,14 @@ checking and cleaning have something to find. All rows of the table take part.
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,7 @@ from tidemark.operators import (
     keep_allowed,
     keep_first,
     latest_days,
+    observed_quantiles,
     page_views,
     profile,
     session_metrics,
@@ -46,15 +49,27 @@ from tidemark.schema import (
     SILVER,
 )
 from tidemark.sinks import VersionedStore
+from tidemark.sinks.layout import laid_out
 from tidemark.sources import (
     BETWEEN,
     COLUMN_EXISTS,
+    COMPOUND,
+    DECREASING,
+    DISTINCT_CONTAIN,
+    DISTINCT_EQUAL,
+    DISTINCT_IN,
+    INCREASING,
     IN_SET,
     LENGTHS,
     MATCHES,
+    MEDIAN,
     NOT_IN_SET,
     NOT_NULL,
     NULL,
+    PAIR_EQUAL,
+    PAIR_GREATER,
+    PAIR_IN,
+    QUANTILES,
     ROW_COUNT,
     UNIQUE,
     Rule,
@@ -64,14 +79,14 @@ from tidemark.sources import (
     read_stream,
     read_table,
 )
-from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
+from tidemark.streaming import bronze_events, clean_stream, create_bronze_table, write_bronze
 
 try:
     import corpus_pipeline
     from tidemark.llm import queries as llm
 except ImportError as missing:
-    if missing.name not in ("corpus_pipeline", "tidemark.llm"):
-        raise
+    # The subpackage, or a library that only it needs, isn't here: the rest goes on without its queries.
+    logging.getLogger(__name__).warning("no queries on training data, %s is missing", missing.name)
     llm = corpus_pipeline = None
 
 NOT_NULL_RULE = Rule(NOT_NULL, "user_id")
@@ -92,7 +107,34 @@ CHECK_ONLY = {
     "row_count": Rule(ROW_COUNT, min_value=1, max_value=100),
     "column_exists": Rule(COLUMN_EXISTS, "Session_ID"),
     "mostly": Rule(NOT_NULL, "user_id", mostly=0.9),
+    "distinct_in_set": Rule(DISTINCT_IN, "event_type", ("click", "view", "purchase")),
+    "distinct_contain_set": Rule(DISTINCT_CONTAIN, "event_type", ("click", "view", "refund")),
+    "distinct_equal_set": Rule(DISTINCT_EQUAL, "device", ("mobile", "desktop", "tablet")),
+    "pair_greater": Rule(PAIR_GREATER, columns=("day", "user_id"), ignore="any"),
+    "pair_in_set": Rule(
+        PAIR_IN, value_set=(("click", "mobile"), ("view", "tablet")), columns=("event_type", "device"), mostly=0.2
+    ),
+    "pair_equal": Rule(PAIR_EQUAL, columns=("user_id", "event_id"), mostly=0.1),
+    "compound_unique": Rule(COMPOUND, columns=("session_id", "page")),
+    "increasing": Rule(INCREASING, "timestamp", order_by="event_id"),
 }
+QUANTILE_RULES = (
+    Rule(QUANTILES, "value", quantiles=((0.1, 0, 10), (0.5, 50, None), (0.9, None, 500)), error=0.00001),
+    Rule(MEDIAN, "ts", min_value="2024-01-10", max_value="2024-01-20", error=0.00001),
+    Rule(MEDIAN, "value", min_value=0, exact=True),
+)
+# Text that is compared with numbers; most of it is none.
+TEXT_RULES = (
+    Rule(BETWEEN, "user_id", min_value=100, max_value=500.5),
+    Rule(BETWEEN, "session_id", max_value=1),
+    Rule(BETWEEN, "page", min_value="/p2"),
+)
+SAMPLED_RULES = (
+    IN_SET_RULE,
+    Rule(NOT_IN_SET, "device", ("tablet", "tv")),
+    Rule(MATCHES, "page", regex="[0-3]$"),
+    Rule(PAIR_GREATER, columns=("month", "day"), ignore="none"),
+)
 
 
 # ------------------------------------------------------------------ inputs
@@ -228,6 +270,50 @@ def publish_silver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(SILVER)
 
 
+def ingest_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean all messages as they arrive, then scan what was written."""
+    work = scratch(spark)
+    stream = clean_stream(bronze_events(message_stream(spark, sf_dir), watermark=None))
+    write_bronze(
+        stream, f"{work}/checkpoint", path=f"{work}/silver", trigger={"availableNow": True}
+    ).awaitTermination()
+    return read_events(spark, f"{work}/silver")
+
+
+def ordered_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions stored with the largest first; the rows of each file, how many come before a larger one
+    of its file, and how many files reach into the range of the file before."""
+    path = f"{scratch(spark)}/sessions"
+    laid_out(session_metrics(silver(spark, sf_dir)), [], ["-events_in_session"], 8).write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        "events_in_session", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("id")
+    )
+    size = F.col("events_in_session")
+    unsorted = F.lead("events_in_session").over(Window.partitionBy("file").orderBy("id")) > size
+    per_file = rows.withColumn("unsorted", unsorted).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("unsorted").alias("unsorted"), F.min(size).alias("least"), F.max(size).alias("most")
+    )
+    before = F.min("least").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    return per_file.withColumn("overlaps", F.coalesce(F.col("most") > before, F.lit(False))).agg(
+        F.sum("n").alias("n_sessions"), F.sum("unsorted").alias("n_unsorted"), F.count_if("overlaps").alias("n_overlaps")
+    )
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def quantiles_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quantiles of the rules over ``value``, each with its rule."""
+    found = [
+        observed_quantiles(raw_events(spark, sf_dir), rule).select(F.lit(i).alias("position"), "*")
+        for i, rule in enumerate(QUANTILE_RULES, 1)
+        if rule.column == "value"
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def published_silver(spark: SparkSession, sf_dir: str) -> VersionedStore:
     store = VersionedStore(spark, scratch(spark))
     store.publish(silver(spark, sf_dir), SILVER, PARTITION_COLUMNS)
@@ -271,6 +357,7 @@ def engagement_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ENGAGEMENT_SQL.format(avg="duration_seconds"))
 
 
+# The names of the report's columns.
 ENGAGEMENT_SQL = """
     SELECT count(session_id) AS total_sessions,
            round(avg({avg}), 2) AS avg_session_length_seconds,
@@ -303,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_bronze": ingest,
         "stream_bronze_table": ingest_to_table,
         "stream_silver": lambda s, d: clean(ingest(s, d)),
+        "stream_clean": ingest_clean,
         "stream_gold_dau": lambda s, d: daily_active_users(clean(ingest(s, d))),
         # checks
         "dq_not_null": lambda s, d: validate(bronze(s, d), Suite("", (NOT_NULL_RULE,))),
@@ -323,6 +411,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             f"dq_{name}": lambda s, d, rule=rule: validate(bronze(s, d), Suite("", (rule,)))
             for name, rule in CHECK_ONLY.items()
         },
+        "dq_quantiles": lambda s, d: validate(raw_events(s, d), Suite("", QUANTILE_RULES)),
+        "dq_quantile_values": quantiles_seen,
+        "dq_decreasing": lambda s, d: validate(
+            raw_events(s, d), Suite("", (Rule(DECREASING, "user_id", order_by="ts", strictly=True),))
+        ),
+        "dq_between_text": lambda s, d: validate(bronze(s, d), Suite("", TEXT_RULES)),
+        "dq_samples": lambda s, d: validate(bronze(s, d), Suite("", SAMPLED_RULES), 40).select(
+            "position", F.inline("samples")
+        ),
         # cleaning
         "clean_not_null": lambda s, d: drop_nulls(bronze(s, d), "user_id"),
         "clean_unique": lambda s, d: keep_first(bronze(s, d), "event_id"),
@@ -344,6 +441,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # the same on skewed input
         "skewed_dq_report": lambda s, d: validate(skewed(s, d), report),
+        "skewed_dq_compound_unique": lambda s, d: validate(
+            skewed(s, d), Suite("", (CHECK_ONLY["compound_unique"],))
+        ),
+        "skewed_dq_increasing": lambda s, d: validate(
+            skewed(s, d), Suite("", (CHECK_ONLY["increasing"],))
+        ),
         "skewed_silver": lambda s, d: as_text(clean(skewed(s, d), report), *PARTITION_COLUMNS),
         "skewed_dau": lambda s, d: as_text(daily_active_users(skewed(s, d)), *PARTITION_COLUMNS),
         "skewed_sessions": lambda s, d: as_text(
@@ -364,6 +467,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # publishing
         "publish_twice": publish_silver_twice,
         "publish_gold_sessions": lambda s, d: published_sessions(s, d).read(GOLD_SESSIONS),
+        "ordered_sessions": ordered_sessions,
         "batch_silver": lambda s, d: batch_run(s, d).read(SILVER),
         "batch_latest_days": lambda s, d: latest_days(batch_run(s, d).read(GOLD_DAU)),
         "batch_top_pages": lambda s, d: top_pages(batch_run(s, d).read(GOLD_PAGE_VIEWS)),
@@ -534,9 +638,75 @@ CHECK_ONLY_SQL = {
     "row_count": (ROW_COUNT, "NULL", "0", "CASE WHEN count(*) BETWEEN 1 AND 100 THEN 0 ELSE 1 END"),
     "column_exists": (COLUMN_EXISTS, "'Session_ID'", "0", "false"),
     "mostly": (NOT_NULL, "'user_id'", _nulls("user_id"), "user_id IS NULL", 0.9),
+    "distinct_in_set": (
+        DISTINCT_IN,
+        "'event_type'",
+        _nulls("event_type"),
+        "event_type NOT IN ('click', 'view', 'purchase')",
+    ),
+    "distinct_contain_set": (
+        DISTINCT_CONTAIN,
+        "'event_type'",
+        _nulls("event_type"),
+        "3 - count(DISTINCT event_type) FILTER (WHERE event_type IN ('click', 'view', 'refund'))",
+    ),
+    "distinct_equal_set": (
+        DISTINCT_EQUAL,
+        "'device'",
+        _nulls("device"),
+        "3 - count(DISTINCT device) FILTER (WHERE device IN ('mobile', 'desktop', 'tablet'))"
+        " + count(*) FILTER (WHERE device NOT IN ('mobile', 'desktop', 'tablet'))",
+    ),
+    "pair_greater": (
+        PAIR_GREATER,
+        "'day, user_id'",
+        'count(*) FILTER (WHERE "day" IS NULL OR user_id IS NULL)',
+        '"day" <= TRY_CAST(user_id AS INTEGER)',
+    ),
+    "pair_in_set": (
+        PAIR_IN,
+        "'event_type, device'",
+        "count(*) FILTER (WHERE event_type IS NULL AND device IS NULL)",
+        "(event_type, device) NOT IN (('click', 'mobile'), ('view', 'tablet'))",
+        0.2,
+    ),
+    "pair_equal": (
+        PAIR_EQUAL,
+        "'user_id, event_id'",
+        "count(*) FILTER (WHERE user_id IS NULL AND event_id IS NULL)",
+        "coalesce(user_id <> event_id, true)",
+        0.1,
+    ),
 }
 
 
+def _compound(source: str) -> str:
+    return f"""{source}, keys AS (
+            SELECT session_id, page, count(*) AS n FROM bronze GROUP BY session_id, page),
+        totals AS (
+            SELECT CAST(sum(n) AS BIGINT) AS element_count,
+                   CAST(coalesce(sum(n) FILTER (WHERE session_id IS NULL AND page IS NULL), 0) AS BIGINT)
+                       AS missing_count,
+                   CAST(coalesce(sum(n) FILTER (WHERE n > 1 AND (session_id IS NOT NULL OR page IS NOT NULL)), 0)
+                       AS BIGINT) AS unexpected_count
+            FROM keys)
+        SELECT 1 AS position, '{COMPOUND}' AS rule, 'session_id, page' AS "column", *,
+               unexpected_count = 0 AS success,
+               CASE WHEN unexpected_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM totals"""
+
+
+def _ordered(source: str, table: str, kind: str, column: str, order: str, ties: str, broken: str) -> str:
+    return f"""{source} steps AS (
+            SELECT {column} AS value, lag({column}) OVER (ORDER BY {order} NULLS FIRST, {column} {ties}) AS earlier
+            FROM {table} WHERE {column} IS NOT NULL),
+        totals AS (
+            SELECT (SELECT count(*) FROM {table}) AS element_count,
+                   (SELECT count(*) - count({column}) FROM {table}) AS missing_count,
+                   (SELECT count(*) FROM steps WHERE value {broken} earlier) AS unexpected_count)
+        SELECT 1 AS position, '{kind}' AS rule, '{column.strip('"')}' AS "column", *, unexpected_count = 0 AS success,
+               CASE WHEN unexpected_count = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM totals"""
+
+
 def oracle_sql() -> dict[str, str]:
     columns = 'event_id, user_id, session_id, event_type, page, device, "timestamp"'
     all_bronze = f"{BRONZE_SQL} SELECT * FROM bronze"
@@ -609,6 +779,57 @@ def oracle_sql() -> dict[str, str]:
         "clean_in_set_numeric": f"{NUMERIC_SQL} SELECT event_id, whole, amount FROM numeric"
         " WHERE whole IN (2, 3, 4) AND amount IN (0.5, 1, 1.5)",
         **{f"dq_{name}": f"{BRONZE_SQL} {_rule_row(1, *parts)}" for name, parts in CHECK_ONLY_SQL.items()},
+        "dq_compound_unique": _compound(BRONZE_SQL),
+        "skewed_dq_compound_unique": _compound(SKEWED_SQL),
+        "dq_increasing": _ordered(
+            BRONZE_SQL + ",", "bronze", INCREASING, '"timestamp"', "event_id", "ASC", "<"
+        ),
+        "skewed_dq_increasing": _ordered(
+            SKEWED_SQL + ",", "bronze", INCREASING, '"timestamp"', "event_id", "ASC", "<"
+        ),
+        "dq_decreasing": _ordered("WITH", "events", DECREASING, "user_id", "ts", "DESC", ">="),
+        "dq_quantiles": "WITH q AS (SELECT quantile_disc(value, [0.1, 0.5, 0.9]) AS v, quantile_disc(ts, 0.5) AS m,"
+        " quantile_cont(value, 0.5) AS e FROM events) "
+        + " UNION ALL ".join(
+            _rule_row(
+                i,
+                kind,
+                f"'{c}'",
+                _nulls(c),
+                f"(SELECT {bad} FROM q) + 0 * count(*)",
+                source="events",
+            )
+            for i, kind, c, bad in (
+                (1, QUANTILES, "value", "if(v[1] BETWEEN 0 AND 10, 0, 1) + if(v[2] >= 50, 0, 1) + if(v[3] <= 500, 0, 1)"),
+                (2, MEDIAN, "ts", "if(m BETWEEN '2024-01-10' AND '2024-01-20', 0, 1)"),
+                (3, MEDIAN, "value", "if(e >= 0, 0, 1)"),
+            )
+        ),
+        "dq_quantile_values": """
+            SELECT 1 AS position, unnest([0.1, 0.5, 0.9])::DOUBLE AS quantile,
+                   unnest(quantile_disc(value, [0.1, 0.5, 0.9])) AS value,
+                   unnest([quantile_disc(value, 0.1) BETWEEN 0 AND 10, quantile_disc(value, 0.5) >= 50,
+                           quantile_disc(value, 0.9) <= 500]) AS success FROM events
+            UNION ALL
+            SELECT 3, 0.5, quantile_cont(value, 0.5), quantile_cont(value, 0.5) >= 0 FROM events""",
+        "dq_between_text": f"{BRONZE_SQL} "
+        + " UNION ALL ".join(
+            _rule_row(i, BETWEEN, f"'{c}'", _nulls(c), f"{c} IS NOT NULL AND NOT coalesce({good}, false)")
+            for i, c, good in (
+                (1, "user_id", "TRY_CAST(user_id AS DOUBLE) BETWEEN 100 AND 500.5"),
+                (2, "session_id", "TRY_CAST(session_id AS DOUBLE) <= 1"),
+                (3, "page", "page >= '/p2'"),
+            )
+        ),
+        "dq_samples": f"""{BRONZE_SQL}
+            SELECT 1 AS position, event_type AS value, count(*) AS count FROM bronze WHERE NOT {IN_SET_SQL} GROUP BY ALL
+            UNION ALL SELECT 2, device, count(*) FROM bronze WHERE device IN ('tablet', 'tv') GROUP BY ALL
+            UNION ALL SELECT 3, page, count(*) FROM bronze WHERE NOT regexp_matches(page, '[0-3]$') GROUP BY ALL
+            UNION ALL SELECT 4, '(' || "month" || ', ' || "day" || ')', count(*) FROM bronze WHERE "month" <= "day"
+                GROUP BY ALL""",
+        "stream_clean": all_silver,
+        "ordered_sessions": f"{SESSIONS_SQL} SELECT count(*) AS n_sessions, CAST(0 AS BIGINT) AS n_unsorted,"
+        " CAST(0 AS BIGINT) AS n_overlaps FROM sessions",
         "dq_suite_file": f"""{CHECKS_SQL}, parts AS (
                 {_rule_row(1, COLUMN_EXISTS, "'event_id'", "0", "false")}
                 UNION ALL SELECT position + 1, rule, "column", element_count, missing_count,

@@ -1,0 +1,315 @@
+"""Rules about order, quantiles, sets of values and several columns, against plain Python."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+from tidemark.operators import clean, keep_allowed, observed_quantiles, unexpected_values, validate
+from tidemark.sources import (
+    BETWEEN,
+    COMPOUND,
+    DECREASING,
+    DISTINCT_CONTAIN,
+    DISTINCT_EQUAL,
+    DISTINCT_IN,
+    IN_SET,
+    INCREASING,
+    LENGTHS,
+    MATCHES,
+    MEDIAN,
+    NOT_NULL,
+    PAIR_EQUAL,
+    PAIR_GREATER,
+    PAIR_IN,
+    QUANTILES,
+    UNIQUE,
+    Rule,
+    Suite,
+    SuiteError,
+    load_suite,
+)
+
+
+def counts(df, *rules):
+    rows = validate(df, Suite("", rules)).orderBy("position").collect()
+    return [(r["element_count"], r["missing_count"], r["unexpected_count"], r["success"]) for r in rows]
+
+
+def suite_of(kind, **kwargs):
+    return {"expectations": [{"expectation_type": kind, "kwargs": kwargs}]}
+
+
+# ---------------------------------------------------------------------- order
+
+
+def plain_breaks(rows, falling, strictly):
+    rows = [r for r in rows if r[1] is not None]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, -r[1] if falling else r[1]))
+    n = 0
+    for (_, before), (_, value) in zip(rows, rows[1:], strict=False):
+        worse = value > before if falling else value < before
+        n += worse or (strictly and value == before)
+    return n
+
+
+@pytest.mark.parametrize("falling", [False, True])
+@pytest.mark.parametrize("strictly", [False, True])
+def test_order_equals_a_plain_walk(spark, falling, strictly):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, *range(40)])) for _ in range(300)]
+    rows += [(30, 20)] * 200 + [(i, i) for i in range(100, 200)] + [(i, 300 - i) for i in range(200, 260)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "at int, v int").repartition(6)
+    rule = Rule(DECREASING if falling else INCREASING, "V", order_by="AT", strictly=strictly)
+    missing = sum(v is None for _, v in rows)
+    broken = plain_breaks(rows, falling, strictly)
+    assert counts(df, rule) == [(len(rows), missing, broken, broken == 0)]
+
+
+def test_order_of_few_rows(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "c")], "at int, v string")
+    up, down = Rule(INCREASING, "v", order_by="at"), Rule(DECREASING, "v", order_by="at", strictly=True)
+    assert counts(df, up, down) == [(3, 1, 0, True), (3, 1, 1, False)]
+    assert counts(df.limit(0), up) == [(0, 0, 0, True)]
+    assert counts(df.filter("v IS NULL"), up, down) == [(1, 1, 0, True)] * 2
+
+
+def test_order_takes_no_single_task(spark, tmp_path):
+    spark.range(100).selectExpr("id AS at", "id AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = validate(df, Suite("", (Rule(INCREASING, "v", order_by="at"),)))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    window = text.index("Window")
+    assert "Exchange SinglePartition" in text[:window]  # of one row per range
+    assert "SinglePartition" not in text[window:]
+    assert "rangepartitioning" in text[window:]
+
+
+# ------------------------------------------------------------------ quantiles
+
+
+def test_quantiles(spark):
+    df = spark.createDataFrame([(float(i), Decimal(i), f"2024-01-{1 + i % 28:02}") for i in range(101)], "v double, d decimal(10,2), t string")
+    df = df.selectExpr("v", "d", "CAST(t AS DATE) AS t", "CAST(NULL AS INT) AS n")
+    ranges = ((0.0, 0, 0), (0.5, 49, 51), (1.0, None, 99), (0.25, 90, None))
+    rules = (
+        Rule(QUANTILES, "v", quantiles=ranges),
+        Rule(QUANTILES, "d", quantiles=ranges, exact=True),
+        Rule(MEDIAN, "t", min_value="2024-01-10", max_value="2024-01-20"),
+        Rule(MEDIAN, "n", min_value=0),
+    )
+    assert counts(df, *rules) == [(101, 0, 2, False), (101, 0, 2, False), (101, 0, 0, True), (101, 101, 0, True)]
+    seen = observed_quantiles(df, rules[0]).collect()
+    assert [(r["quantile"], r["value"], r["success"]) for r in seen] == [
+        (0.0, 0.0, True), (0.5, 50.0, True), (1.0, 100.0, False), (0.25, 25.0, False)
+    ]
+    assert counts(df.limit(0), *rules) == [(0, 0, 0, True)] * 4
+
+
+def test_quantiles_of_odd_columns(spark):
+    df = spark.createDataFrame([("a", 1)], "s string, n int").selectExpr("s", "n", "DATE'2024-01-01' AS t")
+    for rule in (Rule(MEDIAN, "s", min_value="a"), Rule(MEDIAN, "t", min_value="2024-01-01", exact=True)):
+        with pytest.raises(SuiteError, match="no quantiles"):
+            validate(df, Suite("", (rule,)))
+
+
+# ------------------------------------------------------------ distinct values
+
+
+@pytest.mark.parametrize("n_listed", [0, 3, 62, 63, 200])
+def test_sets_of_distinct_values(spark, n_listed):
+    rng = random.Random(n_listed)
+    values = [rng.choice([None, *range(150)]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(5)
+    listed = tuple(rng.sample(range(300), n_listed)) + (("x", 1.5, "x") if n_listed else ())
+    there = {v for v in values if v is not None}
+    outside = sum(v is not None and v not in listed for v in values)
+    lacking = len({v for v in listed if v not in there})
+    missing = values.count(None)
+    want = [outside, lacking, outside + lacking]
+    rules = [Rule(kind, "v", listed) for kind in (DISTINCT_IN, DISTINCT_CONTAIN, DISTINCT_EQUAL)]
+    assert counts(df, *rules) == [(400, missing, n, n == 0) for n in want]
+
+
+def test_listed_values_that_are_equal_count_once(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    assert counts(df, Rule(DISTINCT_EQUAL, "n", (1, "1", 1.0, 2)), Rule(DISTINCT_EQUAL, "s", ("b", "a", "a"))) == [
+        (2, 0, 0, True)
+    ] * 2
+    assert counts(df.limit(0), Rule(DISTINCT_CONTAIN, "s", ("a",))) == [(0, 0, 1, False)]
+
+
+# ------------------------------------------------------------ several columns
+
+PAIRS = [(1, 2), (2, 1), (3, 3), (None, 1), (1, None), (None, None), (1, 2)]
+
+
+@pytest.mark.parametrize(
+    ("ignore", "missing", "bad"), [("all", 1, [5, 4, 5, 3]), ("any", 3, [3, 2, 3, 2]), ("none", 0, [6, 5, 6, 3])]
+)
+def test_pairs(spark, ignore, missing, bad):
+    df = spark.createDataFrame(PAIRS, "a int, b int")
+    names = {"columns": ("A", "b"), "ignore": ignore}
+    rules = (
+        Rule(PAIR_GREATER, **names),
+        Rule(PAIR_GREATER, or_equal=True, **names),
+        Rule(PAIR_EQUAL, **names),
+        Rule(PAIR_IN, value_set=((1, 2), (None, 1), (None, None), (2.5, 1)), **names),
+    )
+    assert counts(df, *rules) == [(7, missing, n, False) for n in bad]
+    labels = {r["column"] for r in validate(df, Suite("", rules)).collect()}
+    assert labels == {"a, b"}
+
+
+def test_pairs_of_unlike_types(spark):
+    df = spark.createDataFrame([("5", 3), ("x", 3), ("2", 3)], "s string, n int")
+    rules = (Rule(PAIR_GREATER, columns=("s", "n")), Rule(PAIR_GREATER, columns=("n", "s")))
+    assert counts(df, *rules) == [(3, 0, 2, False)] * 2
+    assert sorted(unexpected_values(df, rules[0]).collect()) == [("(2, 3)", 1), ("(x, 3)", 1)]
+
+
+@pytest.mark.parametrize("ignore", ["all", "any", "none"])
+def test_compound_keys(spark, ignore):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, 1, 2, 3, 4, 5])) for _ in range(15)] + [("hot", 1)] * 300
+    left_out = {"all": all, "any": any, "none": lambda _: False}[ignore]
+    kept = [r for r in rows if not left_out([v is None for v in r])]
+    repeated = sum(n for n in Counter(kept).values() if n > 1)
+    df = spark.createDataFrame(rows, "s string, n int").repartition(4)
+    rule = Rule(COMPOUND, columns=("S", "N"), ignore=ignore)
+    assert counts(df, rule) == [(len(rows), len(rows) - len(kept), repeated, False)]
+    shown = {k: n for k, n in unexpected_values(df, rule).collect()}
+    assert shown == {
+        "(" + ", ".join("null" if v is None else str(v) for v in k) + ")": n for k, n in Counter(kept).items() if n > 1
+    }
+
+
+# ---------------------------------------------------------------- sample rows
+
+
+def test_samples_come_with_the_report(spark, tmp_path):
+    rows = [("x", 1)] * 5 + [("y", 2)] * 3 + [("z", 3)] + [("a", None)]
+    spark.createDataFrame(rows, "s string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = (
+        Rule(IN_SET, "s", ("a",)),
+        Rule(NOT_NULL, "n"),
+        Rule(BETWEEN, "n", min_value=0),
+        Rule(PAIR_GREATER, columns=("n", "n")),
+        Rule(MEDIAN, "n", min_value=5),
+        Rule(UNIQUE, "s"),
+        Rule(COMPOUND, columns=("s", "n")),
+        Rule(INCREASING, "n", order_by="s"),
+    )
+    report = validate(df, Suite("", rules), samples=2)
+    assert report.columns[-2:] == ["samples", "status"]
+    found = {r["position"]: [tuple(x) for x in r["samples"]] for r in report.collect()}
+    assert found[1] == [("x", 5), ("y", 3)]
+    assert found[2] == [(None, 1)]
+    assert found[3] == found[5] == found[8] == []
+    assert found[4][0] == ("(1, 1)", 5) and len(found[4]) == 2
+    for position, names in ((6, ("x", "y")), (7, ("(x, 1)", "(y, 2)"))):
+        # The most frequent key of each bucket: the most frequent of all is always one.
+        assert found[position][0] == (names[0], 5) and set(found[position]) <= {(names[0], 5), (names[1], 3)}
+    plain = validate(df, Suite("", rules))
+    same = [c for c in plain.columns]
+    assert sorted(plain.collect()) == sorted(report.select(*same).collect())
+    one_scan = validate(df, Suite("", rules[:5]), samples=2)._jdf.queryExecution().executedPlan().toString()
+    assert one_scan.count("FileScan") == 1
+    assert validate(df.limit(0), Suite("", rules), samples=3).filter("size(samples) > 0").collect() == []
+    assert validate(df, Suite("", ()), samples=3).collect() == []
+
+
+def test_cleaning_skips_what_is_only_checked(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "s string, n int")
+    rules = (Rule(NOT_NULL, "s"), Rule(INCREASING, "n", order_by="s"), Rule(COMPOUND, columns=("s", "n")))
+    assert clean(df, Suite("", rules)).collect() == [("a", 1)]
+
+
+# -------------------------------------------------- values that can't be compared
+
+
+def test_ranges_count_what_is_no_number(spark):
+    nan = float("nan")
+    rows = [("5", 5.0), ("1e3", nan), ("x", 1.0), ("", -1.0), ("NaN", None), (None, 9.0)]
+    df = spark.createDataFrame(rows, "s string, d double")
+    rules = (
+        Rule(BETWEEN, "s", min_value=1),
+        Rule(BETWEEN, "s", min_value=1, max_value=10.5),
+        Rule(BETWEEN, "s", min_value="5"),
+        Rule(BETWEEN, "d", min_value=0),
+        Rule(BETWEEN, "d", max_value=100),
+        Rule(LENGTHS, "s", min_value=1),
+    )
+    assert [c[2] for c in counts(df, *rules)] == [3, 4, 2, 2, 1, 1]
+
+
+def test_bounds_that_fit_no_column(spark):
+    df = spark.createDataFrame([(1, "2024-01-01")], "n int, t string").selectExpr("n", "CAST(t AS TIMESTAMP) AS t")
+    for rule in (Rule(BETWEEN, "t", min_value="soon"), Rule(BETWEEN, "n", max_value="many")):
+        with pytest.raises(SuiteError, match="can't be compared"):
+            validate(df, Suite("", (rule,)))
+    assert counts(df, Rule(BETWEEN, "n", max_value="3")) == [(1, 0, 0, True)]
+
+
+def test_broken_patterns_are_refused_before_any_job(spark):
+    with pytest.raises(SuiteError, match="regular expression"):
+        load_suite(suite_of(MATCHES, column="s", regex="x("), spark)
+    df = spark.createDataFrame([("a",)], "s string")
+    with pytest.raises(SuiteError, match="regular expression"):
+        validate(df, Suite("", (Rule(MATCHES, "s", regex="["),)))
+
+
+def test_long_numbers_match_exactly(spark):
+    long, other = 123456789012345678901234567890, 12345678901234567890123456678
+    df = spark.createDataFrame([(Decimal(long),), (Decimal(other),), (Decimal(0),)], "d decimal(38,0)")
+    listed = [long, "12345678901234567890123456678.5", "0.0", "1" * 60, "1e-200", "9" * 38]
+    assert sorted(r["d"] for r in keep_allowed(df, "d", listed).collect()) == [0, long]
+    assert counts(df, Rule(DISTINCT_CONTAIN, "d", (long, other, 0))) == [(3, 0, 0, True)]
+
+
+@pytest.mark.parametrize(
+    "document",
+    [
+        suite_of(INCREASING, column="a"),
+        suite_of(INCREASING, column="a", order_by=3),
+        suite_of(INCREASING, column="a", order_by="b", strictly="yes"),
+        suite_of(QUANTILES, column="a", quantile_ranges={}),
+        suite_of(QUANTILES, column="a", quantile_ranges={"quantiles": [0.5], "value_ranges": [[1]]}),
+        suite_of(QUANTILES, column="a", quantile_ranges={"quantiles": [1.5], "value_ranges": [[1, 2]]}),
+        suite_of(QUANTILES, column="a", quantile_ranges={"quantiles": [], "value_ranges": []}),
+        suite_of(MEDIAN, column="a"),
+        suite_of(MEDIAN, column="a", min_value=1, error=0),
+        suite_of(DISTINCT_IN, column="a"),
+        suite_of(PAIR_GREATER, column_A="a"),
+        suite_of(PAIR_GREATER, column_A="a", column_B="b", ignore_row_if="maybe"),
+        suite_of(PAIR_IN, column_A="a", column_B="b", value_pairs_set=[[1]]),
+        suite_of(COMPOUND, column_list=["a"]),
+        suite_of(COMPOUND, column_list="ab"),
+    ],
+)
+def test_bad_arguments(document):
+    with pytest.raises(SuiteError):
+        load_suite(document)
+
+
+def test_arguments_become_rules():
+    ranges = {"quantiles": [0, 0.5], "value_ranges": [[None, 1], [2, 3]]}
+    assert load_suite(suite_of(QUANTILES, column="a", quantile_ranges=ranges, error=0.01)).rules == (
+        Rule(QUANTILES, "a", quantiles=((0.0, None, 1), (0.5, 2, 3)), error=0.01),
+    )
+    pair = suite_of(PAIR_IN, column_A="a", column_B="b", value_pairs_set=[[1, None]], ignore_row_if="neither")
+    assert load_suite(pair).rules == (Rule(PAIR_IN, value_set=((1, None),), columns=("a", "b"), ignore="none"),)
+    keys = suite_of(COMPOUND, column_list=["a", "b"], ignore_row_if="any_value_is_missing")
+    assert load_suite(keys).rules == (Rule(COMPOUND, columns=("a", "b"), ignore="any"),)
+
+
+def test_unknown_columns_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    for rule in (Rule(COMPOUND, columns=("a", "c")), Rule(PAIR_EQUAL, columns=("c", "b")), Rule(INCREASING, "a", order_by="c")):
+        with pytest.raises(SuiteError, match="no column"):
+            validate(df, Suite("", (rule,)))

@@ -9,8 +9,8 @@ from test_clean import hot_rows
 from tidemark.functions import encode_events
 from tidemark.operators import clean, daily_active_users, gate, session_metrics, validate
 from tidemark.schema import BRONZE_SCHEMA
-from tidemark.sources import read_events, read_stream, read_table
-from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
+from tidemark.sources import NOT_NULL, Rule, Suite, SuiteError, read_events, read_stream, read_table
+from tidemark.streaming import bronze_events, clean_stream, create_bronze_table, write_bronze
 
 ONCE = {"availableNow": True}
 
@@ -218,3 +218,43 @@ def test_queries_leave_no_table_behind(spark):
     assert rows.count() == 1100
     left = {t.name for t in spark.catalog.listTables() if not t.isTemporary}
     assert left <= before
+
+
+# ------------------------------------------------------------ cleaning a stream
+
+
+def message(event_id, time, user="u", kind="view"):
+    return f'{{"event_id":"{event_id}","user_id":"{user}","event_type":"{kind}","timestamp":"2024-01-01T{time}Z"}}'
+
+
+def ingest_clean(spark, place, suite=None):
+    messages = bronze_events(stream(spark, place), watermark=None)
+    rows = clean_stream(messages, *([suite] if suite else []))
+    write_bronze(rows, str(place / "checkpoint"), path=str(place / "silver"), trigger=ONCE).awaitTermination()
+    found = read_events(spark, str(place / "silver"))
+    return sorted((r["event_id"], r["timestamp"].strftime("%H:%M")) for r in found.collect())
+
+
+def test_a_stream_is_cleaned_across_batches_and_restarts(spark, place):
+    lines(place, "1.txt", message("a", "10:00:00"), message("a", "10:01:00"), message("b", "10:00:00", kind="odd"), "junk")
+    assert [i for i, _ in ingest_clean(spark, place)] == ["a"]
+    kept = ingest_clean(spark, place)
+    # The state outlives the query: a repeat is dropped after a restart, a new key isn't.
+    lines(place, "2.txt", message("a", "10:05:00"), message("c", "10:30:00"))
+    assert ingest_clean(spark, place) == sorted([*kept, ("c", "10:30")])
+    # The watermark is at 10:20 now: what is older is late and dropped, repeated or not.
+    lines(place, "3.txt", message("d", "10:10:00"), message("e", "10:25:00"), message("c", "10:31:00"))
+    assert ingest_clean(spark, place) == sorted([*kept, ("c", "10:30"), ("e", "10:25")])
+
+
+def test_without_uniqueness_no_row_is_late(spark, place):
+    suite = Suite("", (Rule(NOT_NULL, "user_id"),))
+    lines(place, "1.txt", message("a", "10:00:00"))
+    ingest_clean(spark, place, suite)
+    lines(place, "2.txt", message("a", "01:00:00"))
+    assert ingest_clean(spark, place, suite) == [("a", "01:00"), ("a", "10:00")]
+
+
+def test_a_table_is_no_stream(spark):
+    with pytest.raises(SuiteError, match="wants a stream"):
+        clean_stream(frame(spark, []))

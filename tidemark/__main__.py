@@ -24,7 +24,6 @@ from tidemark.operators import (
     session_sample,
     silver_sample,
     top_pages,
-    unexpected_values,
     validate,
 )
 from tidemark.plans import build_gold, build_silver, run_batch
@@ -37,9 +36,9 @@ from tidemark.sources import (
     read_stream,
     read_table,
 )
-from tidemark.sources.suite import OF_TABLE
 from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
 
+log = logging.getLogger("tidemark")
 CATALOG_PREFIX = "catalog:"
 # The option of a source that bounds a micro-batch.
 MOST_PER_BATCH = {"kafka": "maxOffsetsPerTrigger"}
@@ -76,14 +75,16 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     bronze, suite = _bronze(spark, args), load_suite(args.suite, spark)
-    report = validate(bronze, suite)
+    report = validate(bronze, suite, args.values)
     # A row per rule: held here so that nothing below checks the table again.
-    report = spark.createDataFrame(report.collect(), report.schema)
+    rows = sorted(report.collect(), key=lambda row: row["position"])
+    report = spark.createDataFrame(rows, report.schema)
     profile(report).orderBy("position").show(max(1, len(suite.rules)), truncate=False)
-    failed = {row["position"] for row in report.collect() if row["unexpected_count"]}
-    for position, rule in enumerate(suite.rules, 1):
-        if position in failed and rule.kind not in OF_TABLE:
-            unexpected_values(bronze, rule, args.values).show(args.values, truncate=False)
+    for row in rows:
+        if args.values and row["samples"]:
+            log.info("%s on %s", row["rule"], row["column"])
+            values = spark.createDataFrame(row["samples"], report.schema["samples"].dataType.elementType)
+            values.show(args.values, truncate=False)
     gate(report, args.on_fail)
 
 

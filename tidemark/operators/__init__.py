@@ -7,6 +7,7 @@ from tidemark.operators.contracts import (
     validate,
     verdict,
 )
+from tidemark.operators.families import observed_quantiles
 from tidemark.operators.gold import daily_active_users, page_views, session_metrics
 from tidemark.operators.report import (
     earliest_days,
@@ -28,6 +29,7 @@ __all__ = [
     "keep_allowed",
     "keep_first",
     "latest_days",
+    "observed_quantiles",
     "page_views",
     "profile",
     "session_metrics",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from decimal import Decimal, InvalidOperation
+from decimal import Context, Decimal, InvalidOperation
 from functools import reduce
 from typing import Any
 
@@ -26,6 +26,8 @@ from tidemark.sources.suite import (
 )
 
 log = logging.getLogger(__name__)
+# Enough digits for any decimal column, so that no listed number is rounded.
+EXACT = Context(prec=100)
 
 
 def drop_nulls(df: DataFrame, column: str) -> DataFrame:
@@ -85,11 +87,11 @@ def is_allowed(df: DataFrame, column: str, values: Sequence[Any]) -> Column:
     compare with the nearest float.
     """
     kind = df.schema[column].dataType
-    fitting = [_as_type(v, kind) for v in values]
+    fitting = [as_type(v, kind) for v in values]
     return named(column).isin([v for v in fitting if v is not None])
 
 
-def _as_type(value: Any, kind: T.DataType) -> Column | None:
+def as_type(value: Any, kind: T.DataType) -> Column | None:
     """A listed value as a literal of the type, or None if that loses something."""
     if isinstance(kind, T.StringType):
         return F.lit(value).cast(kind)
@@ -105,9 +107,11 @@ def _as_type(value: Any, kind: T.DataType) -> Column | None:
         digits = kind.precision if isinstance(kind, T.DecimalType) else 19
         if not number.is_finite() or number.adjusted() >= digits - scale:
             return None
-        if number.normalize().as_tuple().exponent < -scale:
+        if not number:
+            return F.lit("0").try_cast(kind)
+        if len(number.as_tuple().digits) > EXACT.prec or number.normalize(EXACT).as_tuple().exponent < -scale:
             return None
-        return F.lit(format(number.quantize(Decimal(1).scaleb(-scale)), "f")).try_cast(kind)
+        return F.lit(format(number.quantize(Decimal(1).scaleb(-scale), context=EXACT), "f")).try_cast(kind)
     if isinstance(kind, T.DateType):
         day = F.lit(str(value)).try_cast(kind)
         return F.when(F.lit(str(value)).try_cast("timestamp_ntz") == day.cast("timestamp_ntz"), day)

@@ -9,35 +9,51 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import named, percent, status_label
 from tidemark.operators.clean import is_allowed
+from tidemark.operators.families import (
+    distinct_breaks,
+    is_ignored,
+    meets_pair,
+    ordered_counts,
+    quantiles_out_of_range,
+)
 from tidemark.sources.suite import (
     BETWEEN,
     CLICKSTREAM_SUITE,
     COLUMN_EXISTS,
+    DISTINCT_IN,
+    IN_SET,
+    KEYS,
     LENGTHS,
     MATCHES,
     NOT_IN_SET,
     NOT_NULL,
     NULL,
     OF_ALL_ROWS,
+    OF_DISTINCT,
+    OF_QUANTILES,
     OF_TABLE,
+    ORDERED,
+    PAIRS,
     ROW_COUNT,
-    UNIQUE,
     Rule,
     SuiteError,
     load_suite,
 )
 
 log = logging.getLogger(__name__)
+# Distinct values of a rule that a sample counts exactly.
+TRACKED = 10_000
 
 
 class ContractViolation(RuntimeError):
     """A rule failed and the gate was told to stop."""
 
 
-def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
+def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE, samples: int = 0) -> DataFrame:
     """Check every rule; one row per rule, ``position`` being its place in the suite.
 
     * not null: a null is unexpected.
@@ -50,14 +66,24 @@ def validate(df: DataFrame, suite: Any = CLICKSTREAM_SUITE) -> DataFrame:
       regex may match anywhere in the value, both ends of a range belong to it.
     * null: a value is unexpected.
     * row count, column exists: one unexpected "value" where the table breaks it.
+    * increasing, decreasing: a value that breaks the order of those before it.
+    * quantiles, median: quantiles outside their range.
+    * distinct values: rows with a value that isn't listed, listed values that don't occur.
+    * pairs of columns: rows that break it; ignored rows count as missing.
+    * compound keys: as unique, over several columns whose nulls are equal; ignored rows count as missing.
+
+    What can't be compared breaks a rule: text that is no number where a number is asked for, and NaN in a range.
+    With ``samples`` the report has that column too: up to so many values that break a rule, as text, with their
+    counts, from the same scan. The most frequent ones, exact up to ``TRACKED`` distinct values and estimated
+    beyond; of unique rules, the most frequent key of each of so many hash buckets, exact.
 
     A rule succeeds when the share of values that meet it is at least its ``mostly``, which
     is all of them unless the suite says otherwise; with nothing to look at it succeeds. The
     share is of the non-null values, for both null rules of all. The input is read
-    once for all row-wise rules and once per column with uniqueness rules, so pass a stored
-    table rather than a plan that is costly to repeat.
+    once for all rules but those about keys, which read it once per key, and about order, once each,
+    so pass a stored table rather than a plan that is costly to repeat.
     """
-    return _counts(df, suite).withColumn("status", status_label(F.col("success")))
+    return _counts(df, suite, samples).withColumn("status", status_label(F.col("success")))
 
 
 def profile(report: DataFrame) -> DataFrame:
@@ -87,15 +113,16 @@ def unexpected_values(df: DataFrame, rule: Rule, limit: int | None = None) -> Da
 
     All of them in no order, or with a ``limit`` the most frequent ones, sorted.
     """
-    if rule.kind in OF_TABLE:
+    if not _has_values(rule):
         raise SuiteError(f"{rule.kind} has no values")
     rule = rule.bind(df)
-    value = named(rule.column)
-    rows = df if rule.kind == UNIQUE else df.filter(_is_unexpected(df, rule))
-    counted = rows.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    if rule.kind == UNIQUE:
-        counted = counted.filter(F.col("value").isNotNull() & (F.col("count") > 1))
-    found = counted.select(F.col("value").cast("string"), "count")
+    rows = df.filter(~_is_missing(rule) if rule.kind in KEYS else _is_unexpected(df, rule))
+    keys = [named(c) for c in rule.columns or (rule.column,)]
+    counted = rows.groupBy(*[k.alias(f"key_{i}") for i, k in enumerate(keys)])
+    counted = counted.agg(F.count(F.lit(1)).alias("count"))
+    if rule.kind in KEYS:
+        counted = counted.filter(F.col("count") > 1)
+    found = counted.select(_as_text([F.col(f"key_{i}") for i in range(len(keys))]).alias("value"), "count")
     if limit is None:
         return found
     return found.orderBy(F.desc("count"), F.asc("value")).limit(limit)
@@ -126,7 +153,28 @@ def gate(report: DataFrame, on_fail: str = "warn") -> list[Row]:
     return rows
 
 
+def _has_values(rule: Rule) -> bool:
+    """Whether single values can break the rule."""
+    return rule.kind not in (*OF_TABLE, *ORDERED, *OF_QUANTILES) and (
+        rule.kind not in OF_DISTINCT or rule.kind == DISTINCT_IN
+    )
+
+
+def _as_text(values: Sequence[Column]) -> Column:
+    """A value as text; several of them in brackets."""
+    if len(values) == 1:
+        return values[0].cast("string")
+    texts = [F.coalesce(v.cast("string"), F.lit("null")) for v in values]
+    return F.concat(F.lit("("), F.concat_ws(", ", *texts), F.lit(")"))
+
+
+def _is_missing(rule: Rule) -> Column:
+    return is_ignored(rule) if rule.columns else named(rule.column).isNull()
+
+
 def _is_unexpected(df: DataFrame, rule: Rule) -> Column:
+    if rule.kind in PAIRS:
+        return ~is_ignored(rule) & ~F.coalesce(meets_pair(df, rule), F.lit(False))
     value = named(rule.column)
     if rule.kind == NOT_NULL:
         return value.isNull()
@@ -137,51 +185,65 @@ def _is_unexpected(df: DataFrame, rule: Rule) -> Column:
 
 def _meets(df: DataFrame, rule: Rule, value: Column) -> Column:
     if rule.kind == BETWEEN:
-        return _between(value, rule)
+        return _between(value, rule, df.schema[rule.column].dataType)
     if rule.kind == LENGTHS:
         return _between(F.length(value), rule)
     if rule.kind == MATCHES:
         return value.rlike(rule.regex)
+    assert rule.kind in (IN_SET, NOT_IN_SET, DISTINCT_IN)
     allowed = is_allowed(df, rule.column, rule.value_set)
     return ~F.coalesce(allowed, F.lit(False)) if rule.kind == NOT_IN_SET else allowed
 
 
-def _between(value: Column, rule: Rule) -> Column:
+def _between(value: Column, rule: Rule, kind: T.DataType | None = None) -> Column:
+    """Whether a value lies in the rule's range. Text is compared with a number as a number, null if it is none."""
     ends = F.lit(True)
-    if rule.min_value is not None:
-        ends = ends & (value >= F.lit(rule.min_value))
-    if rule.max_value is not None:
-        ends = ends & (value <= F.lit(rule.max_value))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        ends = ~F.isnan(value)
+    for bound, compare in ((rule.min_value, Column.__ge__), (rule.max_value, Column.__le__)):
+        if bound is None:
+            continue
+        number = isinstance(bound, (int, float)) and not isinstance(bound, bool)
+        if isinstance(kind, T.StringType) and not isinstance(bound, str):
+            as_number = value.try_cast("double" if number else "boolean")
+            ends = ends & compare(as_number, F.lit(bound)) & (~F.isnan(as_number) if number else F.lit(True))
+        else:
+            ends = ends & compare(value, F.lit(bound))
     return ends
 
 
-def _counts(df: DataFrame, suite: Any) -> DataFrame:
+def _counts(df: DataFrame, suite: Any, samples: int) -> DataFrame:
     """Element, missing and unexpected counts per rule, lazily.
 
-    All row-wise rules share one scan that shuffles a single partial row per task.
-    Each uniqueness rule scans its own column only: keys are counted per task before
+    All rules but those about keys and order share one scan that shuffles a single partial row
+    per task. Each key is scanned for by itself: keys are counted per task before
     the shuffle, so a hot key costs one row per task, and the exact number of rows in
     duplicate groups comes from the same pass that finds whether there are any.
     """
     placed = list(enumerate(load_suite(suite).bind(df).rules, 1))
-    row_wise = [(i, rule) for i, rule in placed if rule.kind != UNIQUE]
-    by_column: dict[str, list[tuple[int, Rule]]] = {}
+    in_one_scan = [(i, rule) for i, rule in placed if rule.kind not in (*KEYS, *ORDERED)]
+    by_key: dict[tuple, list[tuple[int, Rule]]] = {}
+    for i, rule in placed:
+        if rule.kind in KEYS:
+            by_key.setdefault((rule.column, rule.columns, rule.ignore), []).append((i, rule))
+    parts = [_unique_counts(df, rules, samples) for rules in by_key.values()]
     for i, rule in placed:
-        if rule.kind == UNIQUE:
-            by_column.setdefault(rule.column, []).append((i, rule))
-    parts = [_unique_counts(df, column, rules) for column, rules in by_column.items()]
-    if row_wise:
-        parts.insert(0, _row_wise_counts(df, row_wise))
+        if rule.kind in ORDERED:
+            totals = tuple(F.col(c) for c in ("elements", "missing", "unexpected"))
+            parts.append(_report_rows(ordered_counts(df, rule), [(i, rule, *totals, None)], samples))
+    if in_one_scan:
+        parts.insert(0, _row_wise_counts(df, in_one_scan, samples))
     if not parts:
+        more = ", samples array<struct<value:string,count:bigint>>" if samples else ""
         return df.sparkSession.createDataFrame(
             [],
             "position int, rule string, column string, element_count bigint,"
-            " missing_count bigint, unexpected_count bigint, success boolean",
+            f" missing_count bigint, unexpected_count bigint, success boolean{more}",
         )
     return reduce(DataFrame.unionByName, parts)
 
 
-def _row_wise_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]]) -> DataFrame:
+def _row_wise_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]], samples: int) -> DataFrame:
     totals = {"elements": F.count(F.lit(1))}
     for i, rule in placed:
         if rule.kind in OF_TABLE:
@@ -189,18 +251,46 @@ def _row_wise_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]]) -> DataF
             totals[f"missing_{i}"] = F.lit(0).cast("long")
             totals[f"unexpected_{i}"] = F.when(broken, F.lit(1)).otherwise(F.lit(0)).cast("long")
             continue
-        totals[f"missing_{i}"] = F.count_if(named(rule.column).isNull())
-        totals[f"unexpected_{i}"] = F.count_if(_is_unexpected(df, rule))
-    row = df.agg(*[total.alias(name) for name, total in totals.items()])
+        totals[f"missing_{i}"] = F.count_if(_is_missing(rule))
+        if rule.kind in OF_QUANTILES:
+            totals[f"unexpected_{i}"] = quantiles_out_of_range(df, rule)
+        elif rule.kind in OF_DISTINCT:
+            totals[f"unexpected_{i}"] = distinct_breaks(df, rule)
+        else:
+            totals[f"unexpected_{i}"] = F.count_if(_is_unexpected(df, rule))
+    given = {}
+    if samples:
+        # SQL only knows what is filtered by name, so values and verdicts become columns first.
+        sampled = [(i, rule) for i, rule in placed if _has_values(rule)]
+        for i, rule in sampled:
+            given[f"value of rule {i}"] = _as_text([named(c) for c in rule.columns or (rule.column,)])
+            given[f"rule {i} is broken"] = _is_unexpected(df, rule)
+            totals[f"samples_{i}"] = F.expr(
+                f"approx_top_k(`value of rule {i}`, {samples}, {max(TRACKED, samples)}) FILTER (WHERE `rule {i} is broken`)"
+            )
+    row = df.withColumns(given).agg(*[total.alias(name) for name, total in totals.items()])
     return _report_rows(
         row,
         [
-            (i, rule, F.col("elements"), F.col(f"missing_{i}"), F.col(f"unexpected_{i}"))
+            (
+                i,
+                rule,
+                F.col("elements"),
+                F.col(f"missing_{i}"),
+                F.col(f"unexpected_{i}"),
+                _pairs_of(f"samples_{i}", "item", "count") if f"samples_{i}" in totals else None,
+            )
             for i, rule in placed
         ],
+        samples,
     )
 
 
+def _pairs_of(column: str, value: str, count: str) -> Column:
+    pair = lambda x: F.struct(x[value].alias("value"), x[count].cast("long").alias("count"))
+    return F.transform(column, pair)
+
+
 def _table_meets(df: DataFrame, rule: Rule, rows: Column) -> Column:
     if rule.kind == ROW_COUNT:
         return _between(rows, rule)
@@ -208,16 +298,34 @@ def _table_meets(df: DataFrame, rule: Rule, rows: Column) -> Column:
     return F.lit(rule.column.lower() in {c.lower() for c in df.columns})
 
 
-def _unique_counts(df: DataFrame, column: str, placed: Sequence[tuple[int, Rule]]) -> DataFrame:
-    key, n = F.col("key"), F.col("n")
-    per_key = df.groupBy(named(column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(
+def _unique_counts(df: DataFrame, placed: Sequence[tuple[int, Rule]], samples: int) -> DataFrame:
+    rule = placed[0][1]
+    names = rule.columns or (rule.column,)
+    keys, n = [F.col(f"key_{i}") for i in range(len(names))], F.col("n")
+    per_key = df.groupBy(*[named(c).alias(f"key_{i}") for i, c in enumerate(names)])
+    per_key = per_key.agg(F.count(F.lit(1)).alias("n"))
+    nulls = [key.isNull() for key in keys]
+    ignored = F.lit(False) if rule.ignore == "none" else reduce(
+        Column.__and__ if rule.ignore == "all" else Column.__or__, nulls
+    )
+    repeated = ~ignored & (n > 1)
+    totals = [
         F.sum(n).alias("elements"),
-        F.sum(F.when(key.isNull(), n)).alias("missing"),
-        F.sum(F.when(key.isNotNull() & (n > 1), n)).alias("unexpected"),
-    ).na.fill(0)
+        F.sum(F.when(ignored, n)).alias("missing"),
+        F.sum(F.when(repeated, n)).alias("unexpected"),
+    ]
+    found = F.struct(n.alias("count"), _as_text(keys).alias("value"))
+    for bucket in range(samples):
+        inside = repeated & (F.pmod(F.xxhash64(*keys), F.lit(samples)) == bucket)
+        totals.append(F.max(F.when(inside, found)).alias(f"sample_{bucket}"))
+    row = per_key.agg(*totals).na.fill(0, ["elements", "missing", "unexpected"])
+    some = None
+    if samples:
+        every = F.filter(F.array(*[F.col(f"sample_{b}") for b in range(samples)]), lambda x: x.isNotNull())
+        row = row.withColumn("found", F.sort_array(every, asc=False))
+        some = _pairs_of("found", "value", "count")
     counts = (F.col("elements"), F.col("missing"), F.col("unexpected"))
-    return _report_rows(row, [(i, rule, *counts) for i, rule in placed])
+    return _report_rows(row, [(i, rule, *counts, some) for i, rule in placed], samples)
 
 
 def _succeeds(rule: Rule, elements: Column, missing: Column, unexpected: Column) -> Column:
@@ -229,19 +337,21 @@ def _succeeds(rule: Rule, elements: Column, missing: Column, unexpected: Column)
 
 
 def _report_rows(
-    totals: DataFrame, lines: Sequence[tuple[int, Rule, Column, Column, Column]]
+    totals: DataFrame, lines: Sequence[tuple[int, Rule, Column, Column, Column, Column | None]], samples: int
 ) -> DataFrame:
     """Turn one row of totals into one row per rule."""
+    none = F.array().cast("array<struct<value:string,count:bigint>>")
     structs = [
         F.struct(
             F.lit(position).alias("position"),
             F.lit(rule.kind).alias("rule"),
-            F.lit(rule.column).cast("string").alias("column"),
+            F.lit(rule.label).cast("string").alias("column"),
             elements.alias("element_count"),
             missing.alias("missing_count"),
             unexpected.alias("unexpected_count"),
             _succeeds(rule, elements, missing, unexpected).alias("success"),
+            *([(none if some is None else some).alias("samples")] if samples else []),
         )
-        for position, rule, elements, missing, unexpected in lines
+        for position, rule, elements, missing, unexpected, some in lines
     ]
     return totals.select(F.inline(F.array(*structs)))

@@ -3,12 +3,23 @@ from tidemark.sources.suite import (
     BETWEEN,
     CLICKSTREAM_SUITE,
     COLUMN_EXISTS,
+    COMPOUND,
+    DECREASING,
+    DISTINCT_CONTAIN,
+    DISTINCT_EQUAL,
+    DISTINCT_IN,
+    INCREASING,
     IN_SET,
     LENGTHS,
     MATCHES,
+    MEDIAN,
     NOT_IN_SET,
     NOT_NULL,
     NULL,
+    PAIR_EQUAL,
+    PAIR_GREATER,
+    PAIR_IN,
+    QUANTILES,
     ROW_COUNT,
     UNIQUE,
     Rule,
@@ -22,12 +33,23 @@ __all__ = [
     "BETWEEN",
     "CLICKSTREAM_SUITE",
     "COLUMN_EXISTS",
+    "COMPOUND",
+    "DECREASING",
+    "DISTINCT_CONTAIN",
+    "DISTINCT_EQUAL",
+    "DISTINCT_IN",
+    "INCREASING",
     "IN_SET",
     "LENGTHS",
     "MATCHES",
+    "MEDIAN",
     "NOT_IN_SET",
     "NOT_NULL",
     "NULL",
+    "PAIR_EQUAL",
+    "PAIR_GREATER",
+    "PAIR_IN",
+    "QUANTILES",
     "ROW_COUNT",
     "UNIQUE",
     "Rule",

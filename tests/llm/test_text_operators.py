@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import html as html_module
 import random
 import re
 import time
+from html.parser import HTMLParser
 
 import duckdb
 import public_tokenizers
@@ -226,7 +228,7 @@ PAGES = {
     "<div></div><ul><li><a>x</a></li><li><a>y</a></li><li><a>z</a></li></ul>": None,
     "": "",
     "<p>unclosed <b>tag": "unclosed tag",
-    "just < text": "",
+    "just < text": "just < text",
 }
 
 
@@ -320,6 +322,210 @@ def test_names_drop_no_articles_wrappers_or_main_texts():
     assert html_text.main_text(f"<article>{body}</article>{reader}") == text
 
 
+def test_quotes_and_short_or_linked_texts_are_not_lost():
+    first, second = "FIRST is a paragraph", "It's the SECOND one, isn't it"
+    pages = {
+        f"<p data-x=don't>{first}</p><p>{second}</p>": f"{first}\n{second}",
+        f"<p it's title='a>b' x=\"c'>d\">{first}</p><p data-y=a\"b>{second}</p>": f"{first}\n{second}",
+        f"<p a=1 b = '2' c=\"3\"/>{first}</p ><p/>{second}</p x='>'>": f"{first}\n{second}",
+        f"<p>{first}<!-- > -- <p> --><!--> {second}<!--->.<!-- x --!>!<? php ?><!x><//>": f"{first} {second}.!",
+        f"<p>{first}</p><p title='never closed>{second}</p>": first,
+        f"<p>{first}</p><p {second}": first,
+        f"<p>{first}</p><script>let a = '</p>' + \"<script>\"; </scripts></script ><p>{second}</p>": f"{first}\n{second}",
+        f"<p>{first}</p><script>{second}</p>": first,
+        f"<p>{first}</p><select><option>one<option>two</select><svg><text>x</text></svg><p>{second}": f"{first}\n{second}",
+        f"<p>5 < 6 <3 and a<-b</p><p>{second} </p> <": f"5 < 6 <3 and a<-b\n{second}\n<",
+        "<div class='post'><div>Short body, sixty characters or so in a plain page.</div></div>": "Short body, sixty characters or so in a plain page.",
+        "<div><a href=x>Home</a> <a href=y>About</a></div><div>Short.</div>": "Short.",
+        f"<article><p>{LONG}</p><p><a>A whole link, as a sentence.</a></p><p><a>And another one.</a></p><p>{LONG}</p></article>": f"{LONG}\nA whole link, as a sentence.\nAnd another one.\n{LONG}",
+        f"<div><p>{LONG}</p><p>Yes.</p><p>No.</p><p>So.</p><p>Ok.</p><p>{LONG}</p></div>": f"{LONG}\nYes.\nNo.\nSo.\nOk.\n{LONG}",
+        f"<div><p>By me.</p><p>{LONG}</p><p>No.</p><p>So.</p></div><div>tel</div><div>fax</div>": f"By me.\n{LONG}\nNo.\nSo.",
+    }
+    for page, want in pages.items():
+        assert html_text.main_text(page) == want, page
+
+
+def test_size_alone_never_decides_what_stays():
+    for n in (10, 79, 80, 399, 400, 5_000):
+        text = ("word " * n)[: n - 1] + "."
+        assert html_text.main_text(f"<form><p>{text}</p></form>") == text
+        assert html_text.main_text(f"<h1>Title</h1><div class=sidebar><p>{text}</p></div>") == f"Title\n{text}"
+        for name in ("user-comments", "advert-block", "cookie-consent-bar", "left-sidebar", "adBox", "site_footer top", "post-navigation", "x newsletter-box"):
+            page = f"<div class=body><p>{LONG}</p></div><div class='{name}'><p>{text}</p></div>"
+            assert html_text.main_text(page) == LONG, (name, n)
+            assert html_text.main_text(page.replace(" class='", " id='")) == LONG, (name, n)
+        for name in ("no-sidebar", "has-comments", "comments-open", "tag-menu", "category-social-news", "with-ads", "hide-banner", "headed", "shareholders"):
+            page = f"<div class=body><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div><p>{text}</p></div>"
+            assert html_text.main_text(page).startswith(f"{LONG}\n{LONG}"), name
+        comment = f"<article class='comment'><p>{text}</p></article>"
+        assert html_text.main_text(f"<article><p>{LONG}</p>{comment}</article>") == LONG
+        assert html_text.main_text(f"<div class=body><p>{LONG}</p></div><section id=comments>{comment}</section>") == LONG
+
+
+def test_broken_markup_takes_time_in_proportion():
+    parts = ["<script ", '<a "x ', "<a ", "<a b='", '<a b="c" ', "<!--", "</", "<!", "<?", "</a b", "<title>", "<p class=ad x=", "<a b=c' d=\"e ", "<script></scrip"]
+    nested = ["<div class=ad><a>x</a>", "<div class=sidebar>x", "<form><h1>x</h1>", "<div class=comments><article>x", "<section><p>x<div id=menu>", "<svg><select>", "<div class=sidebar><p>one two three four</p>"]
+    for part in parts:
+        start = time.perf_counter()
+        html_text.main_text(part * 100_000)
+        html_text.main_text(f"<p>{LONG}" + part * 100_000)
+        assert time.perf_counter() - start < 4, part
+    for part in nested:
+        start = time.perf_counter()
+        html_text.main_text(part * 20_000)
+        html_text.main_text("<p>x</p>" + part * 20_000 + f"<p>{LONG * 900}")
+        assert time.perf_counter() - start < 12, part
+
+
+class PlainTokens(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        first = {}
+        for name, value in attrs:
+            first.setdefault(name, value or "")
+        self.found.append(("open", tag, first))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.found.append(("close", tag))
+
+    def handle_data(self, data):
+        self.found.append(("text", data))
+
+    def handle_entityref(self, name):
+        self.handle_data(f"&{name};")
+
+    def handle_charref(self, name):
+        self.handle_data(f"&#{name};")
+
+
+def joined(found):
+    """Texts that follow each other as one; the content of raw elements isn't text of the page."""
+    out, raw = [], None
+    for token in found:
+        if raw and token[0] == "text":
+            continue
+        raw = token[1] if token[0] == "open" and token[1] in html_text.RAW else None
+        if token[0] == "text" and out and out[-1][0] == "text":
+            out[-1] = ("text", out[-1][1] + token[1])
+        else:
+            out.append(token)
+    return out
+
+
+def random_markup(rng):
+    names = ["p", "div", "a", "B", "script", "style", "br", "x-y"]
+    values = ["", "=1", "=a'b", "='q w'", '="it\'s > <p>"', "=a/b", " = 'x'"]
+    parts = []
+    for _ in range(rng.randint(1, 25)):
+        name = rng.choice(names)
+        attributes = "".join(f" {rng.choice(['id', 'Class', 'data-x', 'y'])}{rng.choice(values)}" for _ in range(rng.randint(0, 3)))
+        kind = rng.randrange(5)
+        if name in ("script", "style"):
+            parts.append(f"<{name}{attributes} >var x = '<p>'; a </{name}>")
+        elif kind == 0:
+            parts.append(f"</{name}>")
+        elif kind == 1:
+            parts.append(f"<!-- {rng.choice(['x', '<p>', 'a > b'])} -->")
+        elif kind == 2:
+            parts.append(rng.choice(["text ", "a &amp; b", "1 < 2 ", "&#65;", "\n"]))
+        else:
+            parts.append(f"<{name}{attributes}{rng.choice(['', ' ', ' /'])}>")
+    return "".join(parts)
+
+
+def test_tokens_equal_those_of_a_plain_parser():
+    rng = random.Random(12)
+    for _ in range(1500):
+        page = random_markup(rng)
+        parser = PlainTokens()
+        parser.feed(page)
+        parser.close()
+        own = [(what, name, found) if what == "open" else (what, name) for what, name, found, _ in html_text.tokens(page)]
+        own = [(w, n, {k: html_module.unescape(v) for k, v in rest[0].items()}) if rest else (w, n) for w, n, *rest in own]
+        assert joined(own) == joined(parser.found), page
+
+
+def plain_main_text(blocks, region):
+    """The rules again, line by line: ``blocks`` are (tag, text, text in links, container)."""
+    total = sum(len(t) for _, t, linked, _ in blocks if not linked)
+    sizes = [0 if linked else len(t) for _, t, linked, _ in blocks]
+    inside = [region is not None and c == region for *_, c in blocks]
+    share = sum(s for s, r in zip(sizes, inside, strict=True) if r) / max(1, total)
+    weights = [s + (30 * share * s / len(b[1]) if r else 0) for s, r, b in zip(sizes, inside, blocks, strict=True)]
+    sums = [sum(weights[j] for j in range(len(blocks)) if abs(i - j) <= 1) for i in range(len(blocks))]
+    state, runs = None, []
+    for i in range(len(blocks) + 1):
+        if state is None and i < len(blocks) and sums[i] >= 80:
+            state = i
+            while state > 0 and inside[state - 1] and sums[state - 1] >= 25 and (not runs or state > runs[-1][1]):
+                state -= 1
+        elif state is not None and (i == len(blocks) or sums[i] < 25):
+            runs.append([state, i])
+            state = None
+    same = lambda i, j: weights[i] > 0 and blocks[i][3] == blocks[j][3]
+    changed = True
+    while changed:
+        changed = False
+        for k in range(len(runs) - 1):
+            (_, b), (c, d) = runs[k], runs[k + 1]
+            if blocks[b - 1][3] == blocks[c][3] and all(same(i, c) for i in range(b, c)):
+                runs[k : k + 2] = [[runs[k][0], d]]
+                changed = True
+                break
+    for k, run in enumerate(runs):
+        low = runs[k - 1][1] if k else 0
+        while run[0] > low and blocks[run[0]][3] and same(run[0] - 1, run[0]) and blocks[run[0] - 1][0] == "p":
+            run[0] -= 1
+    for k, run in enumerate(runs):
+        high = runs[k + 1][0] if k + 1 < len(runs) else len(blocks)
+        while run[1] < high and blocks[run[1] - 1][3] and same(run[1], run[1] - 1) and blocks[run[1]][0] == "p":
+            run[1] += 1
+    kept = set()
+    for a, b in runs:
+        for i in range(a, b):
+            near = any(weights[a:i]) and any(weights[i + 1 : b])
+            alone = i > a and i + 1 < b and weights[i - 1] and weights[i + 1]
+            if weights[i] or (inside[i] and near and (alone or blocks[i][0] == "p")):
+                kept.add(i)
+    if not runs:
+        kept = {i for i, b in enumerate(blocks) if weights[i] or (inside[i] and b[0] != "li")}
+    for i in reversed(range(len(blocks) - 1)):
+        if blocks[i][0] == "h2" and i + 1 in kept and (weights[i] or inside[i]):
+            kept.add(i)
+    return "\n".join(blocks[i][1] for i in sorted(kept))
+
+
+@pytest.mark.parametrize("region", ["article", "main", None])
+def test_main_texts_equal_plain_rules(region):
+    rng = random.Random(31)
+    for _ in range(2000):
+        page, blocks, number = ["<body><nav><p>menu</p></nav>"], [], 0
+        for part in range(rng.randint(1, 4)):
+            holder = rng.choice(["div", "section", "body", region or "div"])
+            is_region = holder == region and region not in "".join(page)
+            if holder == region and not is_region:
+                holder = "div"
+            number += holder != "body"
+            place = number if holder != "body" else 0
+            page.append(f"<{holder}>" if place else "")
+            for _ in range(rng.randint(0, 7)):
+                tag = rng.choice(["p", "p", "p", "li", "h2"])
+                text = f"{len(blocks)} " + "w " * rng.choice([1, 3, 9, 14, 45, 70]) + "."
+                linked = rng.random() < 0.25
+                page.append(f"<{tag}><a>{text}</a></{tag}>" if linked else f"<{tag}>{text}</{tag}>")
+                blocks.append((tag, text, linked, place, is_region))
+            page.append(f"</{holder}>" if place else "")
+        own = next((c for *_, c, r in blocks if r), None)
+        want = plain_main_text([b[:4] for b in blocks], own)
+        assert html_text.main_text("".join(page)) == want, "".join(page)
+
+
 def test_repeated_ids_do_not_add_rows_to_learn_from(spark):
     labels = spark.createDataFrame([(7, 1)] * 3000 + [(i, 0) for i in range(100, 140)] + [(8, 1), (9, 1), (9, 0)], "doc_id long, quality int")
     texts = [(7, "the same text")] * 3000 + [(8, f"text number {i}") for i in range(3000)] + [(9, "two labels")]

@@ -204,8 +204,9 @@ def test_archives_round_trip(spark, tmp_path):
     rows += [(5, "u", "WARC/1.1\r\n\r\n" * 50), (None, "u", "same"), (6, "u", "é" * 400_000), (None, "n", "no id")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1))
     manifest = warc.write_archives(pages, str(tmp_path / "mono"))
-    index = warc.normalise(manifest, str(tmp_path / "norm"))
-    found = warc.read_records(index).collect()
+    files = warc.normalise(manifest, str(tmp_path / "norm"))
+    assert files.agg(F.sum("n_records")).first()[0] == len(rows)
+    found = warc.read_records(warc.read_index(files)).collect()
     got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in found), key=repr)
     want = [(1, 4, "revisit", 2), (2, 4, "response", None), (2, 4, "response", None), (3, 0, "revisit", 4)]
     want += [(4, 0, "response", None), (5, 600, "response", None), (None, 4, "revisit", 2), (6, 800_000, "response", None)]
@@ -221,6 +222,23 @@ def test_archives_round_trip(spark, tmp_path):
         assert all(gzip.decompress(data[p["offset"] : p["offset"] + p["length"]]).startswith(b"WARC/1.1") for p in parts)
         assert sum(p["length"] for p in parts) == len(data)
     assert warc.round_trip(pages.limit(0)).count() == 0
+    # Records are found by the sidecars alone: without their lines there are none.
+    sidecar = max((tmp_path / "norm").glob("*.idx"), key=lambda p: p.stat().st_size)
+    sidecar.write_text("".join(sidecar.read_text().splitlines(True)[1:]))
+    with pytest.raises(Exception, match="lines for"):
+        warc.read_records(warc.read_index(files)).collect()
+
+
+def test_records_larger_than_a_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1000)
+    monkeypatch.setattr(warc, "LINES", 3)
+    rng = random.Random(1)
+    rows = [(i, "u", "".join(rng.choices("abc <>", k=rng.choice([0, 10, 5000])))) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    files = warc.normalise(warc.write_archives(pages, str(tmp_path / "mono")), str(tmp_path / "norm"))
+    assert files.count() > 8
+    found = {r["page_id"]: r["payload_bytes"] for r in warc.read_records(warc.read_index(files)).collect()}
+    assert found == {i: len(t) for i, _, t in rows}
 
 
 def test_a_payload_of_many_pages_is_split(spark):

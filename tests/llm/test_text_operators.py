@@ -7,6 +7,7 @@ import html as html_module
 import random
 import re
 import time
+from collections import Counter
 from html.parser import HTMLParser
 
 import duckdb
@@ -192,6 +193,53 @@ def _grams(word, n):
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+def test_ngrams_do_not_depend_on_stretches():
+    rng = random.Random(2)
+    for _ in range(40):
+        text = "".join(rng.choice("ab c1.É") for _ in range(rng.randint(0, 60)))
+        whole = language.ngrams(text)
+        count = Counter(g for w in re.findall("[abcé]+", text.lower()) for n in (1, 2, 3) for g in _grams(w, n) if g != "_")
+        code = lambda g: sum((1 if c == "_" else ord(c) + 2) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+        want = {}
+        for g, n in count.items():
+            want[code(g)] = n
+        assert dict(zip(whole[0].tolist(), whole[1].tolist(), strict=True)) == want, text
+        for stretch in (1, 2, 3, 7):
+            part = language.ngrams(text, stretch)
+            assert part[0].tolist() == whole[0].tolist() and part[1].tolist() == whole[1].tolist(), (text, stretch)
+
+
+def test_profiles_equal_plain_counts(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["x", "y"]), " ".join(rng.choices(["abc", "Bcd", "é", "zz9"], k=20))) for i in range(60)]
+    rows += [(None, "x", "qqq"), (61, None, "qqq"), (62, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(5)
+    found = language.learn_profiles(df)
+    code = lambda g: sum((1 if c == "_" else ord(c) + 2) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    for lang in ("x", "y"):
+        count = Counter()
+        for i, own, text in rows:
+            if own == lang and i is not None and text:
+                count.update(code(g) for w in re.findall("[a-zé]+", text.lower()) for n in (1, 2, 3) for g in _grams(w, n) if g != "_")
+        assert found[lang] == sorted(count, key=lambda g: (-count[g], g))[:300]
+
+
+def test_many_labels_and_long_texts_are_bounded(spark):
+    dirty = spark.range(100_000).selectExpr("id AS doc_id", "concat('label ', id) AS lang", "concat('only ', hex(id)) AS text")
+    real = spark.range(3000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'en', 'de') AS lang", "if(id % 2 = 0, 'this is the house of them', 'dies ist das haus von ihnen') AS text")
+    rows = dirty.unionByName(real)
+    found = language.learn_profiles(rows, languages=10)
+    assert {"en", "de"} <= set(found) and len(found) == 10
+    held = rows.withColumn("doc_id", F.col("doc_id") + 200_000)
+    start = time.perf_counter()
+    some = language.identify(rows.unionByName(held.filter("lang IN ('en', 'de')").limit(200)), languages=500)
+    got = some.filter("doc_id >= 200000").collect()
+    assert time.perf_counter() - start < 60
+    assert {r["lang_pred"] for r in got} == {"en", "de"}
+    model = language.Profiles(found)
+    assert model.nearest("this is the house of them " * 300_000)[0] == "en"
+
+
 def test_language_of_odd_rows(spark, odd):
     found = {r["doc_id"]: r for r in language.identify(odd).collect()}
     assert found[0]["lang_pred"] == found[1]["lang_pred"] == found[2]["lang_pred"] == "und"

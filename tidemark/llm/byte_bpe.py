@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from tidemark.functions import named
 from tidemark.llm.common import releasing, small_batches
 
 GROUP = 1 << 18
@@ -140,8 +141,9 @@ def encode_and_decode(
     The driver reads the vocabulary file; tasks get it as a broadcast, which is as large as the
     vocabulary whatever the corpus."""
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json(read_ranks(vocabulary)))
-    others = [c for c in docs.columns if c != text and c.lower() not in OUTPUT]
-    rows = docs.select(*others, F.col(text).alias("text"))
+    given = {f"c{i}": c for i, c in enumerate(c for c in docs.columns if c != text and c.lower() not in OUTPUT)}
+    others = list(given)
+    rows = docs.select(*[named(c).alias(n) for n, c in given.items()], named(text).alias("text"))
     schema = T.StructType([rows.schema[c] for c in others])
     for name in outputs:
         schema.add(name, OUTPUT[name])
@@ -163,7 +165,7 @@ def encode_and_decode(
             yield pa.record_batch([*[batch.column(c) for c in others], *own], names=[*others, *outputs])
         codec.ids_of.clear()
 
-    return rows.mapInArrow(releasing(run), schema)
+    return rows.mapInArrow(releasing(run), schema).select(*[F.col(n).alias(c) for n, c in given.items()], *outputs)
 
 
 def pa_type(name: str) -> pa.DataType:

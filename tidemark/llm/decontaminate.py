@@ -29,6 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import named
 from tidemark.llm.common import releasing, small_batches, staged
 from tidemark.llm.pfp import Block, mixed
 
@@ -198,7 +199,7 @@ def keep_clean(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE, text: str = "text"
 ) -> DataFrame:
     """The documents that contain no item, with all columns; rows are judged where they are."""
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    whole = F.struct(*map(named, docs.columns)).alias("row")
     rows = docs.select(whole, F.col(text).alias("text"))
     for block, only in _blocks(items):
         sent = docs.sparkSession.sparkContext.broadcast(block)

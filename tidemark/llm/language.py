@@ -5,13 +5,15 @@ most frequent first. A text belongs to the language whose profile is nearest by
 distance: the sum over the text's profile of how far apart the ranks are, or ``PROFILE`` where the
 language's profile lacks the n-gram.
 
-Profiles are learned from about ``TRAIN_ROWS`` rows per language, chosen by a hash of the id at a
-rate that follows from the rows' count; they are the only thing collected, ``PROFILE`` numbers per
-language. Prediction is one scan without a shuffle.
+Profiles are learned from about ``TRAIN_ROWS`` rows of each of the ``MOST_LANGUAGES`` languages that have most rows,
+chosen by a hash of the id at a rate that follows from the rows' count; they are the only thing collected,
+``PROFILE`` numbers per language, so a column with millions of different labels costs no more. Profiles are sent to
+tasks as one sorted list of n-grams, so that a text is compared with all languages at once. Prediction is one scan
+without a shuffle; texts of any length are counted a stretch at a time.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; rows without a language
-or id aren't learned from; ties go to the language first in the alphabet; with nothing to learn from
-all rows are ``und``; an empty table gives an empty result.
+or id aren't learned from; rows of languages beyond the bound get the nearest one within; ties go to the language first in the alphabet; with nothing to learn from
+all rows are ``und``; an empty table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ from tidemark.llm.common import releasing, small_batches
 
 PROFILE = 300
 TRAIN_ROWS = 2_000
+#: Languages that are learned, those with most rows; equal numbers by name.
+MOST_LANGUAGES = 1_000
+#: Characters that are counted at once.
+STRETCH = 1 << 20
 UNKNOWN = "und"
 
 
@@ -44,17 +50,30 @@ def _letters() -> np.ndarray:
     return table
 
 
-def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(text: str, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a text as numbers, and how often each occurs."""
-    codes = _letters()[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
-    codes = np.concatenate([[1], codes, [1]]).astype(np.uint64)
-    codes = codes[np.append(True, (codes[1:] != 1) | (codes[:-1] != 1))]
-    if len(codes) < 2:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    shift = np.uint64(21)
-    two = codes[:-1] << shift | codes[1:]
-    three = (two[:-1] << shift | codes[2:])[codes[1:-1] != 1]
-    return np.unique(np.concatenate([codes[codes != 1], two, three]), return_counts=True)
+    text, shift = text.lower(), np.uint64(21)
+    keys, counts, held = np.empty(0, np.uint64), np.empty(0, np.int64), np.array([1], np.uint64)
+    for begin in range(0, len(text) + 1, stretch):
+        part = text[begin : begin + stretch].encode("utf-32-le", "replace")
+        codes = np.concatenate([held, _letters()[np.frombuffer(part, np.uint32)]])
+        if begin + stretch > len(text):
+            codes = np.append(codes, np.uint64(1))
+        codes = codes[np.append(True, (codes[1:] != 1) | (codes[:-1] != 1))]
+        # The last two of the stretch before are there for what they begin, and were counted.
+        new = codes[len(held) :]
+        two = codes[:-1] << shift | codes[1:]
+        three = (two[:-1] << shift | codes[2:])[codes[1:-1] != 1]
+        if len(held) > 1:
+            two = two[1:]
+        found, n = np.unique(np.concatenate([new[new != 1], two, three]), return_counts=True)
+        if len(keys):
+            keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([counts, n])).astype(np.int64)
+        else:
+            keys, counts = found, n
+        held = codes[-2:]
+    return keys, counts
 
 
 def ranked(keys: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndarray:
@@ -63,39 +82,44 @@ def ranked(keys: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndar
 
 
 class Profiles:
+    """The n-grams of all languages in one sorted list, with language and rank of each."""
+
     def __init__(self, profiles: dict[str, list[int]]):
         self.names = sorted(profiles)
-        self.sorted = []
-        for name in self.names:
-            own = np.array(profiles[name], np.uint64)
-            order = np.argsort(own)
-            self.sorted.append((own[order], order))
+        sizes = [len(profiles[name]) for name in self.names]
+        keys = np.array([k for name in self.names for k in profiles[name]], np.uint64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.language = keys[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.rank = np.concatenate([np.arange(n) for n in sizes])[order] if sizes else keys
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """The nearest language and a score, 1 for no distance, 0 for the largest."""
         own = ranked(*ngrams(text or ""))
         if not len(own) or not self.names:
             return UNKNOWN, 0.0
-        rank, found = np.arange(len(own)), []
-        for keys, ranks in self.sorted:
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            far = np.where(keys[at] == own, np.abs(ranks[at] - rank), PROFILE)
-            found.append(int(np.minimum(far, PROFILE).sum()))
-        best = int(np.argmin(found))
-        return self.names[best], 1 - found[best] / (PROFILE * len(own))
-
-
-def learn_profiles(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> dict[str, list[int]]:
+        begin, end = (np.searchsorted(self.keys, own, side) for side in ("left", "right"))
+        n = end - begin
+        at = np.repeat(begin - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum()))
+        far = np.abs(self.rank[at] - np.repeat(np.arange(len(own)), n))
+        near = np.bincount(self.language[at], weights=np.maximum(0, PROFILE - far), minlength=len(self.names))
+        best = int(np.argmax(near))  # the first in the alphabet of those as near
+        return self.names[best], float(near[best]) / (PROFILE * len(own))
+
+
+def learn_profiles(
+    rows: DataFrame, train_rows: int = TRAIN_ROWS, languages: int = MOST_LANGUAGES
+) -> dict[str, list[int]]:
     """Profiles of rows of ``doc_id``, ``lang``, ``text``."""
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = F.lit(0.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, train_rows / n))).otherwise(rate)
-    chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30))
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    most = [(r["lang"], r["n"]) for r in counted.orderBy(F.desc("n"), "lang").limit(languages).collect()]
+    # ``languages`` rows at most, whatever the table; rows of other languages go here.
+    rates = rows.sparkSession.createDataFrame([(k, min(1.0, train_rows / n)) for k, n in most], "lang string, rate double")
+    own = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    chosen = rows.join(F.broadcast(rates), "lang").filter(own < F.col("rate") * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text", 1 << 22):
             found: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found.setdefault(lang, []).append(ngrams(text))
@@ -116,14 +140,17 @@ def learn_profiles(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> dict[str, l
     return profiles
 
 
-def identify(docs: DataFrame, folds: int = 4, held_out: int = 2, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def identify(
+    docs: DataFrame, folds: int = 4, held_out: int = 2, train_rows: int = TRAIN_ROWS, languages: int = MOST_LANGUAGES
+) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row; learned from the rows
     that aren't held out."""
     own = F.coalesce(remainder(F.col("doc_id"), folds) == held_out, F.lit(False))
-    profiles = learn_profiles(docs.filter(~own).select("doc_id", "lang", "text"), train_rows)
+    profiles = learn_profiles(docs.filter(~own).select("doc_id", "lang", "text"), train_rows, languages)
+    sent = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Profiles(profiles)
+        model = Profiles(sent.value)
         for batch in small_batches(batches, "text", 1 << 22):
             found = [model.nearest(t.as_py()) for t in batch.column("text")]
             yield pa.record_batch(

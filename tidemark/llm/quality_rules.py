@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import named
 from tidemark.llm.common import let
 
 WHITE = " \t\n\x0b\f\r"
@@ -153,10 +154,10 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_upper": "n_upper",
     }
     own = {*MEASUREMENTS, "failed"}
-    kept = [F.col(c) for c in docs.columns if c != text and c.lower() not in own]
-    rows = docs.select(*kept, measured(F.col(text)).alias("failed"))
+    kept = [named(c) for c in docs.columns if c != text and c.lower() not in own]
+    rows = docs.select(*kept, measured(named(text)).alias("failed"))
     rows = rows.select(
-        *[c for c in rows.columns if c != "failed"],
+        *[named(c) for c in rows.columns if c != "failed"],
         *[F.col(f"failed.{path}").cast(MEASUREMENTS[m]).alias(m) for m, path in found.items()],
     )
     bits = F.lit(0).cast("long")
@@ -195,6 +196,6 @@ def ablations(judged: DataFrame, version: int = CURRENT_POLICY) -> DataFrame:
 
 def keep_good(docs: DataFrame, version: int = CURRENT_POLICY, text: str = "text") -> DataFrame:
     """The documents that a policy keeps, with all their columns."""
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    whole = F.struct(*map(named, docs.columns)).alias("row")
     judged = ledger(docs.select(whole, F.col(text).alias("text")))
     return apply_policy(judged, version).filter("kept").select("row.*")

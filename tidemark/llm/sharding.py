@@ -26,6 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import named
 from tidemark.llm.common import staged
 
 #: Rows that one slice of a shard's permutation holds on average.
@@ -83,8 +84,8 @@ def communication_matrix(
 def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """All rows of ``df`` with ``shard`` and ``slot``, the place in the shard, gapless from 0."""
     spark = df.sparkSession
-    df = df.select(*[c for c in df.columns if c.lower() not in ("shard", "slot")])
-    row = F.struct(*[F.col(c) for c in df.columns])
+    df = df.select(*[named(c) for c in df.columns if c.lower() not in ("shard", "slot")])
+    row = F.struct(*map(named, df.columns))
     rows = staged(
         df.select(
             row.alias("row"),

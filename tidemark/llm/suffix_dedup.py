@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import named
 from tidemark.llm.common import power_of_two, releasing, small_batches, staged
 from tidemark.llm.pfp import EVERY, Block
 
@@ -266,17 +267,20 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
 
     With ``as_text`` the columns are those of ``docs``, the text being what stays, less the parts
     of a character of which other bytes were removed."""
-    columns = docs.columns
-    others = [c for c in columns if c != text and (as_text or c.lower() not in OUTPUT)]
-    named = docs.select(*others, F.col(text).alias("text"))
-    blocks = staged(_blocks(named), "blocks")
+    given = {c: "text" if c == text else f"c{i}" for i, c in enumerate(docs.columns)}
+    kept = [c for c in given if c != text and (as_text or c.lower() not in OUTPUT)]
+    columns, others = list(given.values()), [given[c] for c in kept]
+    rows = docs.select(*[named(c).alias(given[c]) for c in kept], named(text).alias("text"))
+    blocks = staged(_blocks(rows), "blocks")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     bits = power_of_two(total / EVERY / KEYS_PER_BUCKET)
-    schema = T.StructType([named.schema[c] for c in others])
+    schema = T.StructType([rows.schema[c] for c in others])
     for name, kind in OUTPUT.items():
         schema.add(name, kind)
+    names = {given[c]: c for c in kept}
     if as_text:
-        schema = docs.schema
+        schema = T.StructType([T.StructField(given[f.name], f.dataType) for f in docs.schema])
+        names = {n: c for c, n in given.items()}
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +312,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         told = _Told(table)
         p = parsed(told, 2)
         low, high = p.spans(p.repeated, told.read(3, p.bucket(p.window_keys))[0])
-        return _result(p, low, high, others, as_text, columns, text)
+        return _result(p, low, high, others, as_text, columns, "text")
 
     nothing = F.lit(None).cast("binary")
     body = blocks.select(
@@ -333,7 +337,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     answered(blocks.select("batch", "packed").mapInArrow(releasing(first), KEYS), _repeated(1))
     answered(with_answers(second, KEYS), _repeated_pieces)
     answered(with_answers(third, KEYS), _repeated(3))
-    return with_answers(last, schema)
+    found = with_answers(last, schema)
+    return found.select(*[F.col(n).alias(names.get(n, n)) for n in found.columns])
 
 
 def _result(p: Parsed, low: np.ndarray, high: np.ndarray, others: list[str], as_text: bool, columns: list[str], text: str) -> pa.Table:

@@ -3,7 +3,8 @@ record with a sidecar offset index, and reading records back by that index.
 
 ``write_archives`` writes one monolithic stream per task and file. ``normalise`` inflates each file once,
 as a stream, and rewrites every record as a member of its own; beside each file lies
-``<file>.idx`` with a JSON line per record. ``read_records`` opens files at the index's offsets only.
+``<file>.idx`` with a JSON line per record. ``read_index`` reads these sidecars, ``read_records`` opens files at
+the offsets they tell only.
 
 Tasks write files under names of their own and report them; only files of tasks that ended well
 are in a table of results, which is written to the shared folder. A task that runs again writes
@@ -16,13 +17,15 @@ many to broadcast, adaptive execution splits a payload of many pages over tasks.
 
 Defined cases: a null payload is empty, equal to other empty ones; rows that share the largest id of
 a group are all responses; a row without id revisits a row with one, and groups without any id are
-all responses; a null url is an empty target; an empty table writes nothing.
+all responses; a null url is an empty target; an empty table writes nothing; other columns are left out. A record of
+any size is one member, larger than a file's bound if need be; a task holds a few times its bytes.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import json
 import uuid
 import zlib
@@ -34,7 +37,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_folder, staged
+from tidemark.llm.common import shared_folder, small_batches, staged
 
 DATE = "1970-01-01T00:00:00Z"
 #: Inflated bytes after which a task begins another file, and bytes read at a time.
@@ -43,6 +46,10 @@ CHUNK = 1 << 18
 LEVEL = 4
 URN = "urn:x-page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Lines of a sidecar that become rows at once.
+LINES = 4096
+#: Payload bytes of a batch that are held as Python objects at once.
+GROUP = 1 << 24
 MANIFEST = "path string, n_records long"
 INDEX = "path string, record_id string, record_type string, offset long, length long"
 RECORDS = (
@@ -145,7 +152,7 @@ def write_archives(pages: DataFrame, folder: str, level: int = LEVEL) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, out, size, n = [], None, 0, 0
-        for batch in batches:
+        for batch in small_batches(batches, "payload", GROUP):
             for row in batch.to_pylist():
                 if out is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
@@ -170,8 +177,7 @@ def write_archives(pages: DataFrame, folder: str, level: int = LEVEL) -> DataFra
 
 
 def normalise(manifest: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
-    """Rewrite each file of ``path`` with a gzip member per record and a sidecar index; the index
-    as rows."""
+    """Rewrite each file of ``path`` with a gzip member per record and a sidecar index; a row per new file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,14 +185,14 @@ def normalise(manifest: DataFrame, folder: str, level: int = LEVEL) -> DataFrame
                 yield _normalised(path, f"{folder}/{uuid.uuid4().hex}.warc.gz", level)
 
     files = max(1, manifest.count())
-    return staged(manifest.select("path").repartition(files).mapInArrow(run, INDEX), "index")
+    return staged(manifest.select("path").repartition(files).mapInArrow(run, MANIFEST), "normalised")
 
 
 def _normalised(path: str, target: str, level: int) -> pa.RecordBatch:
     source, place = _open(path)
     store, to = _open(target)
     store.create_dir(to.rpartition("/")[0], recursive=True)
-    rows, offset = [], 0
+    n, offset = 0, 0
     with (
         source.open_input_stream(place, compression=None) as stream,
         store.open_output_stream(to, compression=None) as out,
@@ -197,15 +203,39 @@ def _normalised(path: str, target: str, level: int) -> pa.RecordBatch:
             press = zlib.compressobj(level, wbits=31)
             member = press.compress(one) + press.flush()
             out.write(member)
-            rows.append((target, head["warc-record-id"].strip("<>"), head["warc-type"], offset, len(member)))
-            index.write(json.dumps(dict(zip(("record_id", "record_type", "offset", "length"), rows[-1][1:], strict=True))).encode() + b"\n")
-            offset += len(member)
-    columns = list(zip(*rows, strict=True)) or [[]] * 5
-    kinds = [pa.string()] * 3 + [pa.int64()] * 2
-    return pa.record_batch(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        names=["path", "record_id", "record_type", "offset", "length"],
-    )
+            line = {"record_id": head["warc-record-id"].strip("<>"), "record_type": head["warc-type"]}
+            index.write(json.dumps(line | {"offset": offset, "length": len(member)}).encode() + b"\n")
+            n, offset = n + 1, offset + len(member)
+    return pa.record_batch([pa.array([target], pa.string()), pa.array([n], pa.int64())], names=["path", "n_records"])
+
+
+def read_index(manifest: DataFrame) -> DataFrame:
+    """The sidecars of normalised files, a row per record; one whose lines aren't as many as its records raises."""
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+    names = ["record_id", "record_type", "offset", "length"]
+
+    def rows(path: str, lines: list[dict]) -> pa.RecordBatch:
+        columns = [pa.array([x[c] for x in lines], k) for c, k in zip(names, kinds, strict=True)]
+        return pa.record_batch([pa.array([path] * len(lines), pa.string()), *columns], names=["path", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, wanted in zip(batch.column("path").to_pylist(), batch.column("n_records").to_pylist(), strict=True):
+                n, held = 0, []
+                store, place = _open(f"{path}.idx")
+                with store.open_input_stream(place, compression=None) as stream:
+                    for line in io.TextIOWrapper(io.BufferedReader(stream), "utf-8"):
+                        held.append(json.loads(line))
+                        if len(held) == LINES:
+                            yield rows(path, held)
+                            n, held = n + len(held), []
+                if n + len(held) != wanted:
+                    raise ValueError(f"{path}.idx: {n + len(held)} lines for {wanted} records")
+                yield rows(path, held)
+
+    # A file a task: the table of files is too small for Spark to split by itself.
+    files = max(1, manifest.count())
+    return manifest.select("path", "n_records").repartition(files).mapInArrow(run, INDEX)
 
 
 def parsed(one: bytes) -> tuple:
@@ -235,6 +265,8 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
                 found = []
                 for row in batch.slice(begin, 256).to_pylist():
                     if row["path"] != opened:
+                        if file is not None:
+                            file.close()
                         store, place = _open(row["path"])
                         opened, file = row["path"], store.open_input_file(place)
                     member = file.read_at(row["length"], row["offset"])
@@ -254,5 +286,5 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
 def round_trip(pages: DataFrame, folder: str | None = None, payloads: bool = False) -> DataFrame:
     """Write, normalise and read back all pages."""
     folder = folder or shared_folder(pages.sparkSession)
-    index = normalise(write_archives(pages, f"{folder}/monolithic"), f"{folder}/normalised")
-    return read_records(index, payloads)
+    files = normalise(write_archives(pages, f"{folder}/monolithic"), f"{folder}/normalised")
+    return read_records(read_index(files), payloads)

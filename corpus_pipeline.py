@@ -1,8 +1,8 @@
 """A corpus from raw documents to token counts: each stage takes the documents its predecessor kept,
 written as Parquet and read again.
 
-What a stage writes for itself in the shared folder is deleted when the next stage over the same
-folder of tables is called with documents that don't read from it, as its result has been written
+What a stage writes for itself in the shared folder is deleted when the stage after it is called by the same thread
+over the same folder of tables with documents that don't read from it, as its result has been written
 by then; the rest when the session ends.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import get_ident
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -21,23 +22,25 @@ from tidemark.llm.queries import VOCABULARY
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_left: dict[str, list[str]] = {}
+#: By folder of tables and thread: the stage that ran last and the folders it left.
+_left: dict[tuple[str, int], tuple[str, list[str]]] = {}
 
 
 def _name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _stage(f: Stage) -> Stage:
+def _stage(f: Stage, after: str | None) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        left = _left.pop(sf_dir, [])
+        run = (sf_dir, get_ident())
+        last, left = _left.pop(run, (None, []))
         read = docs.inputFiles() if left else []
-        if not any(folder in file for folder in map(_name, left) for file in read):
+        if last == after and not any(folder in file for folder in map(_name, left) for file in read):
             drop_folders(spark, left)
         with noted_folders() as made:
             result = f(spark, docs, sf_dir)
-        _left[sf_dir] = made
+        _left[run] = (f.__name__, made)
         return result
 
     return run_stage
@@ -78,11 +81,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", _stage(quality)),
-    ("simhash", _stage(near_duplicates)),
-    ("suffix_dedup", _stage(repeats)),
-    ("decontamination", _stage(contamination)),
-    ("byte_bpe", _stage(tokens)),
+    ("quality_rules", _stage(quality, None)),
+    ("simhash", _stage(near_duplicates, "quality")),
+    ("suffix_dedup", _stage(repeats, "near_duplicates")),
+    ("decontamination", _stage(contamination, "repeats")),
+    ("byte_bpe", _stage(tokens, "contamination")),
 ]
 
 #: Components over links, 64-bit hashes and tokens aren't for SQL: tests compare with brute force.

@@ -166,8 +166,9 @@ def kept_by_force(texts, length):
 
 @pytest.mark.parametrize(("length", "hot"), [(200, 4096), (60, 2)])
 def test_removed_repeats_equal_brute_force(spark, monkeypatch, length, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT_BLOCKS", hot)
-    monkeypatch.setattr(suffix_dedup, "BLOCK", 20_000)
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 4_000)
+    monkeypatch.setattr(suffix_dedup, "RUN", 3)
     monkeypatch.setattr(suffix_dedup, "KEYS_PER_BUCKET", 500)
     texts = repeat_texts(length)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
@@ -182,6 +183,23 @@ def test_removed_repeats_equal_brute_force(spark, monkeypatch, length, hot):
     assert own == {i: None if t is None else want[i][3].decode("utf-8", "ignore") for i, t in enumerate(texts)}
 
 
+def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2_000)
+    monkeypatch.setattr(suffix_dedup, "RUN", 16)
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = word(600)
+    texts = [word(700) + shared + word(700) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    parsed = suffix_dedup._parsed(docs, 200).collect()
+    runs = [r for r in parsed if r["batch"] is None]
+    assert sum(r["batch"] is not None for r in parsed) == 400 and len(runs) <= 400 / 16 + 2
+    count = Counter(k for r in runs for k in np.frombuffer(r["keys"], np.uint64).tolist())
+    assert max(count.values()) == len(runs)  # of the passage's phrases, once a run each
+    rows = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert all(600 <= n < 620 for n in rows.values())
+
+
 def test_empty_corpus_has_no_repeats(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(docs).count() == 0

@@ -14,27 +14,27 @@ import numpy as np
 TRIGGER = 12
 EVERY = 24
 _RNG = np.random.default_rng(0x5EED)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_MIX = np.uint64(0xD6E8FEB86659FD93)
+_BYTE, _BYTE2 = (_RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+_BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_MIX, _MIX2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
-    np.cumprod(np.full(size - 1, _BASE, np.uint64), out=up[1:])
-    np.cumprod(np.full(size - 1, pow(_BASE, -1, 2**64), np.uint64), out=down[1:])
+    np.cumprod(np.full(size - 1, base, np.uint64), out=up[1:])
+    np.cumprod(np.full(size - 1, pow(base, -1, 2**64), np.uint64), out=down[1:])
     return up, down
 
 
-def _sized(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(max(1 << 21, 1 << (n + 1).bit_length()))
+def _sized(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    up, down = _powers(max(1 << 21, 1 << (n + 1).bit_length()), base)
     return up[: n + 1], down[: n + 1]
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    h = (h ^ (h >> np.uint64(29))) * _MIX
+def mixed(h: np.ndarray, by: np.uint64 = _MIX) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * by
+    h = (h ^ (h >> np.uint64(29))) * by
     return h ^ (h >> np.uint64(32))
 
 
@@ -50,6 +50,14 @@ class Block:
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
+    def second_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes by other numbers: with the first ones, equal 128 bits stand for equal strings."""
+        if not hasattr(self, "sums2"):
+            up, self.down2 = _sized(len(self.data), _BASE2)
+            self.sums2 = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(_BYTE2[self.data] * up[: len(self.data)], out=self.sums2[1:])
+        return mixed((self.sums2[end] - self.sums2[start]) * self.down2[start], _MIX2)
+
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offsets, at, "right") - 1
 
@@ -91,11 +99,11 @@ class Block:
         edges = np.flatnonzero(ok[1:] != ok[:-1])
         return edges[::2], edges[1::2] - 1
 
-    def contexts(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def contexts(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cut runs of window starts where the triggers that a window holds change.
 
-        Returns first and last start of each piece, the hash of the first phrase that its windows
-        hold (0 where they hold none) and the hash of all the bytes of its windows."""
+        Returns first and last start of each piece and the hash of the first phrase that its windows
+        hold (0 where they hold none)."""
         t = self.trigger_ends
         cuts = np.concatenate([low, t - TRIGGER + 1, t - self.length])
         cuts = np.unique(cuts[cuts >= 0])
@@ -109,7 +117,7 @@ class Block:
         held = padded[k + 1] <= cuts + self.length
         first = np.zeros(len(cuts), np.uint64)
         first[held] = self.hashes(padded[k[held]] - TRIGGER, padded[k[held] + 1]) | np.uint64(1)
-        return cuts, last, first, self.hashes(cuts, last + self.length)
+        return cuts, last, first
 
     def covered(self, starts_low: np.ndarray, starts_high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximal byte runs covered by windows that start in the given runs; a run may touch

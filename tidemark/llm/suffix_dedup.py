@@ -1,27 +1,31 @@
 """Removal of repeated byte strings over a whole corpus by prefix-free parsing.
 
-Which of all windows of ``length`` bytes start more than once is asked of the order of the
+Which of all windows of ``length`` bytes start more than once could be read off the order of the
 corpus' suffixes, cut at that length. Rolling-hash triggers cut texts into phrases (each from one
-trigger to the next), so equal windows hold equal phrases at equal places, and most of the order
-follows from phrases alone; no task holds a suffix array of everything:
+trigger to the next), so equal windows hold equal phrases at equal places, and most of that order
+follows from phrases alone. Equal strings only have to come together, in whatever order, so strings are
+sorted by hashes of 128 bits, and no suffix array is built, neither of the dictionary nor of the parse:
 
 1. *dictionary*: phrases are counted. A window that holds a phrase occurring once is unique, and
    only the others stay candidates.
 2. *parse*: runs of candidates are cut into pieces where the phrases they hold change. A piece is
-   ordered by its first phrase, then by all that follows. Pieces that occur twice are
+   sorted by its first phrase, then by all that follows. Pieces that occur twice are
    repeated throughout; those that don't, but share a first phrase with others, need a
    closer look, where runs begin and end.
-3. *dictionary suffixes*: the single windows of these pieces are ordered by their bytes, as are
-   windows without a whole phrase.
+3. *dictionary suffixes*: the single windows of these pieces are compared, as are windows without a whole phrase.
 
-Texts travel in blocks of about ``BLOCK`` bytes; what is counted travels as packed numbers, each at
-most once per block, and comes back as one bit each. A phrase found in very many blocks ("hot") has
-its pieces dealt out by their content and not by the phrase. Equality is that of 64-bit hashes
-within a bucket of a hash (pieces: 96 bits); nothing is sampled.
+Texts are parsed in blocks of about ``BLOCK`` bytes. What is counted goes to buckets of a hash as packed numbers, each
+at most once per run of ``RUN`` blocks, and what repeats comes back as numbers too. So a phrase, piece or window
+that every document has is one number of a bucket per run, not per document or block: a group has
+``KEYS_PER_BUCKET`` numbers on average and a run's number more for each such string. A phrase found in very many
+runs ("hot") has its pieces dealt out by their content and not by the phrase.
 
-Defined cases: a null text has no bytes; texts shorter than the window lose nothing; repeated rows
-are texts of their own, so both lose all; an empty table gives an empty result; columns of the
-output's names are replaced.
+Equality is that of 128 random bits: among 10^14 different strings compared, two are taken for equal with a chance of
+1 in 10^10. Answers find their strings within a run by 64 of them: 1 in 10^7 for a run. Nothing is sampled.
+
+Defined cases: a null text has no bytes; texts shorter than the window lose nothing; a text of any length is one
+block, not cut, for which a task needs some 50 times its bytes; repeated rows are texts of their own, so both
+lose all; an empty table gives an empty result; columns of the output's names are replaced.
 """
 
 from __future__ import annotations
@@ -42,11 +46,14 @@ from tidemark.llm.common import power_of_two, releasing, small_batches, staged
 from tidemark.llm.pfp import EVERY, Block
 
 BLOCK = 1 << 20
+#: Blocks, and bytes of text, whose numbers are sent together.
+RUN, RUN_BYTES = 24, 24 << 20
 KEYS_PER_BUCKET = 1_000_000
-#: A phrase in so many blocks has its pieces dealt out by content.
-HOT_BLOCKS = 4096
-FLAGS = "batch long, kind int, bucket long, body binary, more binary"
-KEYS = "bucket long, batch long, keys binary, tags binary, flags binary"
+#: A phrase in so many runs has its pieces dealt out by content.
+HOT_RUNS = 4096
+PARSED = "run long, batch long, size long, packed binary, keys binary, flags binary"
+ANSWERS = "run long, kind int, body binary, more binary"
+KEYS = "bucket long, run long, keys binary, others binary, tags binary, flags binary"
 OUTPUT = {
     "n_bytes": T.LongType(),
     "n_removed": T.LongType(),
@@ -67,198 +74,240 @@ def _flags(packed: bytes, n: int) -> np.ndarray:
 # ------------------------------------------------------------ what a block has
 
 
+def _numbers(packed: bytes | None, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(packed or b"", kind)
+
+
+def _is_in(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which keys are among the sorted ``found``."""
+    if not len(found):
+        return np.zeros(len(keys), bool)
+    return found[np.minimum(np.searchsorted(found, keys), len(found) - 1)] == keys
+
+
 class Parsed:
     """A block and what the rounds so far have told about it."""
 
-    def __init__(self, packed: bytes, length: int, bits: int):
-        raw = zstandard.ZstdDecompressor().decompress(packed)
-        self.table = pa.ipc.open_stream(raw).read_all().combine_chunks()
-        texts = self.table.column("text").cast(pa.large_binary()).fill_null(b"")
+    def __init__(self, batch: pa.RecordBatch | pa.Table, length: int):
+        self.table, self.length = batch, length
+        texts = batch.column("text")
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
         n = len(texts)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         body = texts.buffers()[2]
         data = np.frombuffer(body, np.uint8) if body is not None else np.empty(0, np.uint8)
         data = data[offsets[0] : offsets[-1]]
-        self.block, self.bits, self.length = Block(data, offsets - offsets[0], length), bits, length
-
-    def bucket(self, keys: np.ndarray) -> np.ndarray:
-        if self.bits == 0:
-            return np.zeros(len(keys), np.int64)
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def phrases(self) -> None:
+        self.block = Block(data, offsets - offsets[0], length)
         self.start, self.end = self.block.phrases()
-        found = self.block.hashes(self.start, self.end) | np.uint64(1)
-        self.keys, self.at, count = np.unique(found, return_inverse=True, return_counts=True)
-        self.key_twice = count > 1
+        self.keys = self.block.hashes(self.start, self.end) | np.uint64(1)
 
     def pieces(self, repeated: np.ndarray, hot: np.ndarray) -> None:
-        """Pieces of candidate runs, and the distinct (first phrase, content) among them."""
-        once = ~repeated[self.at]
+        """Pieces of candidate runs: first phrase, hashes of their bytes, and whether the phrase is hot."""
+        once = ~_is_in(self.keys, repeated)
         runs = self.block.candidates(self.start[once], self.end[once])
-        self.low, self.high, first, body = self.block.contexts(*runs)
+        self.low, self.high, first = self.block.contexts(*runs)
         self.whole = np.flatnonzero(first != 0)
-        first, body = first[self.whole], body[self.whole]
-        at = np.searchsorted(self.keys, first)
-        is_hot = hot[np.minimum(at, max(0, len(hot) - 1))] if len(hot) else np.zeros(len(first), bool)
-        bucket = np.where(is_hot, self.bucket(body), self.bucket(first))
-        order = np.lexsort((body, first, bucket))
-        bucket, first, body, is_hot = bucket[order], first[order], body[order], is_hot[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (first[1:] != first[:-1]) | (body[1:] != body[:-1])
-        group = np.cumsum(new) - 1
-        self.piece_at = np.empty(len(order), np.int64)
-        self.piece_at[order] = group
-        self.piece_bucket, self.piece_first = bucket[new], first[new].astype(np.uint32)
-        self.piece_body, self.piece_hot = body[new], is_hot[new]
-        self.piece_twice = np.bincount(group, minlength=int(new.sum())) > 1
+        low, high = self.low[self.whole], self.high[self.whole] + self.length
+        self.first, self.body = first[self.whole], self.block.hashes(low, high)
+        self.hot = _is_in(self.first, hot)
+
+    def second_of_pieces(self) -> np.ndarray:
+        return self.block.second_hashes(self.low[self.whole], self.high[self.whole] + self.length)
 
     def windows(self, closer: np.ndarray) -> None:
         """Single windows: of the pieces that need a closer look, and those without a phrase."""
         look = np.ones(len(self.low), bool)
-        look[self.whole] = closer[self.piece_at]
+        look[self.whole] = _is_in(self.body, closer)
         low, n = self.low[look], (self.high - self.low + 1)[look]
         begin = np.repeat(low - np.append(0, np.cumsum(n)[:-1]) if len(n) else low, n)
         self.window = begin + np.arange(int(n.sum()))
-        found = self.block.hashes(self.window, self.window + self.length)
-        self.window_keys, self.window_at, count = np.unique(found, return_inverse=True, return_counts=True)
-        self.window_twice = count > 1
+        self.window_keys = self.block.hashes(self.window, self.window + self.length)
+
+    def second_of_windows(self) -> np.ndarray:
+        return self.block.second_hashes(self.window, self.window + self.length)
 
     def spans(self, repeated: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        same = self.whole[repeated[self.piece_at]]
-        single = self.window[windows[self.window_at]]
+        same = self.whole[_is_in(self.body, repeated)]
+        single = self.window[_is_in(self.window_keys, windows)]
         return self.block.covered(
             np.concatenate([self.low[same], single]), np.concatenate([self.high[same], single])
         )
 
 
-def _rows(batch: int, bucket: np.ndarray, keys: np.ndarray, tags: np.ndarray | None, flags: np.ndarray) -> pa.Table:
-    """A row per bucket; ``bucket`` is sorted."""
+def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
+    if bits == 0:
+        return np.zeros(len(keys), np.int64)
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the distinct rows, ordered by the first column, then the others; how often each is found."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    first = np.flatnonzero(new)
+    return order[first], np.diff(np.append(first, len(order)))
+
+
+def _rows(run: int, bucket: np.ndarray, flags: np.ndarray, keys: np.ndarray, others: np.ndarray | None = None, tags: np.ndarray | None = None) -> pa.Table:
+    """A row per bucket; ``bucket`` is sorted, ``flags`` has as many columns for each key as wanted."""
     found, first = np.unique(bucket, return_index=True)
     ends = np.append(first, len(bucket))[1:]
     cut = [slice(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+    packed = lambda x: pa.array([b"" if x is None else x[c].tobytes() for c in cut], pa.binary())
     return pa.table(
         [
             pa.array(found.astype(np.int64), pa.int64()),
-            pa.array([batch] * len(cut), pa.int64()),
-            pa.array([keys[c].tobytes() for c in cut], pa.binary()),
-            pa.array([tags[c].tobytes() if tags is not None else b"" for c in cut], pa.binary()),
+            pa.array([run] * len(cut), pa.int64()),
+            packed(keys),
+            packed(others),
+            packed(tags),
             pa.array([_bits(flags[c]) for c in cut], pa.binary()),
         ],
-        names=["bucket", "batch", "keys", "tags", "flags"],
+        names=["bucket", "run", "keys", "others", "tags", "flags"],
     )
 
 
 # ---------------------------------------------------------------- what repeats
 
 
-def _gathered(table: pa.Table, kind: np.dtype) -> tuple[list[int], np.ndarray]:
-    keys = [np.frombuffer(k, kind) for k in table.column("keys").to_pylist()]
-    return [len(k) for k in keys], np.concatenate(keys)
+def _gathered(table: pa.Table, *names: str) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The run that each key is from, the columns, and the flags, one array for each of a key's."""
+    columns = [[_numbers(x, np.uint32 if c == "tags" else np.uint64) for x in table.column(c).to_pylist()] for c in names]
+    sizes = [len(k) for k in columns[0]]
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    width = 2 if "tags" in names else 1
+    flags = [_flags(f, n * width).reshape(n, width) for f, n in zip(table.column("flags").to_pylist(), sizes, strict=True)]
+    every = np.concatenate(flags) if flags else np.zeros((0, width), bool)
+    return run, [np.concatenate(c) for c in columns], list(every.T)
+
 
+def _answers(kind: int, table: pa.Table, run: np.ndarray, keys: np.ndarray, body: np.ndarray, more: np.ndarray | None = None) -> pa.Table:
+    """To each run its keys for which ``body`` holds, and those for which ``more`` does."""
+    places = np.arange(table.num_rows)
+
+    def told(which: np.ndarray | None) -> list[bytes]:
+        if which is None:
+            return [b""] * len(places)
+        own, found = run[which], keys[which]  # runs are in order
+        begin, end = np.searchsorted(own, places), np.searchsorted(own, places, "right")
+        return [found[i:j].tobytes() for i, j in zip(begin.tolist(), end.tolist(), strict=True)]
 
-def _answers(kind: int, table: pa.Table, bucket: int, sizes: list[int], body: np.ndarray, more: np.ndarray) -> pa.Table:
-    ends = np.cumsum(sizes)[:-1]
-    n = len(sizes)
     return pa.table(
         [
-            table.column("batch").combine_chunks(),
-            pa.array([kind] * n, pa.int32()),
-            pa.array([bucket] * n, pa.int64()),
-            pa.array([_bits(x) for x in np.split(body, ends)], pa.binary()),
-            pa.array([_bits(x) for x in np.split(more, ends)], pa.binary()),
+            table.column("run").combine_chunks(),
+            pa.array([kind] * len(places), pa.int32()),
+            pa.array(told(body), pa.binary()),
+            pa.array(told(more), pa.binary()),
         ],
-        names=["batch", "kind", "bucket", "body", "more"],
+        names=["run", "kind", "body", "more"],
     )
 
 
-def _repeated(kind: int) -> Callable[[tuple, pa.Table], pa.Table]:
-    """Answers which keys of a bucket are found twice, and which in very many blocks."""
+def _groups(*columns: np.ndarray) -> np.ndarray:
+    """A number for each distinct row, from 0, in the order of the first column and then the others."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    if len(order):
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new)
+    return group
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        sizes, keys = _gathered(table, np.dtype(np.uint64) if kind == 3 else np.dtype((np.void, 6)))
-        if kind == 1:
-            wide = np.zeros((len(keys), 8), np.uint8)
-            wide[:, :6] = keys.view(np.uint8).reshape(-1, 6)
-            keys = wide.view(np.uint64).ravel()
-        twice = np.concatenate([_flags(f, n) for f, n in zip(table.column("flags").to_pylist(), sizes, strict=True)])
-        order = np.argsort(keys)
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[order][1:] != keys[order][:-1]
-        group = np.empty(len(keys), np.int64)
-        group[order] = np.cumsum(new) - 1
-        count = np.bincount(group)
-        found = np.bincount(group, weights=twice) > 0
-        return _answers(kind, table, key[0].as_py(), sizes, (found | (count > 1))[group], (count >= HOT_BLOCKS)[group])
 
-    return run
+def _repeated_phrases(key: tuple, table: pa.Table) -> pa.Table:
+    """Tells which phrases are found twice, and which in very many runs."""
+    run, (keys,), (twice,) = _gathered(table, "keys")
+    group = _groups(keys)
+    count = np.bincount(group)
+    found = (count > 1) | (np.bincount(group, weights=twice) > 0)
+    return _answers(1, table, run, keys, found[group], (count >= HOT_RUNS)[group])
 
 
 def _repeated_pieces(key: tuple, table: pa.Table) -> pa.Table:
-    """Answers which pieces are found twice, and which need a closer look: one piece of each content
+    """Tells which pieces are found twice, and which need a closer look: one piece of each content
     where pieces of the same first phrase differ and one of them is found only once."""
-    sizes, body = _gathered(table, np.dtype(np.uint64))
-    tags = np.concatenate([np.frombuffer(t, np.uint32) for t in table.column("tags").to_pylist()])
-    flags = [_flags(f, 2 * n) for f, n in zip(table.column("flags").to_pylist(), sizes, strict=True)]
-    twice = np.concatenate([f[::2] for f in flags])
-    hot = np.concatenate([f[1::2] for f in flags])
-    order = np.lexsort((body, tags))
-    t, b = tags[order], body[order]
-    new_tag, new = np.ones(len(order), bool), np.ones(len(order), bool)
-    new_tag[1:] = t[1:] != t[:-1]
-    new[1:] = new_tag[1:] | (b[1:] != b[:-1])
-    tag, piece = np.cumsum(new_tag) - 1, np.cumsum(new) - 1
-    repeated = (np.bincount(piece) + np.bincount(piece, weights=twice[order])) > 1
-    tag_of = tag[new]
+    run, (body, other, tags), (twice, hot) = _gathered(table, "keys", "others", "tags")
+    if not len(body):
+        return _answers(2, table, run, body, twice, twice)
+    piece, tag = _groups(tags, body, other), _groups(tags)
+    first = np.zeros(len(body), bool)
+    first[np.unique(piece, return_index=True)[1]] = True
+    repeated = (np.bincount(piece) + np.bincount(piece, weights=twice)) > 1
+    tag_of = tag[first][np.argsort(piece[first])]
     several = np.bincount(tag_of) > 1
     alone = np.bincount(tag_of, weights=~repeated) > 0
-    is_hot = np.bincount(tag, weights=hot[order]) > 0
+    is_hot = np.bincount(tag, weights=hot) > 0
     look = is_hot[tag_of] | (several & alone)[tag_of]
-    out, more = np.empty(len(order), bool), np.empty(len(order), bool)
-    out[order] = repeated[piece]
-    more[order] = look[piece] & (new | ~repeated[piece])
-    return _answers(2, table, key[0].as_py(), sizes, out, more)
+    return _answers(2, table, run, body, repeated[piece], look[piece] & (first | ~repeated[piece]))
+
+
+def _repeated_windows(key: tuple, table: pa.Table) -> pa.Table:
+    run, (keys, others), (twice,) = _gathered(table, "keys", "others")
+    group = _groups(keys, others)
+    found = (np.bincount(group) > 1) | (np.bincount(group, weights=twice) > 0)
+    return _answers(3, table, run, keys, found[group])
 
 
 # ----------------------------------------------------------------------- rounds
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """All columns of the rows in blocks: ``batch``, ``size`` (bytes of text) and ``packed``."""
+def _parsed(docs: DataFrame, length: int) -> DataFrame:
+    """All columns of the rows in blocks (``batch``, ``size`` in bytes of text, ``packed``), and after the blocks of a
+    ``run`` its distinct phrases: ``keys`` in order, and ``flags`` of those that it holds twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, press = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
+        number, press = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
+        names = [c.split()[0] for c in PARSED.split(", ")]
+        kinds = [pa.int64()] * 3 + [pa.binary()] * 3
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+
+        def phrases(found: list[np.ndarray]) -> pa.RecordBatch:
+            keys, count = np.unique(np.concatenate(found), return_counts=True)
+            return row(number, None, None, None, keys.tobytes(), _bits(count > 1))
+
+        found, held = [], 0
         for i, batch in enumerate(small_batches(batches, "text", BLOCK)):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as out:
                 out.write_batch(batch)
             size = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            yield pa.record_batch(
-                [pa.array([(part << 32) + i]), pa.array([size]), pa.array([press.compress(sink.getvalue())])],
-                names=["batch", "size", "packed"],
-            )
+            yield row(number, i, size, press.compress(sink.getvalue()), None, None)
+            found.append(Parsed(batch, length).keys)
+            held += size
+            if len(found) >= RUN or held >= RUN_BYTES:
+                yield phrases(found)
+                number, found, held = number + 1, [], 0
+        if found:
+            yield phrases(found)
 
-    return docs.mapInArrow(releasing(run), "batch long, size long, packed binary")
+    return docs.mapInArrow(releasing(run), PARSED)
 
 
 class _Told:
-    """The answers of one batch by round, in the order the keys were sent."""
-
-    def __init__(self, table: pa.Table):
-        rows = table.select(["kind", "bucket", "body", "more"]).to_pylist()
-        self.packed = next((r["body"] for r in rows if r["kind"] == 0), None)
-        self.rows: dict[int, dict[int, dict]] = {1: {}, 2: {}, 3: {}}
-        for r in rows:
-            if r["kind"]:
-                self.rows[r["kind"]][r["bucket"]] = r
-
-    def read(self, kind: int, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found, count = np.unique(bucket, return_counts=True)
-        own = [(self.rows[kind][int(k)], int(n)) for k, n in zip(found, count, strict=True)]
-        parts = [[_flags(r[c], n) for r, n in own] for c in ("body", "more")]
-        body, more = (np.concatenate(p) if p else np.empty(0, bool) for p in parts)
-        return body, more
+    """The blocks of a run, and the numbers that earlier rounds have told it, in order."""
+
+    def __init__(self, table: pa.Table, length: int):
+        self.length, kinds = length, table.column("kind").to_pylist()
+        self.blocks = [i for i, k in enumerate(kinds) if k == 0]
+        self.blocks.sort(key=lambda i: table.column("batch")[i].as_py())
+        self.packed, self.found = table.column("body"), {}
+        for kind in (1, 2, 3):
+            rows = table.filter(pc.equal(table.column("kind"), kind))
+            for name in ("body", "more"):
+                parts = [_numbers(x) for x in rows.column(name).to_pylist()]
+                self.found[kind, name] = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+
+    def __iter__(self) -> Iterator[Parsed]:
+        for i in self.blocks:
+            raw = zstandard.ZstdDecompressor().decompress(self.packed[i].as_py())
+            block = Parsed(pa.ipc.open_stream(raw).read_all().combine_chunks(), self.length)
+            block.pieces(self.found[1, "body"], self.found[1, "more"])
+            yield block
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_text: bool = False) -> DataFrame:
@@ -271,7 +320,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     kept = [c for c in given if c != text and (as_text or c.lower() not in OUTPUT)]
     columns, others = list(given.values()), [given[c] for c in kept]
     rows = docs.select(*[named(c).alias(given[c]) for c in kept], named(text).alias("text"))
-    blocks = staged(_blocks(rows), "blocks")
+    blocks = staged(_parsed(rows, length), "blocks")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     bits = power_of_two(total / EVERY / KEYS_PER_BUCKET)
     schema = T.StructType([rows.schema[c] for c in others])
@@ -285,58 +334,54 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                p = Parsed(r["packed"], length, bits)
-                p.phrases()
-                six = np.ascontiguousarray(p.keys.view(np.uint8).reshape(-1, 8)[:, :6]).view(np.dtype((np.void, 6))).ravel()
-                yield from _rows(r["batch"], p.bucket(p.keys), six, None, p.key_twice).to_batches()
-
-    def parsed(told: _Told, rounds: int) -> Parsed:
-        p = Parsed(told.packed, length, bits)
-        p.phrases()
-        p.pieces(*told.read(1, p.bucket(p.keys)))
-        if rounds > 1:
-            p.repeated, closer = told.read(2, p.piece_bucket)
-            p.windows(closer)
-        return p
+                keys = _numbers(r["keys"])
+                yield from _rows(r["run"], _bucket(keys, bits), _flags(r["flags"], len(keys)), keys).to_batches()
 
     def second(key: tuple, table: pa.Table) -> pa.Table:
-        p = parsed(_Told(table), 1)
-        flags = np.stack([p.piece_twice, p.piece_hot], axis=1)
-        return _rows(key[0].as_py(), p.piece_bucket, p.piece_body, p.piece_first, flags)
+        found = [(p.first, p.body, p.second_of_pieces(), p.hot) for p in _Told(table, length)]
+        phrase, body, other, hot = (np.concatenate(c) for c in zip(*found, strict=True))
+        bucket = np.where(hot, _bucket(body, bits), _bucket(phrase, bits))
+        at, count = _distinct(bucket, phrase, body, other)
+        flags = np.stack([count > 1, hot[at]], axis=1)
+        return _rows(key[0].as_py(), bucket[at], flags, body[at], other[at], phrase[at].astype(np.uint32))
 
     def third(key: tuple, table: pa.Table) -> pa.Table:
-        p = parsed(_Told(table), 2)
-        return _rows(key[0].as_py(), p.bucket(p.window_keys), p.window_keys, None, p.window_twice)
+        told, found = _Told(table, length), []
+        for p in told:
+            p.windows(told.found[2, "more"])
+            found.append((p.window_keys, p.second_of_windows()))
+        keys, other = (np.concatenate(c) for c in zip(*found, strict=True))
+        at, count = _distinct(keys, other)
+        return _rows(key[0].as_py(), _bucket(keys[at], bits), count > 1, keys[at], other[at])
 
     def last(key: tuple, table: pa.Table) -> pa.Table:
-        told = _Told(table)
-        p = parsed(told, 2)
-        low, high = p.spans(p.repeated, told.read(3, p.bucket(p.window_keys))[0])
-        return _result(p, low, high, others, as_text, columns, "text")
+        told, found = _Told(table, length), []
+        for p in told:
+            p.windows(told.found[2, "more"])
+            low, high = p.spans(told.found[2, "body"], told.found[3, "body"])
+            found.append(_result(p, low, high, others, as_text, columns, "text"))
+        return pa.concat_tables(found)
 
     nothing = F.lit(None).cast("binary")
-    body = blocks.select(
-        "batch",
-        F.lit(0).alias("kind"),
-        F.lit(0).cast("long").alias("bucket"),
-        F.col("packed").alias("body"),
-        nothing.alias("more"),
+    body = blocks.filter("batch IS NOT NULL").select(
+        "run", "batch", F.lit(0).alias("kind"), F.col("packed").alias("body"), nothing.alias("more")
     )
     answers: list[DataFrame] = []
 
     def with_answers(f: Callable[[tuple, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
         rows = body
         for answer in answers:
-            rows = rows.union(answer)
-        return rows.groupBy("batch").applyInArrow(releasing(f), schema)
+            rows = rows.unionByName(answer, allowMissingColumns=True)
+        return rows.groupBy("run").applyInArrow(releasing(f), schema)
 
     def answered(keys: DataFrame, f: Callable[[tuple, pa.Table], pa.Table]) -> None:
-        found = keys.groupBy("bucket").applyInArrow(releasing(f), FLAGS)
+        found = keys.groupBy("bucket").applyInArrow(releasing(f), ANSWERS)
         answers.append(staged(found, f"answers{len(answers)}"))
 
-    answered(blocks.select("batch", "packed").mapInArrow(releasing(first), KEYS), _repeated(1))
+    phrases = blocks.filter("batch IS NULL").select("run", "keys", "flags")
+    answered(phrases.mapInArrow(releasing(first), KEYS), _repeated_phrases)
     answered(with_answers(second, KEYS), _repeated_pieces)
-    answered(with_answers(third, KEYS), _repeated(3))
+    answered(with_answers(third, KEYS), _repeated_windows)
     found = with_answers(last, schema)
     return found.select(*[F.col(n).alias(names.get(n, n)) for n in found.columns])
 

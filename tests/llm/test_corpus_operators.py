@@ -191,10 +191,10 @@ def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch):
     shared = word(600)
     texts = [word(700) + shared + word(700) for _ in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
-    parsed = suffix_dedup._parsed(docs, 200).collect()
+    parsed = suffix_dedup._parsed(docs, 200, 0).collect()
     runs = [r for r in parsed if r["batch"] is None]
     assert sum(r["batch"] is not None for r in parsed) == 400 and len(runs) <= 400 / 16 + 2
-    count = Counter(k for r in runs for k in np.frombuffer(r["keys"], np.uint64).tolist())
+    count = Counter(k for r in runs for k in np.frombuffer(r["keys"], np.uint32).tolist())
     assert max(count.values()) == len(runs)  # of the passage's phrases, once a run each
     rows = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()}
     assert all(600 <= n < 620 for n in rows.values())

@@ -4,7 +4,7 @@ Which of all windows of ``length`` bytes start more than once could be read off
 corpus' suffixes, cut at that length. Rolling-hash triggers cut texts into phrases (each from one
 trigger to the next), so equal windows hold equal phrases at equal places, and most of that order
 follows from phrases alone. Equal strings only have to come together, in whatever order, so strings are
-sorted by hashes of 128 bits, and no suffix array is built, neither of the dictionary nor of the parse:
+sorted by hashes, and no suffix array is built, neither of the dictionary nor of the parse:
 
 1. *dictionary*: phrases are counted. A window that holds a phrase occurring once is unique, and
    only the others stay candidates.
@@ -20,8 +20,9 @@ that every document has is one number of a bucket per run, not per document or b
 ``KEYS_PER_BUCKET`` numbers on average and a run's number more for each such string. A phrase found in very many
 runs ("hot") has its pieces dealt out by their content and not by the phrase.
 
-Equality is that of 128 random bits: among 10^14 different strings compared, two are taken for equal with a chance of
-1 in 10^10. Answers find their strings within a run by 64 of them: 1 in 10^7 for a run. Nothing is sampled.
+Equality of what is removed is that of 96 random bits: among 10^12 different strings compared, two are taken for equal
+with a chance of 1 in 10^5. Answers find their strings within a run by 64 of them: 1 in 10^7 for a run. Of phrases 32
+bits within a bucket tell, as one that is wrongly taken for repeated only leaves more candidates. Nothing is sampled.
 
 Defined cases: a null text has no bytes; texts shorter than the window lose nothing; a text of any length is one
 block, not cut, for which a task needs some 50 times its bytes; repeated rows are texts of their own, so both
@@ -47,12 +48,12 @@ from tidemark.llm.pfp import EVERY, Block
 
 BLOCK = 1 << 20
 #: Blocks, and bytes of text, whose numbers are sent together.
-RUN, RUN_BYTES = 24, 24 << 20
+RUN, RUN_BYTES = 8, 8 << 20
 KEYS_PER_BUCKET = 1_000_000
 #: A phrase in so many runs has its pieces dealt out by content.
 HOT_RUNS = 4096
-PARSED = "run long, batch long, size long, packed binary, keys binary, flags binary"
-ANSWERS = "run long, kind int, body binary, more binary"
+PARSED = "run long, batch long, packed binary, bucket long, keys binary, flags binary"
+ANSWERS = "run long, kind int, bucket long, body binary, more binary"
 KEYS = "bucket long, run long, keys binary, others binary, tags binary, flags binary"
 OUTPUT = {
     "n_bytes": T.LongType(),
@@ -102,18 +103,18 @@ class Parsed:
         self.start, self.end = self.block.phrases()
         self.keys = self.block.hashes(self.start, self.end) | np.uint64(1)
 
-    def pieces(self, repeated: np.ndarray, hot: np.ndarray) -> None:
+    def pieces(self, repeated: np.ndarray, hot: np.ndarray, bits: int) -> None:
         """Pieces of candidate runs: first phrase, hashes of their bytes, and whether the phrase is hot."""
-        once = ~_is_in(self.keys, repeated)
+        once = ~_is_in(_shown(self.keys, bits), repeated)
         runs = self.block.candidates(self.start[once], self.end[once])
         self.low, self.high, first = self.block.contexts(*runs)
         self.whole = np.flatnonzero(first != 0)
         low, high = self.low[self.whole], self.high[self.whole] + self.length
         self.first, self.body = first[self.whole], self.block.hashes(low, high)
-        self.hot = _is_in(self.first, hot)
+        self.hot = _is_in(_shown(self.first, bits), hot)
 
     def second_of_pieces(self) -> np.ndarray:
-        return self.block.second_hashes(self.low[self.whole], self.high[self.whole] + self.length)
+        return self.block.second_hashes(self.low[self.whole], self.high[self.whole] + self.length).astype(np.uint32)
 
     def windows(self, closer: np.ndarray) -> None:
         """Single windows: of the pieces that need a closer look, and those without a phrase."""
@@ -125,7 +126,7 @@ class Parsed:
         self.window_keys = self.block.hashes(self.window, self.window + self.length)
 
     def second_of_windows(self) -> np.ndarray:
-        return self.block.second_hashes(self.window, self.window + self.length)
+        return self.block.second_hashes(self.window, self.window + self.length).astype(np.uint32)
 
     def spans(self, repeated: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         same = self.whole[_is_in(self.body, repeated)]
@@ -141,6 +142,11 @@ def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _shown(keys: np.ndarray, bits: int) -> np.ndarray:
+    """What is told of a phrase: its bucket and 32 bits more."""
+    return keys >> np.uint64(32 - bits)
+
+
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the distinct rows, ordered by the first column, then the others; how often each is found."""
     order = np.lexsort(columns[::-1])
@@ -175,7 +181,8 @@ def _rows(run: int, bucket: np.ndarray, flags: np.ndarray, keys: np.ndarray, oth
 
 def _gathered(table: pa.Table, *names: str) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """The run that each key is from, the columns, and the flags, one array for each of a key's."""
-    columns = [[_numbers(x, np.uint32 if c == "tags" else np.uint64) for x in table.column(c).to_pylist()] for c in names]
+    wide = np.uint64 if len(names) > 1 else np.uint32
+    columns = [[_numbers(x, wide if c == "keys" else np.uint32) for x in table.column(c).to_pylist()] for c in names]
     sizes = [len(k) for k in columns[0]]
     run = np.repeat(np.arange(len(sizes)), sizes)
     width = 2 if "tags" in names else 1
@@ -184,7 +191,7 @@ def _gathered(table: pa.Table, *names: str) -> tuple[np.ndarray, list[np.ndarray
     return run, [np.concatenate(c) for c in columns], list(every.T)
 
 
-def _answers(kind: int, table: pa.Table, run: np.ndarray, keys: np.ndarray, body: np.ndarray, more: np.ndarray | None = None) -> pa.Table:
+def _answers(kind: int, key: tuple, table: pa.Table, run: np.ndarray, keys: np.ndarray, body: np.ndarray, more: np.ndarray | None = None) -> pa.Table:
     """To each run its keys for which ``body`` holds, and those for which ``more`` does."""
     places = np.arange(table.num_rows)
 
@@ -199,10 +206,11 @@ def _answers(kind: int, table: pa.Table, run: np.ndarray, keys: np.ndarray, body
         [
             table.column("run").combine_chunks(),
             pa.array([kind] * len(places), pa.int32()),
+            pa.array([key[0].as_py()] * len(places), pa.int64()),
             pa.array(told(body), pa.binary()),
             pa.array(told(more), pa.binary()),
         ],
-        names=["run", "kind", "body", "more"],
+        names=["run", "kind", "bucket", "body", "more"],
     )
 
 
@@ -223,7 +231,7 @@ def _repeated_phrases(key: tuple, table: pa.Table) -> pa.Table:
     group = _groups(keys)
     count = np.bincount(group)
     found = (count > 1) | (np.bincount(group, weights=twice) > 0)
-    return _answers(1, table, run, keys, found[group], (count >= HOT_RUNS)[group])
+    return _answers(1, key, table, run, keys, found[group], (count >= HOT_RUNS)[group])
 
 
 def _repeated_pieces(key: tuple, table: pa.Table) -> pa.Table:
@@ -231,7 +239,7 @@ def _repeated_pieces(key: tuple, table: pa.Table) -> pa.Table:
     where pieces of the same first phrase differ and one of them is found only once."""
     run, (body, other, tags), (twice, hot) = _gathered(table, "keys", "others", "tags")
     if not len(body):
-        return _answers(2, table, run, body, twice, twice)
+        return _answers(2, key, table, run, body, twice, twice)
     piece, tag = _groups(tags, body, other), _groups(tags)
     first = np.zeros(len(body), bool)
     first[np.unique(piece, return_index=True)[1]] = True
@@ -241,49 +249,48 @@ def _repeated_pieces(key: tuple, table: pa.Table) -> pa.Table:
     alone = np.bincount(tag_of, weights=~repeated) > 0
     is_hot = np.bincount(tag, weights=hot) > 0
     look = is_hot[tag_of] | (several & alone)[tag_of]
-    return _answers(2, table, run, body, repeated[piece], look[piece] & (first | ~repeated[piece]))
+    return _answers(2, key, table, run, body, repeated[piece], look[piece] & (first | ~repeated[piece]))
 
 
 def _repeated_windows(key: tuple, table: pa.Table) -> pa.Table:
     run, (keys, others), (twice,) = _gathered(table, "keys", "others")
     group = _groups(keys, others)
     found = (np.bincount(group) > 1) | (np.bincount(group, weights=twice) > 0)
-    return _answers(3, table, run, keys, found[group])
+    return _answers(3, key, table, run, keys, found[group])
 
 
 # ----------------------------------------------------------------------- rounds
 
 
-def _parsed(docs: DataFrame, length: int) -> DataFrame:
-    """All columns of the rows in blocks (``batch``, ``size`` in bytes of text, ``packed``), and after the blocks of a
-    ``run`` its distinct phrases: ``keys`` in order, and ``flags`` of those that it holds twice."""
+def _parsed(docs: DataFrame, length: int, bits: int) -> DataFrame:
+    """All columns of the rows in blocks (``batch``, ``packed``), and after the blocks of a ``run`` its distinct
+    phrases: ``keys`` of each ``bucket``, and ``flags`` of those that the run holds twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, press = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
         names = [c.split()[0] for c in PARSED.split(", ")]
-        kinds = [pa.int64()] * 3 + [pa.binary()] * 3
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
 
-        def row(*values) -> pa.RecordBatch:
-            return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
-
-        def phrases(found: list[np.ndarray]) -> pa.RecordBatch:
-            keys, count = np.unique(np.concatenate(found), return_counts=True)
-            return row(number, None, None, None, keys.tobytes(), _bits(count > 1))
+        def phrases(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            keys, count = np.unique(_shown(np.concatenate(found), bits), return_counts=True)
+            rows = _rows(number, (keys >> np.uint64(32)).astype(np.int64), count > 1, keys.astype(np.uint32))
+            columns = [rows.column(c) if c in rows.column_names else pa.nulls(rows.num_rows, k) for c, k in zip(names, kinds, strict=True)]
+            yield from pa.table(columns, names=names).to_batches()
 
         found, held = [], 0
         for i, batch in enumerate(small_batches(batches, "text", BLOCK)):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as out:
                 out.write_batch(batch)
-            size = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            yield row(number, i, size, press.compress(sink.getvalue()), None, None)
+            values = [number, i, press.compress(sink.getvalue()), None, None, None]
+            yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
             found.append(Parsed(batch, length).keys)
-            held += size
+            held += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
             if len(found) >= RUN or held >= RUN_BYTES:
-                yield phrases(found)
+                yield from phrases(found)
                 number, found, held = number + 1, [], 0
         if found:
-            yield phrases(found)
+            yield from phrases(found)
 
     return docs.mapInArrow(releasing(run), PARSED)
 
@@ -291,22 +298,27 @@ def _parsed(docs: DataFrame, length: int) -> DataFrame:
 class _Told:
     """The blocks of a run, and the numbers that earlier rounds have told it, in order."""
 
-    def __init__(self, table: pa.Table, length: int):
-        self.length, kinds = length, table.column("kind").to_pylist()
+    def __init__(self, table: pa.Table, length: int, bits: int):
+        self.length, self.bits, kinds = length, bits, table.column("kind").to_pylist()
         self.blocks = [i for i, k in enumerate(kinds) if k == 0]
         self.blocks.sort(key=lambda i: table.column("batch")[i].as_py())
         self.packed, self.found = table.column("body"), {}
         for kind in (1, 2, 3):
             rows = table.filter(pc.equal(table.column("kind"), kind))
+            buckets = rows.column("bucket").to_pylist()
             for name in ("body", "more"):
-                parts = [_numbers(x) for x in rows.column(name).to_pylist()]
+                told = zip(rows.column(name).to_pylist(), buckets, strict=True)
+                if kind == 1:
+                    parts = [_numbers(x, np.uint32).astype(np.uint64) | np.uint64(b << 32) for x, b in told]
+                else:
+                    parts = [_numbers(x) for x, _ in told]
                 self.found[kind, name] = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
 
     def __iter__(self) -> Iterator[Parsed]:
         for i in self.blocks:
             raw = zstandard.ZstdDecompressor().decompress(self.packed[i].as_py())
             block = Parsed(pa.ipc.open_stream(raw).read_all().combine_chunks(), self.length)
-            block.pieces(self.found[1, "body"], self.found[1, "more"])
+            block.pieces(self.found[1, "body"], self.found[1, "more"], self.bits)
             yield block
 
 
@@ -320,9 +332,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     kept = [c for c in given if c != text and (as_text or c.lower() not in OUTPUT)]
     columns, others = list(given.values()), [given[c] for c in kept]
     rows = docs.select(*[named(c).alias(given[c]) for c in kept], named(text).alias("text"))
-    blocks = staged(_parsed(rows, length), "blocks")
-    total = blocks.agg(F.sum("size")).first()[0] or 0
-    bits = power_of_two(total / EVERY / KEYS_PER_BUCKET)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(32, power_of_two(total / EVERY / KEYS_PER_BUCKET))
+    blocks = staged(_parsed(rows, length, bits), "blocks")
     schema = T.StructType([rows.schema[c] for c in others])
     for name, kind in OUTPUT.items():
         schema.add(name, kind)
@@ -331,14 +343,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         schema = T.StructType([T.StructField(given[f.name], f.dataType) for f in docs.schema])
         names = {n: c for c, n in given.items()}
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                keys = _numbers(r["keys"])
-                yield from _rows(r["run"], _bucket(keys, bits), _flags(r["flags"], len(keys)), keys).to_batches()
-
     def second(key: tuple, table: pa.Table) -> pa.Table:
-        found = [(p.first, p.body, p.second_of_pieces(), p.hot) for p in _Told(table, length)]
+        found = [(p.first, p.body, p.second_of_pieces(), p.hot) for p in _Told(table, length, bits)]
         phrase, body, other, hot = (np.concatenate(c) for c in zip(*found, strict=True))
         bucket = np.where(hot, _bucket(body, bits), _bucket(phrase, bits))
         at, count = _distinct(bucket, phrase, body, other)
@@ -346,7 +352,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         return _rows(key[0].as_py(), bucket[at], flags, body[at], other[at], phrase[at].astype(np.uint32))
 
     def third(key: tuple, table: pa.Table) -> pa.Table:
-        told, found = _Told(table, length), []
+        told, found = _Told(table, length, bits), []
         for p in told:
             p.windows(told.found[2, "more"])
             found.append((p.window_keys, p.second_of_windows()))
@@ -355,7 +361,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         return _rows(key[0].as_py(), _bucket(keys[at], bits), count > 1, keys[at], other[at])
 
     def last(key: tuple, table: pa.Table) -> pa.Table:
-        told, found = _Told(table, length), []
+        told, found = _Told(table, length, bits), []
         for p in told:
             p.windows(told.found[2, "more"])
             low, high = p.spans(told.found[2, "body"], told.found[3, "body"])
@@ -364,7 +370,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
 
     nothing = F.lit(None).cast("binary")
     body = blocks.filter("batch IS NOT NULL").select(
-        "run", "batch", F.lit(0).alias("kind"), F.col("packed").alias("body"), nothing.alias("more")
+        "run", "batch", F.lit(0).alias("kind"), "bucket", F.col("packed").alias("body"), nothing.alias("more")
     )
     answers: list[DataFrame] = []
 
@@ -378,8 +384,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         found = keys.groupBy("bucket").applyInArrow(releasing(f), ANSWERS)
         answers.append(staged(found, f"answers{len(answers)}"))
 
-    phrases = blocks.filter("batch IS NULL").select("run", "keys", "flags")
-    answered(phrases.mapInArrow(releasing(first), KEYS), _repeated_phrases)
+    answered(blocks.filter("batch IS NULL").select("bucket", "run", "keys", "flags"), _repeated_phrases)
     answered(with_answers(second, KEYS), _repeated_pieces)
     answered(with_answers(third, KEYS), _repeated_windows)
     found = with_answers(last, schema)

@@ -37,9 +37,9 @@ from tidemark.functions import named
 from tidemark.llm.common import releasing, small_batches
 
 GROUP = 1 << 18
-#: Matches whose tokens a worker remembers; all are forgotten when there are
+#: Matches whose tokens a worker remembers, and characters of these; all are forgotten when there are
 #: more, and at the end of a task.
-REMEMBERED = 300_000
+REMEMBERED, REMEMBERED_CHARS = 300_000, 16 << 20
 OUTPUT = {
     "ids": T.ArrayType(T.IntegerType()),
     "starts": T.ArrayType(T.IntegerType()),
@@ -97,14 +97,17 @@ class Codec:
         vocab = json.loads(spec)["model"]["vocab"]
         self.bytes_of = {i: bytes(back[c] for c in token) for token, i in vocab.items()}
         self.ids_of: dict[str, bytes] = {}  # packed: 32 bits each
+        self.held = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [self.matches.findall(t) for t in texts]
         known = self.ids_of
         new = [w for w in set(chain.from_iterable(words)) if w not in known]
-        if len(known) + len(new) > self.remembered:
+        self.held += sum(map(len, new))
+        if len(known) + len(new) > self.remembered or self.held > REMEMBERED_CHARS:
             known.clear()
             new = list(set(chain.from_iterable(words)))
+            self.held = sum(map(len, new))
         encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         known.update((w, array("i", e.ids).tobytes()) for w, e in zip(new, encoded, strict=True))
         return [np.frombuffer(b"".join(map(known.__getitem__, w)), np.int32) for w in words]
@@ -164,6 +167,7 @@ def encode_and_decode(
             own = [pa.array(columns[n], pa_type(n)) for n in outputs]
             yield pa.record_batch([*[batch.column(c) for c in others], *own], names=[*others, *outputs])
         codec.ids_of.clear()
+        codec.held = 0
 
     return rows.mapInArrow(releasing(run), schema).select(*[F.col(n).alias(c) for n, c in given.items()], *outputs)
 

@@ -155,6 +155,11 @@ def test_command_line(spark, tmp_path, capfd):
     encode_events(frame(spark, rows)).write.parquet(source)
     ingest = ["ingest", "--format", "parquet", "--input", source, "--schema", "value binary"]
     main([*ingest, "--bronze", bronze, "--checkpoint", str(tmp_path / "c"), "--once"])
+    cleaned = str(tmp_path / "cleaned")
+    main([*ingest, "--bronze", cleaned, "--checkpoint", str(tmp_path / "c2"), "--once", "--clean"])
+    kept = spark.read.parquet(cleaned)
+    assert 0 < kept.count() == kept.select("event_id").distinct().count()
+    assert kept.filter("user_id IS NULL").count() == 0
     main(["batch", "--bronze", bronze, "--store", root])
     store = VersionedStore(spark, root)
     check_tables(store, rows)

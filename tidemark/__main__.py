@@ -27,7 +27,7 @@ from tidemark.operators import (
     validate,
 )
 from tidemark.plans import build_gold, build_silver, run_batch
-from tidemark.schema import GOLD_DAU, GOLD_PAGE_VIEWS, GOLD_SESSIONS, SILVER
+from tidemark.schema import GOLD_DAU, GOLD_PAGE_VIEWS, GOLD_SESSIONS, SILVER, WATERMARK_DELAY
 from tidemark.sinks import CatalogStore, VersionedStore
 from tidemark.sources import (
     CLICKSTREAM_SUITE,
@@ -36,7 +36,7 @@ from tidemark.sources import (
     read_stream,
     read_table,
 )
-from tidemark.streaming import bronze_events, create_bronze_table, write_bronze
+from tidemark.streaming import bronze_events, clean_stream, create_bronze_table, write_bronze
 
 log = logging.getLogger("tidemark")
 CATALOG_PREFIX = "catalog:"
@@ -69,7 +69,11 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = {"processingTime": args.every} if args.every else None
     if args.once:
         trigger = {"availableNow": True}
-    query = write_bronze(bronze_events(messages), args.checkpoint, trigger=trigger, **target)
+    if args.clean:
+        events = clean_stream(bronze_events(messages, watermark=None), load_suite(args.suite, spark), args.delay)
+    else:
+        events = bronze_events(messages)
+    query = write_bronze(events, args.checkpoint, trigger=trigger, **target)
     query.awaitTermination()
 
 
@@ -180,6 +184,9 @@ def _parser() -> argparse.ArgumentParser:
         help="Kafka offsets a micro-batch takes at most, 0 for all there are",
     )
     ingest.add_argument("--spread", type=int, help="tasks a day's rows go to, for a backfill")
+    ingest.add_argument("--clean", action="store_true", help="clean rows by the suite as they arrive")
+    ingest.add_argument("--suite", default=CLICKSTREAM_SUITE, help="JSON rule suite")
+    ingest.add_argument("--delay", default=WATERMARK_DELAY, help="how late a repeat may come with --clean")
     ingest.add_argument("--input", help="path, for file formats")
     ingest.add_argument("--schema", help="DDL schema, for file formats")
     ingest.add_argument("--provider", help="format of the raw table: iceberg, parquet for a path")

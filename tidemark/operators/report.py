@@ -27,6 +27,7 @@ def engagement(sessions: DataFrame) -> DataFrame:
     The session without an id isn't counted, but its length and events do enter the
     average and the maximum. Sessions without times don't enter the average.
     """
+    # The three column names.
     return sessions.agg(
         F.count("session_id").alias("total_sessions"),
         F.round(F.avg("duration_seconds"), 2).alias("avg_session_length_seconds"),

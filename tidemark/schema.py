@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The columns of an event.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.StringType()),

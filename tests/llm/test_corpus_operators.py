@@ -183,7 +183,7 @@ def test_removed_repeats_equal_brute_force(spark, monkeypatch, length, hot):
     assert own == {i: None if t is None else want[i][3].decode("utf-8", "ignore") for i, t in enumerate(texts)}
 
 
-def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch):
+def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 2_000)
     monkeypatch.setattr(suffix_dedup, "RUN", 16)
     rng = random.Random(8)
@@ -191,9 +191,9 @@ def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch):
     shared = word(600)
     texts = [word(700) + shared + word(700) for _ in range(400)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
-    parsed = suffix_dedup._parsed(docs, 200, 0).collect()
-    runs = [r for r in parsed if r["batch"] is None]
-    assert sum(r["batch"] is not None for r in parsed) == 400 and len(runs) <= 400 / 16 + 2
+    parsed = suffix_dedup._parsed(docs, 200, 0, str(tmp_path)).collect()
+    runs, paths = [r for r in parsed if r["path"] is None], [r["path"] for r in parsed if r["path"]]
+    assert sum(1 for path in paths for _ in suffix_dedup._blocks(path)) == 400 and len(runs) <= 400 / 16 + 2
     count = Counter(k for r in runs for k in np.frombuffer(r["keys"], np.uint32).tolist())
     assert max(count.values()) == len(runs)  # of the passage's phrases, once a run each
     rows = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs).collect()}

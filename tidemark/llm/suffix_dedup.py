@@ -14,8 +14,9 @@ sorted by hashes, and no suffix array is built, neither of the dictionary nor of
    closer look, where runs begin and end.
 3. *dictionary suffixes*: the single windows of these pieces are compared, as are windows without a whole phrase.
 
-Texts are parsed in blocks of about ``BLOCK`` bytes. What is counted goes to buckets of a hash as packed numbers, each
-at most once per run of ``RUN`` blocks, and what repeats comes back as numbers too. So a phrase, piece or window
+Texts are parsed in blocks of about ``BLOCK`` bytes, which are written once to the shared folder, a file for each run of
+``RUN`` blocks. Tasks read the files of their runs there, so that texts are never shuffled. What is counted goes to buckets of a hash as packed numbers, each
+at most once per run, and what repeats comes back as numbers too. So a phrase, piece or window
 that every document has is one number of a bucket per run, not per document or block: a group has
 ``KEYS_PER_BUCKET`` numbers on average and a run's number more for each such string. A phrase found in very many
 runs ("hot") has its pieces dealt out by their content and not by the phrase.
@@ -31,19 +32,20 @@ lose all; an empty table gives an empty result; columns of the output's names ar
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import named
-from tidemark.llm.common import power_of_two, releasing, small_batches, staged
+from tidemark.llm.common import power_of_two, releasing, shared_folder, small_batches, staged
 from tidemark.llm.pfp import EVERY, Block
 
 BLOCK = 1 << 20
@@ -52,7 +54,9 @@ RUN, RUN_BYTES = 8, 8 << 20
 KEYS_PER_BUCKET = 1_000_000
 #: A phrase in so many runs has its pieces dealt out by content.
 HOT_RUNS = 4096
-PARSED = "run long, batch long, packed binary, bucket long, keys binary, flags binary"
+#: Bytes of text that a task takes on at least before there are more of them than shuffle partitions.
+TASK_BYTES = 1 << 30
+PARSED = "run long, path string, bucket long, keys binary, flags binary"
 ANSWERS = "run long, kind int, bucket long, body binary, more binary"
 KEYS = "bucket long, run long, keys binary, others binary, tags binary, flags binary"
 OUTPUT = {
@@ -89,11 +93,9 @@ def _is_in(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
 class Parsed:
     """A block and what the rounds so far have told about it."""
 
-    def __init__(self, batch: pa.RecordBatch | pa.Table, length: int):
+    def __init__(self, batch: pa.RecordBatch, length: int):
         self.table, self.length = batch, length
-        texts = batch.column("text")
-        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
         n = len(texts)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         body = texts.buffers()[2]
@@ -262,35 +264,59 @@ def _repeated_windows(key: tuple, table: pa.Table) -> pa.Table:
 # ----------------------------------------------------------------------- rounds
 
 
-def _parsed(docs: DataFrame, length: int, bits: int) -> DataFrame:
-    """All columns of the rows in blocks (``batch``, ``packed``), and after the blocks of a ``run`` its distinct
-    phrases: ``keys`` of each ``bucket``, and ``flags`` of those that the run holds twice."""
+class _Run:
+    """The blocks of a run on their way to a new file; that of a lost task is never read."""
+
+    def __init__(self, folder: str, schema: pa.Schema):
+        self.path, self.keys, self.held = f"{folder}/{uuid.uuid4().hex}.arrow", [], 0
+        store, place = fs.FileSystem.from_uri(self.path)
+        store.create_dir(place.rpartition("/")[0], recursive=True)
+        self.file = store.open_output_stream(place, compression=None)
+        packed = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3), use_threads=False)
+        self.out = pa.ipc.new_stream(self.file, schema, options=packed)
+
+    def add(self, batch: pa.RecordBatch, length: int) -> None:
+        self.out.write_batch(batch)
+        self.keys.append(Parsed(batch, length).keys)
+        self.held += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+
+    def close(self) -> None:
+        self.out.close()
+        self.file.close()
+
+
+def _blocks(path: str) -> Iterator[pa.RecordBatch]:
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(place, compression=None) as file, pa.ipc.open_stream(file) as blocks:
+        yield from blocks
+
+
+def _parsed(docs: DataFrame, length: int, bits: int, folder: str) -> DataFrame:
+    """For each ``run`` a row with the ``path`` of the file of its blocks, which hold all columns of the rows, and
+    its distinct phrases: ``keys`` of each ``bucket``, and ``flags`` of those that the run holds twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, press = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
+        number, own = TaskContext.get().partitionId() << 32, None
         names = [c.split()[0] for c in PARSED.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
 
-        def phrases(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            keys, count = np.unique(_shown(np.concatenate(found), bits), return_counts=True)
+        def told(own: _Run) -> Iterator[pa.RecordBatch]:
+            own.close()
+            values = [number, own.path, None, None, None]
+            yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+            keys, count = np.unique(_shown(np.concatenate(own.keys), bits), return_counts=True)
             rows = _rows(number, (keys >> np.uint64(32)).astype(np.int64), count > 1, keys.astype(np.uint32))
             columns = [rows.column(c) if c in rows.column_names else pa.nulls(rows.num_rows, k) for c, k in zip(names, kinds, strict=True)]
             yield from pa.table(columns, names=names).to_batches()
 
-        found, held = [], 0
-        for i, batch in enumerate(small_batches(batches, "text", BLOCK)):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as out:
-                out.write_batch(batch)
-            values = [number, i, press.compress(sink.getvalue()), None, None, None]
-            yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
-            found.append(Parsed(batch, length).keys)
-            held += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            if len(found) >= RUN or held >= RUN_BYTES:
-                yield from phrases(found)
-                number, found, held = number + 1, [], 0
-        if found:
-            yield from phrases(found)
+        for batch in small_batches(batches, "text", BLOCK):
+            own = own or _Run(folder, batch.schema)
+            own.add(batch, length)
+            if len(own.keys) >= RUN or own.held >= RUN_BYTES:
+                yield from told(own)
+                number, own = number + 1, None
+        if own:
+            yield from told(own)
 
     return docs.mapInArrow(releasing(run), PARSED)
 
@@ -300,9 +326,7 @@ class _Told:
 
     def __init__(self, table: pa.Table, length: int, bits: int):
         self.length, self.bits, kinds = length, bits, table.column("kind").to_pylist()
-        self.blocks = [i for i, k in enumerate(kinds) if k == 0]
-        self.blocks.sort(key=lambda i: table.column("batch")[i].as_py())
-        self.packed, self.found = table.column("body"), {}
+        self.path, self.found = table.column("body")[kinds.index(0)].as_py().decode(), {}
         for kind in (1, 2, 3):
             rows = table.filter(pc.equal(table.column("kind"), kind))
             buckets = rows.column("bucket").to_pylist()
@@ -315,9 +339,8 @@ class _Told:
                 self.found[kind, name] = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
 
     def __iter__(self) -> Iterator[Parsed]:
-        for i in self.blocks:
-            raw = zstandard.ZstdDecompressor().decompress(self.packed[i].as_py())
-            block = Parsed(pa.ipc.open_stream(raw).read_all().combine_chunks(), self.length)
+        for batch in _blocks(self.path):
+            block = Parsed(batch, self.length)
             block.pieces(self.found[1, "body"], self.found[1, "more"], self.bits)
             yield block
 
@@ -334,7 +357,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
     rows = docs.select(*[named(c).alias(given[c]) for c in kept], named(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(32, power_of_two(total / EVERY / KEYS_PER_BUCKET))
-    blocks = staged(_parsed(rows, length, bits), "blocks")
+    blocks = staged(_parsed(rows, length, bits, f"{shared_folder(docs.sparkSession)}/blocks"), "phrases")
     schema = T.StructType([rows.schema[c] for c in others])
     for name, kind in OUTPUT.items():
         schema.add(name, kind)
@@ -369,22 +392,24 @@ def remove_repeats(docs: DataFrame, length: int = 200, text: str = "text", as_te
         return pa.concat_tables(found)
 
     nothing = F.lit(None).cast("binary")
-    body = blocks.filter("batch IS NOT NULL").select(
-        "run", "batch", F.lit(0).alias("kind"), "bucket", F.col("packed").alias("body"), nothing.alias("more")
-    )
+    paths = blocks.filter("path IS NOT NULL")
+    body = paths.select("run", F.lit(0).alias("kind"), "bucket", F.col("path").cast("binary").alias("body"), nothing.alias("more"))
+    # The rows that are shuffled are few beside the texts that their tasks read, so their size can't tell how many tasks.
+    most = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
+    tasks = max(1, min(paths.count(), most))
     answers: list[DataFrame] = []
 
     def with_answers(f: Callable[[tuple, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
         rows = body
         for answer in answers:
-            rows = rows.unionByName(answer, allowMissingColumns=True)
-        return rows.groupBy("run").applyInArrow(releasing(f), schema)
+            rows = rows.unionByName(answer)
+        return rows.repartition(tasks, "run").groupBy("run").applyInArrow(releasing(f), schema)
 
     def answered(keys: DataFrame, f: Callable[[tuple, pa.Table], pa.Table]) -> None:
         found = keys.groupBy("bucket").applyInArrow(releasing(f), ANSWERS)
         answers.append(staged(found, f"answers{len(answers)}"))
 
-    answered(blocks.filter("batch IS NULL").select("bucket", "run", "keys", "flags"), _repeated_phrases)
+    answered(blocks.filter("path IS NULL").select("bucket", "run", "keys", "flags"), _repeated_phrases)
     answered(with_answers(second, KEYS), _repeated_pieces)
     answered(with_answers(third, KEYS), _repeated_windows)
     found = with_answers(last, schema)

@@ -76,6 +76,15 @@ def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), offsets
 
 
+def _distinct(hashes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and their texts, ordered by text, then hash, each pair once."""
+    order = np.lexsort((hashes, texts))
+    hashes, texts = hashes[order], texts[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (texts[1:] != texts[:-1])
+    return hashes[new], texts[new]
+
+
 class Index:
     """Signatures of a block of items by shingle width."""
 
@@ -89,9 +98,11 @@ class Index:
         self.tables = {}
         for w, members in groups.items():
             hashes, texts = shingle_hashes(*_flat([items[i] for i in members]), [w])[w]
-            own = [np.unique(hashes[texts == k]) for k in range(len(members))]
+            hashes, texts = _distinct(hashes, texts)
+            ends = np.searchsorted(texts, np.arange(len(members) + 1))
             keys, who = [], []
-            for i, h in zip(members, own, strict=True):
+            for i, begin, end in zip(members, ends[:-1], ends[1:], strict=True):
+                h = hashes[begin:end]
                 partition_top = 1 << len(h).bit_length()  # sizes of a partition: below this
                 signature = h[: int((1 - threshold) * partition_top + 1e-9) + 1]
                 keys.append(signature)
@@ -110,8 +121,10 @@ class Index:
             maybe = np.flatnonzero(sieve[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
             low = np.searchsorted(keys, hashes[maybe], "left")
             high = np.searchsorted(keys, hashes[maybe], "right")
-            for k in np.flatnonzero(high > low):
-                found.update((int(texts[maybe[k]]), int(i)) for i in who[low[k] : high[k]])
+            some = high > low
+            # A shingle that a text repeats is looked up once.
+            for t, begin, end in {*zip(texts[maybe][some].tolist(), low[some].tolist(), high[some].tolist(), strict=True)}:
+                found.update((t, i) for i in who[begin:end].tolist())
         return found
 
     def shared(self, text: bytes, item: int, seen: dict[int, set[bytes]]) -> tuple[int, int]:

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -183,6 +184,69 @@ def test_removed_repeats_equal_brute_force(spark, monkeypatch, length, hot):
     assert own == {i: None if t is None else want[i][3].decode("utf-8", "ignore") for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize(("seed", "length", "hot", "keys"), [(1, 60, 4096, 300), (2, 200, 2, 100_000), (3, 120, 2, 300)])
+def test_slices_of_the_same_sources_equal_brute_force(spark, monkeypatch, seed, length, hot, keys):
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", hot)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 4_000)
+    monkeypatch.setattr(suffix_dedup, "RUN", 3)
+    monkeypatch.setattr(suffix_dedup, "KEYS_PER_BUCKET", keys)
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choices("abcdefghij \n", k=n))
+    words = [word(rng.randint(2, 30)) for _ in range(60)]
+    sources = [" ".join(rng.choices(words, k=300)) for _ in range(6)]
+    texts = ["ab" * 1500, "abc" * 500, "x" * 2000]
+    for _ in range(120):
+        text = ""
+        for _ in range(rng.randint(1, 5)):
+            begin, source = rng.randint(0, 1000), rng.choice(sources)
+            piece = source[begin : begin + rng.choice([30, length - 3, length, length + 5, length + 40, 800])]
+            if rng.random() < 0.3 and piece:
+                at = rng.randrange(len(piece))
+                piece = f"{piece[:at]}#{piece[at + 1 :]}"
+            text += piece + word(rng.randint(0, 60))
+        texts.append(text)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = suffix_dedup.remove_repeats(docs, length).collect()
+    want = dict(enumerate(kept_by_force(texts, length)))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows} == want
+
+
+def test_suffixes_are_told_what_their_neighbours_share():
+    rng = random.Random(4)
+    suffixes = [tuple(rng.randint(0, 2) for _ in range(rng.randint(1, 6))) for _ in range(60)]
+    before = [rng.randint(0, 2) for _ in suffixes]
+    twice = [rng.random() < 0.1 for _ in suffixes]
+    rows = [slice(0, 25), slice(25, 25), slice(25, 60)]
+    packed = lambda x, kind: [np.array(x[r], kind).tobytes() for r in rows]
+    table = pa.table({
+        "run": [4, 5, 6],
+        "keys": packed(list(range(60)), np.uint64),
+        "others": packed([len(x) for x in suffixes], np.uint16),
+        "body": [suffix_dedup._narrow(np.array([n for x in suffixes[r] for n in x], np.uint64), 5).tobytes() for r in rows],
+        "more": packed(before, np.uint64),
+        "flags": [suffix_dedup._bits(np.array(twice[r], bool)) for r in rows],
+    })
+    told = suffix_dedup._suffix_array((pa.scalar(0),), table, 5)
+    assert told.column("run").to_pylist() == [4, 5, 6]
+    got = np.frombuffer(b"".join(told.column("more").to_pylist()), np.uint16).reshape(-1, 3).tolist()
+
+    def shared(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    def most(i, others):
+        return max((shared(suffixes[i], suffixes[j]) for j in others if j != i), default=0)
+
+    every = range(len(suffixes))
+    assert got == [
+        [
+            len(suffixes[i]) if twice[i] else most(i, every),
+            most(i, [j for j in every if suffixes[j] != suffixes[i]]),
+            most(i, [j for j in every if before[j] != before[i]]),
+        ]
+        for i in every
+    ]
+
+
 def test_a_passage_that_all_have_is_one_number_a_run(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 2_000)
     monkeypatch.setattr(suffix_dedup, "RUN", 16)

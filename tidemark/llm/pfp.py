@@ -99,26 +99,6 @@ class Block:
         edges = np.flatnonzero(ok[1:] != ok[:-1])
         return edges[::2], edges[1::2] - 1
 
-    def contexts(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cut runs of window starts where the triggers that a window holds change.
-
-        Returns first and last start of each piece and the hash of the first phrase that its windows
-        hold (0 where they hold none)."""
-        t = self.trigger_ends
-        cuts = np.concatenate([low, t - TRIGGER + 1, t - self.length])
-        cuts = np.unique(cuts[cuts >= 0])
-        run = np.searchsorted(low, cuts, "right") - 1
-        cuts = cuts[(run >= 0) & (cuts <= high[run])] if len(low) else cuts[:0]
-        run = np.searchsorted(low, cuts, "right") - 1
-        following = np.append(cuts[1:], np.iinfo(np.int64).max)
-        last = np.minimum(following - 1, high[run]) if len(low) else cuts
-        k = np.searchsorted(t, cuts + TRIGGER, "left")
-        padded = np.append(t, [np.iinfo(np.int64).max >> 1] * 2)
-        held = padded[k + 1] <= cuts + self.length
-        first = np.zeros(len(cuts), np.uint64)
-        first[held] = self.hashes(padded[k[held]] - TRIGGER, padded[k[held] + 1]) | np.uint64(1)
-        return cuts, last, first
-
     def covered(self, starts_low: np.ndarray, starts_high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximal byte runs covered by windows that start in the given runs; a run may touch
         the end of one text and the start of the next, where it is cut."""
